@@ -1,0 +1 @@
+"""Empty on purpose: the workload has no unbounded input, timestamp or time window."""
