@@ -3,150 +3,112 @@
 Both arrays are tagged with their side and sorted together, so equal keys form a run of
 left entries followed by a run of right entries. Cost is n log n in the row's own length;
 exploding the entries instead would shuffle many times the volume of the text.
+
+The functions take and return Spark SQL text, for `expr`: the nested lambdas reach the JVM as one
+string, where the same tree out of Column calls takes seconds to put together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Above this many common keys sorting costs less than one scan per key (measured).
 SCAN_LIMIT = 256
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once and use it any number of times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _run_starts(entries: Column) -> Column:
-    """Positions where (key, side) changes in a sorted array, and the array's size last."""
-
-    def starts_here(at: Column) -> Column:
-        here, before = F.get(entries, at), F.get(entries, at - 1)
-        return (
-            (at == 0)
-            | (at == F.size(entries))
-            | (here["side"] != before["side"])
-            | (here["key"] != before["key"])
-        )
-
-    return F.filter(F.sequence(F.lit(0), F.size(entries)), starts_here)
+def let(name: str, value: str, body: str) -> str:
+    """Evaluate `value` once and use it in `body` under `name`."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _shared_runs(entries: Column, starts: Column) -> Column:
-    """For every key on both sides: its two run positions and the smaller run length."""
+def run_starts(entries: str, *fields: str) -> str:
+    """Places where a sorted array changes (in the given fields), and its size last."""
+    changes = " or ".join(
+        f"get({entries}, at){field} <> get({entries}, at - 1){field}"
+        for field in ([f".{name}" for name in fields] or [""])
+    )
+    return (
+        f"filter(sequence(0, size({entries})), "
+        f"at -> at = 0 or at = size({entries}) or {changes})"
+    )
 
-    def run(left_at: Column, number: Column) -> Column:
-        right_at, end = F.get(starts, number + 1), F.get(starts, number + 2)
-        left, right = F.get(entries, left_at), F.get(entries, right_at)
-        both = (left["side"] == 0) & (right["side"] == 1) & (left["key"] == right["key"])
-        return F.struct(
-            left["key"].alias("key"),
-            left_at.alias("left_at"),
-            right_at.alias("right_at"),
-            F.when(both, F.least(right_at - left_at, end - right_at)).alias("shared"),
-        )
 
-    return F.filter(F.transform(starts, run), lambda found: found["shared"].isNotNull())
+def _shared_runs(entries: str, starts: str) -> str:
+    """For every key on both sides: its two run places and the smaller run length."""
+    right_at, end = f"get({starts}, nth + 1)", f"get({starts}, nth + 2)"
+    left, right = f"get({entries}, left_at)", f"get({entries}, {right_at})"
+    return f"""filter(
+        transform({starts}, (left_at, nth) -> struct(
+            {left}.key as key, left_at as left_at, {right_at} as right_at,
+            case when {left}.side = 0 and {right}.side = 1 and {left}.key = {right}.key
+                 then least({right_at} - left_at, {end} - {right_at}) end as shared)),
+        run -> run.shared is not null)"""
 
 
-def shared_counts(left: Column, right: Column) -> Column:
+def shared_counts(left: str, right: str) -> str:
     """array<struct<key, shared>>: per common key the smaller of its two counts.
 
     With few common keys each is counted by a plain scan of both arrays; with many, the arrays are
     sorted together. Both are exact, and neither is quadratic in the length of the row.
     """
 
-    def entry(key: Column, shared: Column) -> Column:
-        return F.struct(key.alias("key"), shared.alias("shared"))
+    def occurrences(keys: str) -> str:
+        return f"size({keys}) - size(array_remove({keys}, key))"
 
-    def occurrences(keys: Column, key: Column) -> Column:
-        return F.size(keys) - F.size(F.array_remove(keys, key))
-
-    def scanned(common: Column) -> Column:
-        return F.transform(
-            common,
-            lambda key: entry(key, F.least(occurrences(left, key), occurrences(right, key))),
-        )
+    def tagged(keys: str, side: int) -> str:
+        return f"transform({keys}, key -> struct(key as key, {side} as side))"
 
-    def tagged(keys: Column, side: int) -> Column:
-        return F.transform(keys, lambda key: F.struct(key.alias("key"), F.lit(side).alias("side")))
-
-    merged = F.sort_array(F.concat(tagged(left, 0), tagged(right, 1)))
-    runs = let(merged, lambda e: let(_run_starts(e), lambda starts: _shared_runs(e, starts)))
-    by_sort = F.transform(runs, lambda run: entry(run["key"], run["shared"]))
+    scanned = f"""transform(common, key -> struct(
+        key as key, least({occurrences(left)}, {occurrences(right)}) as shared))"""
+    runs = let("starts", run_starts("merged", "side", "key"), _shared_runs("merged", "starts"))
+    by_sort = let(
+        "merged",
+        f"sort_array(concat({tagged(left, 0)}, {tagged(right, 1)}))",
+        f"transform({runs}, run -> struct(run.key as key, run.shared as shared))",
+    )
     return let(
-        F.array_intersect(left, right),
-        lambda common: F.when(F.size(common) <= SCAN_LIMIT, scanned(common)).otherwise(by_sort),
+        "common",
+        f"array_intersect({left}, {right})",
+        f"case when size(common) <= {SCAN_LIMIT} then {scanned} else {by_sort} end",
     )
 
 
-def align_last(
-    left: Column, right: Column, left_at: Column | None = None, right_at: Column | None = None
-) -> Column:
+def places(size: str) -> str:
+    """0 .. size-1 as an array, empty for size 0."""
+    return f"case when {size} > 0 then sequence(0, {size} - 1) else cast(array() as array<int>) end"
+
+
+def free_places(size: str, links: str, side: str) -> str:
+    """Places of one side that no link uses, ascending."""
+    return f"array_except({places(size)}, transform({links}, link -> link.{side}))"
+
+
+def align_last(left: str, right: str, left_at: str | None = None, right_at: str | None = None) -> str:
     """array<struct<l, r>>: the k-th last place of a word on the left paired with the k-th
     last on the right. `left_at` and `right_at` limit the places looked at (default: all)."""
 
-    def entries(words: Column, at: Column | None, side: int, common: Column) -> Column:
-        looked_at = places(F.size(words)) if at is None else at
-        # Leave out words the other side lacks, unless the test would cost more than it saves.
-        useful = F.filter(
-            looked_at,
-            lambda place: (F.size(common) > SCAN_LIMIT)
-            | F.array_contains(common, F.get(words, place)),
-        )
-        return F.transform(
-            useful,
-            lambda place: F.struct(
-                F.get(words, place).alias("key"),
-                F.lit(side).alias("side"),
-                (-place).alias("back"),
-            ),
-        )
-
-    def pairs(e: Column, run: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), run["shared"] - 1),
-            lambda k: F.struct(
-                (-F.get(e, run["left_at"] + k)["back"]).alias("l"),
-                (-F.get(e, run["right_at"] + k)["back"]).alias("r"),
-            ),
+    def entries(words: str, at: str | None, side: int) -> str:
+        # Words the other side lacks are left out, unless the test would cost more than it saves.
+        useful = f"size(common) > {SCAN_LIMIT} or array_contains(common, get({words}, place))"
+        return (
+            f"transform(filter({at or places(f'size({words})')}, place -> {useful}), "
+            f"place -> struct(get({words}, place) as key, {side} as side, -place as back))"
         )
 
-    def aligned(e: Column) -> Column:
-        runs = let(_run_starts(e), lambda starts: _shared_runs(e, starts))
-        return F.flatten(F.transform(runs, lambda run: pairs(e, run)))
-
     merged = let(
-        F.array_intersect(left, right),
-        lambda common: F.sort_array(
-            F.concat(entries(left, left_at, 0, common), entries(right, right_at, 1, common))
-        ),
+        "common",
+        f"array_intersect({left}, {right})",
+        f"sort_array(concat({entries(left, left_at, 0)}, {entries(right, right_at, 1)}))",
     )
-    return let(merged, aligned)
+    runs = let("starts", run_starts("merged", "side", "key"), _shared_runs("merged", "starts"))
+    pairs = """transform(sequence(0, run.shared - 1), k -> struct(
+        -get(merged, run.left_at + k).back as l, -get(merged, run.right_at + k).back as r))"""
+    return let("merged", merged, f"flatten(transform({runs}, run -> {pairs}))")
 
 
-def places(size: Column) -> Column:
-    """0 .. size-1 as an array, empty for size 0."""
-    none = F.array().cast("array<int>")
-    return F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(none)
-
-
-def chunk_count(pairs: Column) -> Column:
+def chunk_count(pairs: str) -> str:
     """Number of runs in which both places advance by one, walking by the left place."""
-
-    def breaks(ordered: Column) -> Column:
-        def starts_chunk(pair: Column, at: Column) -> Column:
-            before = F.get(ordered, at - 1)
-            return (
-                (at == 0)
-                | (pair["l"] != before["l"] + 1)
-                | (pair["r"] != before["r"] + 1)
-            )
-
-        return F.size(F.filter(ordered, starts_chunk))
-
-    return let(F.sort_array(pairs), breaks)
+    breaks = (
+        "at = 0 or link.l <> get(ordered, at - 1).l + 1 or link.r <> get(ordered, at - 1).r + 1"
+    )
+    return let(
+        "ordered", f"sort_array({pairs})", f"size(filter(ordered, (link, at) -> {breaks}))"
+    )

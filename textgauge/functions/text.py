@@ -53,17 +53,17 @@ def lower_tokens(tokens: Column) -> Column:
     return F.transform(tokens, F.lower)
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """All n-grams of a token array as strings joined by one space."""
+def ngrams(tokens: str, n: int) -> str:
+    """SQL text: all n-grams of a token array as strings joined by one space."""
     if n == 1:
         return tokens
-    none = F.array().cast("array<string>")
     # `get` per word, not `slice`: a slice copies the whole array for every gram.
-    grams = F.transform(
-        F.sequence(F.lit(0), F.size(tokens) - F.lit(n)),
-        lambda at: F.concat_ws(" ", *[F.get(tokens, at + k) for k in range(n)]),
+    words = ", ".join(f"get({tokens}, at + {k})" for k in range(n))
+    return (
+        f"case when size({tokens}) >= {n} "
+        f"then transform(sequence(0, size({tokens}) - {n}), at -> concat_ws(' ', {words})) "
+        "else cast(array() as array<string>) end"
     )
-    return F.when(F.size(tokens) >= n, grams).otherwise(none)
 
 
 def page_text(html: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .multiset import let
+from .multiset import let, run_starts
 
 BUCKETS = 64
 
@@ -35,27 +35,34 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
-def token_bucket(token: Column) -> Column:
-    """A bucket 0..63 from the first four hex digits of the token's MD5."""
-    return F.pmod(F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("int"), F.lit(BUCKETS))
-
-
-def hashed_frequencies(tokens: Column) -> Column:
-    """Token counts hashed to 64 buckets and scaled to length 1; all zero without tokens."""
-
-    def counts(buckets: Column) -> Column:
-        # Size before and after removing a bucket stays in a tight loop, unlike a lambda filter.
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(BUCKETS - 1)),
-            lambda bucket: (F.size(buckets) - F.size(F.array_remove(buckets, bucket))).cast("double"),
-        )
-
-    def scaled(vector: Column) -> Column:
-        return let(
-            norm(vector),
-            lambda length: F.transform(
-                vector, lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0))
-            ),
-        )
-
-    return let(let(F.transform(tokens, token_bucket), counts), scaled)
+def hashed_frequencies(tokens: str) -> Column:
+    """Token counts hashed to 64 buckets and scaled to length 1; all zero without tokens.
+
+    A token's bucket comes from the first four hex digits of its MD5. The buckets of a row are
+    sorted; the lengths of their runs are the counts.
+    """
+    bucket = f"cast(conv(substring(md5(token), 1, 4), 16, 10) as int) % {BUCKETS}"
+    counts = let(
+        "starts",
+        run_starts("buckets"),
+        let(
+            "present",
+            "transform(starts, at -> get(buckets, at))",
+            f"""transform(sequence(0, {BUCKETS - 1}), bucket -> {let(
+                "nth",
+                "cast(array_position(present, bucket) as int)",
+                "case when nth > 0 then cast(get(starts, nth) - get(starts, nth - 1) as double) else 0d end",
+            )})""",
+        ),
+    )
+    scaled = let(
+        "total",
+        "sqrt(aggregate(counted, 0d, (t, x) -> t + x * x))",
+        "transform(counted, x -> case when total > 0 then x / total else 0d end)",
+    )
+    vector = let(
+        "buckets",
+        f"sort_array(transform(tokens, token -> {bucket}))",
+        let("counted", counts, scaled),
+    )
+    return F.expr(let("tokens", tokens, vector))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.multiset import align_last, chunk_count, let, places, shared_counts
+from ..functions.multiset import align_last, chunk_count, free_places, let, shared_counts
 from ..functions.stem import stem_tokens
 from ..functions.text import ngrams
 
@@ -23,23 +23,17 @@ ALPHA, BETA, GAMMA = 0.9, 3.0, 0.5
 # -- ROUGE ------------------------------------------------------------------------------------
 
 
-def rouge_overlap(hyp: Column, ref: Column, n: int) -> Column:
-    """Shared n-grams of two token arrays, each counted as often as in both."""
-    shared = let(
-        ngrams(hyp, n), lambda a: let(ngrams(ref, n), lambda b: shared_counts(a, b))
-    )
-    return F.aggregate(shared, F.lit(0), lambda total, gram: total + gram["shared"])
-
-
-def rouge_f(hyp: Column, ref: Column, n: int) -> Column:
-    """F-measure of shared n-grams; an empty side counts as one gram."""
-    grams = F.greatest(F.size(hyp) - (n - 1), F.lit(1)) + F.greatest(F.size(ref) - (n - 1), F.lit(1))
-    return F.lit(2.0) * rouge_overlap(hyp, ref, n) / grams
+def rouge_f(hyp: str, ref: str, n: int) -> Column:
+    """F-measure of the n-grams two token columns share; an empty side counts as one gram."""
+    shared = let("h", ngrams(hyp, n), let("r", ngrams(ref, n), shared_counts("h", "r")))
+    overlap = f"aggregate({shared}, 0, (total, gram) -> total + gram.shared)"
+    grams = " + ".join(f"greatest(size({side}) - {n - 1}, 1)" for side in (hyp, ref))
+    return F.expr(f"2d * {overlap} / ({grams})")
 
 
 def rouge(pairs: DataFrame, hyp: str = "hyp_tokens", ref: str = "ref_tokens") -> DataFrame:
     return pairs.withColumns(
-        {f"rouge{n}": rouge_f(F.col(hyp), F.col(ref), n) for n in (1, 2)}
+        {f"rouge{n}": rouge_f(hyp, ref, n) for n in (1, 2)}
     )
 
 
@@ -53,23 +47,18 @@ def meteor_score(matches: Column, chunks: Column, hyp_size: Column, ref_size: Co
     return F.when(matches > 0, (1 - penalty) * mean).otherwise(F.lit(0.0))
 
 
-def _free(size: Column, links: Column, side: str) -> Column:
-    """Places not yet linked, ascending."""
-    return F.array_except(places(size), F.transform(links, lambda link: link[side]))
-
-
 def _add_stem_links(pairs: DataFrame, hyp: str, ref: str) -> DataFrame:
     """Second stage: words still free, matched by their stems under the same rule."""
     stemmed = pairs.withColumns(
         {"_hyp_stems": stem_tokens(F.col(hyp)), "_ref_stems": stem_tokens(F.col(ref))}
     )
     more = align_last(
-        F.col("_hyp_stems"),
-        F.col("_ref_stems"),
-        _free(F.size(hyp), F.col("_links"), "l"),
-        _free(F.size(ref), F.col("_links"), "r"),
+        "_hyp_stems",
+        "_ref_stems",
+        free_places("size(_hyp_stems)", "_links", "l"),
+        free_places("size(_ref_stems)", "_links", "r"),
     )
-    return stemmed.withColumn("_links", F.concat("_links", more))
+    return stemmed.withColumn("_links", F.expr(f"concat(_links, {more})"))
 
 
 def _add_synonym_links(pairs: DataFrame, synonyms: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,36 +68,29 @@ def _add_synonym_links(pairs: DataFrame, synonyms: DataFrame, keys: list[str]) -
     Only (pair, place, word) leaves the row for the lookup. The word table has one row per word, so
     Spark broadcasts it while small and otherwise splits the frequent words of the other side.
     """
-    hyp_free = _free(F.size("_hyp_stems"), F.col("_links"), "l")
-    words = pairs.select(
-        *keys,
-        F.explode(
-            F.transform(
-                hyp_free,
-                lambda at: F.struct(at.alias("l"), F.get(F.col("_hyp_stems"), at).alias("word")),
-            )
-        ).alias("free"),
-    ).select(*keys, "free.l", "free.word")
+    free = free_places("size(_hyp_stems)", "_links", "l")
+    looked_up = f"transform({free}, at -> struct(at as l, get(_hyp_stems, at) as word))"
+    words = pairs.select(*keys, F.expr(f"inline({looked_up})"))
     sets = synonyms.groupBy("word").agg(F.collect_set("synonym").alias("synonyms"))
     options = (
         words.join(sets, "word")
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct("l", "synonyms")), asc=False).alias("_options"))
     )
-
-    def take(links: Column, option: Column) -> Column:
-        places_left = F.filter(
-            _free(F.size("_ref_stems"), links, "r"),
-            lambda at: F.array_contains(option["synonyms"], F.get(F.col("_ref_stems"), at)),
-        )
-        link = F.struct(option["l"].alias("l"), F.array_max(places_left).alias("r"))
-        return F.when(F.size(places_left) > 0, F.array_append(links, link)).otherwise(links)
-
+    left_over = free_places("size(_ref_stems)", "links", "r")
+    fitting = f"filter({left_over}, at -> array_contains(option.synonyms, get(_ref_stems, at)))"
+    taken = let(
+        "fits",
+        fitting,
+        "case when size(fits) > 0 "
+        "then array_append(links, struct(option.l as l, array_max(fits) as r)) else links end",
+    )
     return pairs.join(options, keys, "left").withColumn(
         "_links",
-        F.when(
-            F.col("_options").isNotNull(), F.aggregate("_options", F.col("_links"), take)
-        ).otherwise(F.col("_links")),
+        F.expr(
+            "case when _options is null then _links "
+            f"else aggregate(_options, _links, (links, option) -> {taken}) end"
+        ),
     )
 
 
@@ -126,7 +108,7 @@ def meteor(
     synonym stage needs `keys`, the columns that tell pairs apart.
     """
     kept = pairs.columns
-    out = pairs.withColumn("_links", align_last(F.col(hyp), F.col(ref)))
+    out = pairs.withColumn("_links", F.expr(align_last(hyp, ref)))
     if stems:
         out = _add_stem_links(out, hyp, ref)
     if synonyms is not None:
@@ -136,7 +118,7 @@ def meteor(
     out = out.withColumns(
         {
             "meteor_matches": F.size("_links").cast("bigint"),
-            "meteor_chunks": chunk_count(F.col("_links")).cast("bigint"),
+            "meteor_chunks": F.expr(chunk_count("_links")).cast("bigint"),
         }
     )
     score = meteor_score(
@@ -148,31 +130,24 @@ def meteor(
 # -- corpus BLEU ------------------------------------------------------------------------------
 
 
-def matched_grams(hyp: Column, ref: Column) -> Column:
-    """array<struct<n, gram, shared>> of two token arrays, for n = 1..4.
+def matched_grams(hyp: str, ref: str) -> str:
+    """SQL text: array<struct<n, gram, shared>> of two token columns, for n = 1..4.
 
     Without a shared n-gram there is no shared longer one, so the next order is not looked at.
     """
-    none = F.array().cast("array<struct<n:int,gram:string,shared:int>>")
-
-    def of_order(n: int) -> Column:
-        def found(grams_left: Column, grams_right: Column) -> Column:
-            return F.transform(
-                shared_counts(grams_left, grams_right),
-                lambda g: F.struct(
-                    F.lit(n).alias("n"), g["key"].alias("gram"), g["shared"].alias("shared")
-                ),
-            )
-
-        matches = let(ngrams(hyp, n), lambda a: let(ngrams(ref, n), lambda b: found(a, b)))
+
+    def from_order(n: int) -> str:
+        found = let("h", ngrams(hyp, n), let("r", ngrams(ref, n), shared_counts("h", "r")))
+        matches = f"transform({found}, g -> struct({n} as n, g.key as gram, g.shared as shared))"
         if n == ORDERS[-1]:
             return matches
         return let(
+            f"m{n}",
             matches,
-            lambda m: F.when(F.size(m) > 0, F.concat(m, of_order(n + 1))).otherwise(none),
+            f"case when size(m{n}) > 0 then concat(m{n}, {from_order(n + 1)}) else m{n} end",
         )
 
-    return of_order(1)
+    return from_order(1)
 
 
 def bleu_items(
@@ -183,20 +158,22 @@ def bleu_items(
     Each pair also sends one row with n = 0 for the lengths, so one aggregate serves both. The
     reference closest in length is kept as one number, 2 * |difference| + (1 if longer).
     """
-    hyp_len, ref_len = F.size(hyp).cast("bigint"), F.size(ref).cast("bigint")
-    lengths = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("shared")))
+    grams = f"concat(array(struct(0 as n, '' as gram, 0 as shared)), {matched_grams(hyp, ref)})"
+    lengths = pairs.selectExpr(
+        *runs, "item_id", hyp, ref, f"bigint(size({hyp})) as hyp_len", f"bigint(size({ref})) as ref_len"
+    )
     return (
-        pairs.select(
+        lengths.selectExpr(
             *runs,
             "item_id",
-            hyp_len.alias("hyp_len"),
-            ref_len.alias("ref_len"),
-            (F.abs(ref_len - hyp_len) * 2 + (ref_len > hyp_len).cast("bigint")).alias("closeness"),
-            F.explode(F.concat(lengths, matched_grams(F.col(hyp), F.col(ref)))).alias("g"),
+            "hyp_len",
+            "ref_len",
+            "2 * abs(ref_len - hyp_len) + if(ref_len > hyp_len, 1, 0) as closeness",
+            f"inline({grams})",
         )
-        .groupBy(*runs, "item_id", F.col("g.n").alias("n"), F.col("g.gram").alias("gram"))
+        .groupBy(*runs, "item_id", "n", "gram")
         .agg(
-            F.max("g.shared").cast("bigint").alias("clipped"),
+            F.max("shared").cast("bigint").alias("clipped"),
             F.max("hyp_len").alias("hyp_len"),
             F.min("ref_len").alias("shortest_ref"),
             F.min("closeness").alias("closeness"),
@@ -209,55 +186,38 @@ def bleu_counts(
 ) -> DataFrame:
     """One row per run with every sum the two BLEU definitions need."""
     items = bleu_items(pairs, runs, hyp, ref)
-    is_item = F.col("n") == 0
-    step = F.floor(F.col("closeness") / 2)
-    closest = F.col("hyp_len") + F.when(F.col("closeness") % 2 == 1, step).otherwise(-step)
+    step = "closeness div 2"
     sums = {
-        "hyp_len": F.col("hyp_len"),
-        "closest_ref": closest,
-        "shortest_ref": F.col("shortest_ref"),
+        "hyp_len": "hyp_len",
+        "closest_ref": f"hyp_len + if(closeness % 2 = 1, {step}, -({step}))",
+        "shortest_ref": "shortest_ref",
     }
     for n in ORDERS:
-        grams = F.col("hyp_len") - (n - 1)
-        sums[f"den_first_{n}"] = F.greatest(grams, F.lit(1))
-        sums[f"den_again_{n}"] = F.greatest(grams, F.lit(0))
-    aggregates = [F.sum(F.when(is_item, value)).alias(name) for name, value in sums.items()]
-    aggregates += [
-        F.sum(F.when(F.col("n") == n, F.col("clipped")).otherwise(0)).alias(f"num_{n}")
-        for n in ORDERS
-    ]
-    aggregates.append(F.count(F.when(is_item, True)).alias("items"))
-    return items.groupBy(*runs).agg(*aggregates)
-
-
-def _brevity(hyp_len: Column, ref_len: Column) -> Column:
-    return (
-        F.when(hyp_len == 0, F.lit(0.0))
-        .when(hyp_len > ref_len, F.lit(1.0))
-        .otherwise(F.exp(1 - ref_len / F.nullif(hyp_len, F.lit(0))))
+        sums[f"den_first_{n}"] = f"greatest(hyp_len - {n - 1}, 1)"
+        sums[f"den_again_{n}"] = f"greatest(hyp_len - {n - 1}, 0)"
+    aggregates = [f"sum({value}) filter (where n = 0) as {name}" for name, value in sums.items()]
+    aggregates += [f"sum(if(n = {n}, clipped, 0)) as num_{n}" for n in ORDERS]
+    aggregates.append("count_if(n = 0) as items")
+    return items.groupBy(*runs).agg(*[F.expr(text) for text in aggregates])
+
+
+def _bleu(denominator: str, reference: str, numerator: str, zero: str) -> Column:
+    logs = " + ".join(
+        f"ln({numerator.format(n=n)} / nullif({denominator}_{n}, 0))" for n in ORDERS
     )
+    brevity = f"if(hyp_len > {reference}, 1d, exp(1 - {reference} / nullif(hyp_len, 0)))"
+    return F.expr(f"if({zero}, 0d, {brevity} * exp(({logs}) / {len(ORDERS)}))")
 
 
 def bleu_first_run() -> Column:
     """Corpus BLEU over `bleu_counts`: closest reference length, zero numerators become 0.1."""
-    logs = [
-        F.ln(F.when(F.col(f"num_{n}") == 0, F.lit(EPSILON)).otherwise(F.col(f"num_{n}")) / F.col(f"den_first_{n}"))
-        for n in ORDERS
-    ]
-    mean = sum(logs[1:], logs[0]) / len(ORDERS)
-    score = _brevity(F.col("hyp_len"), F.col("closest_ref")) * F.exp(mean)
-    return F.when(F.col("num_1") == 0, F.lit(0.0)).otherwise(score)
+    smoothed = f"if(num_{{n}} = 0, {EPSILON}d, num_{{n}})"
+    return _bleu("den_first", "closest_ref", smoothed, "num_1 = 0")
 
 
 def bleu_recomputed() -> Column:
     """Corpus BLEU over `bleu_counts`: shortest reference length, no smoothing."""
-    logs = [
-        F.ln(F.col(f"num_{n}") / F.nullif(F.col(f"den_again_{n}"), F.lit(0))) for n in ORDERS
-    ]
-    mean = sum(logs[1:], logs[0]) / len(ORDERS)
-    score = _brevity(F.col("hyp_len"), F.col("shortest_ref")) * F.exp(mean)
-    any_zero = F.least(*[F.col(f"num_{n}") for n in ORDERS]) == 0
-    return F.when(any_zero, F.lit(0.0)).otherwise(score)
+    return _bleu("den_again", "shortest_ref", "num_{n}", "least(num_1, num_2, num_3, num_4) = 0")
 
 
 # -- averages ---------------------------------------------------------------------------------
