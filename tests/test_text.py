@@ -1,3 +1,4 @@
+import random
 import re
 import string
 
@@ -73,7 +74,8 @@ def test_numbered_name_keeps_long_numbers(spark):
 
 
 def test_four_decimals(spark):
-    df = spark.createDataFrame([(0.32371,), (1234.5,), (0.0,)], "x double")
-    assert [r[0] for r in df.select(tx.four_decimals(F.col("x"))).collect()] == [
-        "0.3237", "1234.5000", "0.0000",
-    ]
+    rng = random.Random(2)
+    values = [0.32371, 1234.5, 0.0, 1.0, 0.15625, 0.03125, 0.00625, 0.12345, 0.00005, 0.99995]
+    values += [rng.random() for _ in range(300)] + [rng.randint(0, 99_999) / 1e5 for _ in range(600)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(tx.four_decimals("x")).collect()] == [f"{v:.4f}" for v in values]

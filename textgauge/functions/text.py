@@ -82,6 +82,18 @@ def completion_text(raw: Column, answer_tag: str = "<|assistant|>") -> Column:
     return F.regexp_replace(F.substring_index(raw, answer_tag, -1), SPECIAL_TAG, "")
 
 
-def four_decimals(score: Column) -> Column:
-    """A score as text with four decimals and no thousands separator."""
-    return F.format_string("%.4f", score)
+def four_decimals(score: str) -> Column:
+    """A score column as text with four decimals, rounded by its exact binary value, ties to even.
+
+    The error of score * 10000 is found with the usual split into two halves of a double; it decides
+    where the product looks like a tie but the score is a little off.
+    """
+    parts = f"{score} - ((134217729d * {score}) - ((134217729d * {score}) - {score}))"  # low half
+    scaled, low = f"({score} * 10000d)", f"({parts})"
+    error = f"((({score} - {low}) * 10000d - {scaled}) + {low} * 10000d)"
+    whole = f"floor({scaled})"
+    up = (
+        f"{scaled} - {whole} > 0.5d or ({scaled} - {whole} = 0.5d "
+        f"and ({error} > 0d or ({error} = 0d and {whole} % 2 = 1)))"
+    )
+    return F.expr(f"format_string('%.4f', ({whole} + if({up}, 1, 0)) / 10000d)")

@@ -31,12 +31,16 @@ def apply_model(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
         for frame in frames:
+            given = frame[inputs]
+            made = []
             for at in range(0, len(frame), batch_size):
-                batch = frame.iloc[at : at + batch_size]
-                made = pd.DataFrame(predict(batch[inputs].reset_index(drop=True)))
-                if len(made) != len(batch):
-                    raise ValueError(f"the model returned {len(made)} rows for {len(batch)}")
-                made.columns = made_fields.names
-                yield pd.concat([batch[keys].reset_index(drop=True), made], axis=1)
+                batch = given.iloc[at : at + batch_size]
+                answer = pd.DataFrame(predict(batch))
+                if len(answer) != len(batch):
+                    raise ValueError(f"the model returned {len(answer)} rows for {len(batch)}")
+                answer.columns = made_fields.names
+                made.append(answer)
+            if made:
+                yield pd.concat([frame[keys], pd.concat(made, ignore_index=True)], axis=1)
 
     return df.select(*keys, *[c for c in inputs if c not in keys]).mapInPandas(run, schema)

@@ -17,7 +17,7 @@ from ..functions.stem import rouge_stems
 from ..operators import chunks, nearest, numbering, pairing, runs, scores
 from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources import captions, sinks
 from ..sources.turns import first_turns, references_of, stand_in_runs
 from . import evaluation, retrieval
@@ -42,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For work that is heavy per row: a table of few splits, such as one small file, on all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def r6(column: str | Column) -> Column:
     """Six decimals. Rounding to twelve first lifts values that sit on a half but for float noise."""
     return F.round(F.round(column, 12), 6)
@@ -118,7 +123,7 @@ def s4_sorted_files(spark, sf_dir):
 
 @query
 def s5_page_text(spark, sf_dir):
-    return captions.pages_as_text(table(spark, sf_dir, "pages"))
+    return captions.pages_as_text(spread_table(spark, sf_dir, "pages"))
 
 
 @query
@@ -157,7 +162,7 @@ def k3_newest_summary(spark, sf_dir):
 @query
 def k4_chunk_store(spark, sf_dir):
     path = scratch_path(spark, "chunks")
-    sinks.write_chunk_store(retrieval.chunk_store(table(spark, sf_dir, "documents")), path)
+    sinks.write_chunk_store(retrieval.chunk_store(spread_table(spark, sf_dir, "documents")), path)
     stored = spark.read.parquet(path)
     return stored.select(
         "chunk_id",
@@ -189,7 +194,7 @@ def p1_row_id(spark, sf_dir):
 
 @query
 def p2_normalised(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.normalise(F.col("text")).alias("text"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", tx.normalise(F.col("text")).alias("text"))
 
 
 def _token_row(tokens: Column) -> list[Column]:
@@ -202,19 +207,19 @@ def _token_row(tokens: Column) -> list[Column]:
 @query
 def p3_whitespace_tokens(spark, sf_dir):
     tokens = tx.whitespace_tokens(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", *_token_row(tokens))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", *_token_row(tokens))
 
 
 @query
 def p4_rouge_tokens(spark, sf_dir):
     tokens = tx.alnum_tokens(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", *_token_row(tokens))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", *_token_row(tokens))
 
 
 @query
 def p4_rouge_stems(spark, sf_dir):
     stems = rouge_stems(tx.alnum_tokens(F.col("text")))
-    return table(spark, sf_dir, "documents").select("doc_id", stems.alias("stems")).select(
+    return spread_table(spark, sf_dir, "documents").select("doc_id", stems.alias("stems")).select(
         "doc_id", *_token_row(F.col("stems"))
     )
 
@@ -271,7 +276,7 @@ def p11_completion_text(spark, sf_dir):
 def p12_four_decimals(spark, sf_dir):
     items = run_items(spark, sf_dir)
     return items.select(
-        *RUN, "item_id", *[tx.four_decimals(F.col(m)).alias(m) for m in evaluation.METRICS]
+        *RUN, "item_id", *[tx.four_decimals(m).alias(m) for m in evaluation.METRICS]
     )
 
 
@@ -293,7 +298,7 @@ def f3_split(spark, sf_dir):
 def f4_no_empty_tokens(spark, sf_dir):
     pieces = F.split(F.col("text"), f"[{tx.WHITESPACE_CLASS}]")
     kept = F.size(F.filter(pieces, lambda w: w != "")).cast("bigint")
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", kept.alias("kept"), (F.size(pieces) - kept).alias("dropped")
     )
 
@@ -340,7 +345,7 @@ def _stand_in_captioner():
 @query
 def j3_model_with_key(spark, sf_dir):
     return apply_model(
-        table(spark, sf_dir, "documents"),
+        spread_table(spark, sf_dir, "documents"),
         _stand_in_captioner,
         keys=["doc_id"],
         inputs=["text"],
@@ -616,18 +621,18 @@ def u2_runs(spark, sf_dir):
 
 @query
 def c1_recursive_chunks(spark, sf_dir):
-    return chunks.recursive_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunks.recursive_chunks(spread_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query
 def c2_page_then_chunks(spark, sf_dir):
-    pages = captions.pages_as_text(table(spark, sf_dir, "pages")).select("page_id", "text")
+    pages = captions.pages_as_text(spread_table(spark, sf_dir, "pages")).select("page_id", "text")
     return chunks.page_then_chunks(pages)
 
 
 @query
 def c3_stride_chunks(spark, sf_dir):
-    return chunks.stride_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunks.stride_chunks(spread_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # -- models and vectors -----------------------------------------------------------------------
@@ -638,7 +643,7 @@ def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.chunk_store(table(spark, sf_dir, "documents"))
+    return retrieval.chunk_store(spread_table(spark, sf_dir, "documents"))
 
 
 def _written_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -651,7 +656,7 @@ def _written_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def m1_model_batches(spark, sf_dir):
     return apply_model(
-        table(spark, sf_dir, "conversations"),
+        spread_table(spark, sf_dir, "conversations"),
         _stand_in_captioner,
         keys=["conv_id", "turn"],
         inputs=["text"],
@@ -662,8 +667,10 @@ def m1_model_batches(spark, sf_dir):
 
 @query
 def m2_hashed_embedding(spark, sf_dir):
-    made = retrieval.embed(table(spark, sf_dir, "documents"), "text")
-    return made.select("doc_id", F.posexplode("embedding").alias("bucket", "weight")).select(
+    made = retrieval.embed(spread_table(spark, sf_dir, "documents"), "text")
+    # The outer form: for the inner one Spark filters on size(embedding) first and so computes
+    # the embedding twice more.
+    return made.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "weight")).select(
         "doc_id", F.col("bucket").cast("bigint").alias("bucket"), r6("weight").alias("weight")
     )
 

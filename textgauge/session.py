@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -15,6 +15,8 @@ def build_session(app: str = "textgauge", master: str | None = None, **conf: str
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Scoring is heavy per byte, so small partitions are worth their own task.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a skewed join even if a later aggregate then needs its own shuffle.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -58,3 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make `DataFrame.checkpoint()` usable, without replacing a folder already set."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A frame with at least one partition per core.
+
+    Only inputs with fewer splits than the cluster has cores are shuffled; a large table is
+    read as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -30,11 +30,13 @@ def read_summaries(spark: SparkSession, path: str, runs: list[str]) -> DataFrame
 
 
 def with_chunk_id(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
-    """One row per distinct chunk text, keyed by its hash, so storing twice adds nothing."""
-    return (
-        chunks.select(F.sha2(text, 256).alias("chunk_id"), F.col(text).alias("chunk_text"))
-        .dropDuplicates(["chunk_id"])
-    )
+    """One row per distinct chunk text, keyed by its hash, so storing twice adds nothing.
+
+    Distinct on the text itself is a hash aggregate that drops copies before the shuffle; by the
+    hash it would have to sort whole texts.
+    """
+    distinct = chunks.select(F.col(text).alias("chunk_text")).distinct()
+    return distinct.select(F.sha2("chunk_text", 256).alias("chunk_id"), "chunk_text")
 
 
 def write_chunk_store(store: DataFrame, path: str) -> None:
