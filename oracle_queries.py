@@ -42,6 +42,13 @@ def low_words(text: str) -> str:
     return words(f"lower({text})")
 
 
+def cut_words(text: str) -> str:
+    text = f"regexp_replace(lower({text}), '([«“‘„»”’])', ' \\1 ', 'g')"
+    for head, tail in (("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na")):
+        text = f"regexp_replace({text}, '\\b({head})({tail})\\b', '\\1 \\2', 'g')"
+    return words(text)
+
+
 def alnum(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '[a-z0-9]+')"
 
@@ -105,14 +112,14 @@ def rouge(tok: str, tokenise=alnum, clean=same) -> list[str]:
     ]
 
 
-def meteor(clean=same) -> list[str]:
+def meteor(clean=same, tokenise=low_words) -> list[str]:
     def placed(name: str, column: str) -> str:
         return f"""{name} AS (
   SELECT {KEY}, w, p, row_number() OVER (PARTITION BY {KEY}, w ORDER BY p DESC) AS k
   FROM (SELECT {KEY}, unnest({column}) AS w, unnest(generate_series(0, len({column}) - 1)) AS p FROM met_t))"""
 
     return [
-        tokens("met_t", low_words, clean),
+        tokens("met_t", tokenise, clean),
         placed("met_h", "ht"),
         placed("met_r", "rt"),
         f"""links AS (
@@ -137,7 +144,7 @@ def meteor(clean=same) -> list[str]:
 def scored(clean=same) -> list[str]:
     return [
         *rouge("rou", alnum, clean),
-        *meteor(clean),
+        *meteor(clean, cut_words if clean is stripped else low_words),
         f"scored AS (SELECT {KEY}, rouge1, rouge2, meteor FROM rou JOIN met USING ({KEY}))",
     ]
 
@@ -338,6 +345,9 @@ def all_sql() -> dict[str, str]:
             "SELECT item_id, slot // 1000 AS block, count(*) AS n_references, "
             "string_agg(reference, ' || ' ORDER BY slot) AS reference_captions FROM refs GROUP BY ALL",
         ),
+        "s2_caption_files": f"""SELECT printf('%06d.jpg', doc_id) AS image_name, text AS generated_caption,
+  '{CHAT_OPEN}Caption the image in one sentence.{CHAT_CLOSE}' AS prompt FROM documents""",
+        "s3_run_documents": with_(first_items, f"SELECT model, dataset, item_id, {METRICS} FROM items"),
         "s4_sorted_files": f"""SELECT page_id, path, row_number() OVER (ORDER BY path, page_id) - 1 AS row_id
 FROM (SELECT page_id, {PATH} AS path FROM pages) WHERE path LIKE '%.html'""",
         "s5_page_text": f"SELECT page_id, url, {PAGE_TEXT} AS text FROM pages",
@@ -476,7 +486,7 @@ FROM numbered GROUP BY model, dataset, batch""",
                 MACRO,
                 LONG,
                 *[part.replace("rou", "rox").replace("roxge", "rouge") for part in rouge("rou", alnum, stripped)],
-                *[_renamed(part) for part in meteor(stripped)],
+                *[_renamed(part) for part in meteor(stripped, cut_words)],
                 f"scored2 AS (SELECT {KEY}, rouge1, rouge2, meteor FROM rox JOIN met2 USING ({KEY}))",
                 SLOTS.replace("FROM scored ", "FROM scored2 "),
                 """long2 AS (

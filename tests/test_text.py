@@ -31,6 +31,15 @@ def test_tokens_match_python(spark):
         assert row["alnum"] == re.findall("[a-z0-9]+", row["text"].lower())
 
 
+def test_word_tokens_cut_quotes_and_contractions(spark):
+    text = "i cannot say «hi» don’t gonna wannabe Gimme cannots"
+    got = one(spark, [text, ""], out=tx.word_tokens(F.col("text")))
+    assert got[0]["out"] == (
+        "i can not say « hi » don ’ t gon na wannabe Gim me cannots".split()
+    )
+    assert got[1]["out"] == []
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
     rows = [r[0] for r in df.select(F.expr(tx.ngrams("t", 2))).collect()]

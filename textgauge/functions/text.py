@@ -12,6 +12,10 @@ WHITESPACE_CLASS = (
     r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
+# What a Treebank-style word tokeniser still cuts once ASCII punctuation is gone:
+# quotation marks stand alone, and these contractions come apart.
+QUOTES = "«“‘„»”’"
+CONTRACTIONS = ("can|not", "gim|me", "gon|na", "got|ta", "lem|me", "wan|na")
 # Fixed value: one special marker in a raw completion, such as <|end|>.
 SPECIAL_TAG = r"<\|[a-z0-9_]+\|>"
 # The entities replaced in page text; the ampersand comes last.
@@ -44,6 +48,14 @@ def whitespace_tokens(text: Column) -> Column:
     return F.filter(F.split(text, f"[{WHITESPACE_CLASS}]+"), lambda word: word != "")
 
 
+def word_tokens(text: Column) -> Column:
+    """Words of text without ASCII punctuation: whitespace tokens, quotes and contractions cut."""
+    parts = [pair.split("|") for pair in CONTRACTIONS]
+    heads = "|".join(rf"{head}(?={tail}\b)" for head, tail in parts)
+    apart = F.regexp_replace(text, f"([{QUOTES}])", " $1 ")
+    return whitespace_tokens(F.regexp_replace(apart, rf"(?i)\b({heads})", "$1 "))
+
+
 def alnum_tokens(text: Column) -> Column:
     """Runs of [a-z0-9] in the lowercased text: the tokens of ROUGE."""
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))

@@ -115,6 +115,34 @@ def s1_captioned_dataset(spark, sf_dir):
     )
 
 
+@query
+def s2_caption_files(spark, sf_dir):
+    """Files with a header element, written from the documents and read back (also F1 and J4)."""
+    path = scratch_path(spark, "caption-files")
+    made = numbering.dense_index(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    sinks.write_caption_files(
+        made.select(
+            "row_id",
+            pr.numbered_name(F.col("doc_id")).alias("image_name"),
+            F.col("text").alias("generated_caption"),
+        ),
+        path,
+        "<|user|><|image_1|>Caption the image in one sentence.<|end|><|assistant|>",
+    )
+    return captions.read_caption_files(spark, path).drop("file")
+
+
+@query
+def s3_run_documents(spark, sf_dir):
+    """Nested run documents, written and unnested again (also P13)."""
+    path = scratch_path(spark, "run-documents")
+    numbered = numbering.index_in_group(run_items(spark, sf_dir), RUN, "item_id", "row_id")
+    nested = runs.blocked_results(numbered, 100, ["item_id", *evaluation.METRICS])
+    sinks.write_run_documents(nested, path)
+    items = captions.unnest_items(spark.read.schema(nested.schema).json(path))
+    return rounded(items.select(*RUN, "item_id", *evaluation.METRICS), *evaluation.METRICS)
+
+
 @query
 def s4_sorted_files(spark, sf_dir):
     files = table(spark, sf_dir, "pages").select("page_id", pr.url_path(F.col("url")).alias("path"))

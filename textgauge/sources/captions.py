@@ -48,13 +48,15 @@ def read_caption_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CAPTION_FIELDS).json(path)
 
 
+def unnest_items(documents: DataFrame) -> DataFrame:
+    """One row per element of `results`, its fields as columns beside those of the document."""
+    kept = [c for c in documents.columns if c != "results"]
+    return documents.select(*kept, F.explode("results").alias("r")).select(*kept, "r.*")
+
+
 def read_run_items(spark: SparkSession, path: str) -> DataFrame:
     """The items of stored run documents, one row each."""
-    return (
-        _json_documents(spark, path, RUN_FIELDS)
-        .select("file", F.explode("results").alias("r"))
-        .select("file", "r.*")
-    )
+    return unnest_items(_json_documents(spark, path, RUN_FIELDS).select("file", "results"))
 
 
 def read_run_summaries(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,32 @@ def write_captions(captions: DataFrame, path: str) -> None:
     captions.select("image_name", "generated_caption", "prompt").write.mode("errorifexists").json(path)
 
 
+def write_caption_files(captions: DataFrame, path: str, prompt: str, per_file: int = 1000) -> None:
+    """Caption files in the original shape: a JSON array whose first element holds the prompt.
+
+    `captions` needs row_id, dense from 0. Each file holds `per_file` captions and its own header, so
+    no file or task grows with the table.
+    """
+    fields = "struct(string(null) as prompt, image_name, generated_caption)"
+    header = F.struct(
+        F.lit(prompt).alias("prompt"),
+        F.lit(None).cast("string").alias("image_name"),
+        F.lit(None).cast("string").alias("generated_caption"),
+    )
+    rows = captions.groupBy(F.expr(f"row_id div {per_file}").alias("file")).agg(
+        F.array_sort(F.expr(f"collect_list(struct(row_id, {fields} as item))")).alias("rows")
+    )
+    documents = rows.select(
+        F.to_json(F.concat(F.array(header), F.col("rows.item"))).alias("value")
+    )
+    documents.write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
+
+
+def write_run_documents(nested: DataFrame, path: str) -> None:
+    """Run documents as `blocked_results` makes them, one JSON object per line."""
+    nested.write.mode("errorifexists").json(path)
+
+
 def append_summary(summary: DataFrame, path: str, version: int) -> None:
     """A new version of run summaries; earlier versions stay, so nothing is read and replaced at once."""
     summary.write.mode("errorifexists").parquet(f"{path}/version={version}")
