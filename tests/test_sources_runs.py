@@ -1,4 +1,5 @@
 import json
+import uuid
 
 import pandas as pd
 import pytest
@@ -158,6 +159,14 @@ def test_model_gets_batches_and_keys_stay(spark):
 
     out = apply_model(df, load, ["k"], ["text"], "n INT, size INT").collect()
     assert sorted((r.k, r.n) for r in out) == [(i, len(str(i))) for i in range(47)]
+
+    def load_with_mark():
+        mark = uuid.uuid4().hex
+        return lambda batch: pd.Series([mark] * len(batch))
+
+    many = spark.range(64).selectExpr("id as k", "'x' as text").repartition(64)
+    marks = apply_model(many, load_with_mark, ["k"], ["text"], "mark STRING", name="marked").collect()
+    assert len(marks) == 64 and len({r.mark for r in marks}) <= 16  # loads per worker, not per task
     bad = apply_model(df, lambda: lambda b: pd.Series(["x"] * (len(b) + 1)), ["k"], ["text"], "y STRING")
     with pytest.raises(Exception, match="returned"):
         bad.collect()

@@ -45,7 +45,7 @@ def normalise(text: Column) -> Column:
 
 def whitespace_tokens(text: Column) -> Column:
     """Words between runs of whitespace, without empties."""
-    return F.filter(F.split(text, f"[{WHITESPACE_CLASS}]+"), lambda word: word != "")
+    return F.array_remove(F.split(text, f"[{WHITESPACE_CLASS}]+"), "")
 
 
 def word_tokens(text: Column) -> Column:
@@ -61,10 +61,6 @@ def alnum_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
-def lower_tokens(tokens: Column) -> Column:
-    return F.transform(tokens, F.lower)
-
-
 def ngrams(tokens: str, n: int) -> str:
     """SQL text: all n-grams of a token array as strings joined by one space."""
     if n == 1:

@@ -10,6 +10,15 @@ from pyspark.sql.types import StructType
 
 Predict = Callable[[pd.DataFrame], "pd.Series | pd.DataFrame"]
 
+_LOADED: dict[str, Predict] = {}  # models kept in a worker process between tasks
+
+
+def _kept_model(name: str, load: Callable[[], Predict]) -> Predict:
+    # At module level, so that a worker finds its own dictionary and not a pickled copy.
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
+
 
 def apply_model(
     df: DataFrame,
@@ -18,10 +27,11 @@ def apply_model(
     inputs: list[str],
     output: str,
     batch_size: int = 10,
+    name: str | None = None,
 ) -> DataFrame:
     """Keys plus the model's output for every row.
 
-    `load` runs once per task and returns the function to call on frames of at most `batch_size`
+    `load` runs once per task, or once per Python worker if the model has a `name`, and returns the function to call on frames of at most `batch_size`
     rows with the input columns; that returns a series or frame in the same row order. `output` is
     the DDL of its columns. Keys never reach the model, they stay beside its output.
     """
@@ -29,7 +39,7 @@ def apply_model(
     schema = StructType(df.select(*keys).schema.fields + made_fields.fields)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = load()
+        predict = load() if name is None else _kept_model(name, load)
         for frame in frames:
             given = frame[inputs]
             made = []

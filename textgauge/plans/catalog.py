@@ -74,8 +74,8 @@ def run_pairs(spark: SparkSession, sf_dir: str, slots: bool = False) -> DataFram
 def with_words(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns(
         {
-            "hyp_tokens": tx.lower_tokens(tx.whitespace_tokens(F.col("hypothesis"))),
-            "ref_tokens": tx.lower_tokens(tx.whitespace_tokens(F.col("reference"))),
+            "hyp_tokens": tx.whitespace_tokens(F.lower("hypothesis")),
+            "ref_tokens": tx.whitespace_tokens(F.lower("reference")),
         }
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stem import rouge_stems
-from ..functions.text import alnum_tokens, lower_tokens, normalise, whitespace_tokens, word_tokens
+from ..functions.text import alnum_tokens, normalise, whitespace_tokens, word_tokens
 from ..operators import scores
 
 METRICS = ["rouge1", "rouge2", "meteor"]
@@ -48,8 +48,8 @@ def score_pairs(pairs: DataFrame, how: Definition, synonyms: DataFrame | None =
         return rouge_stems(tokens) if how.stem_rouge else tokens
 
     def words(column: str) -> Column:
-        cut = word_tokens if how.normalised else whitespace_tokens
-        return lower_tokens(cut(how.text(column)))
+        text = how.text(column)
+        return word_tokens(text) if how.normalised else whitespace_tokens(F.lower(text))
 
     tokens = pairs.withColumns(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +32,20 @@ def build_session(app: str = "textgauge", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, as `--py-files` would; once per Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_textgauge_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="textgauge-"), "textgauge_package")
+    context.addPyFile(shutil.make_archive(archive, "zip", root, os.path.basename(os.path.dirname(__file__))))
+    context._textgauge_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
