@@ -38,22 +38,15 @@ def cosine(a: Column, b: Column) -> Column:
 def hashed_frequencies(tokens: str) -> Column:
     """Token counts hashed to 64 buckets and scaled to length 1; all zero without tokens.
 
-    A token's bucket comes from the first four hex digits of its MD5. The buckets of a row are
-    sorted; the lengths of their runs are the counts.
+    A token's bucket comes from the first four hex digits of its MD5. Every bucket is put in once
+    more and the lot is sorted: that makes exactly 64 runs, each one longer than its count.
     """
     bucket = f"cast(conv(substring(md5(token), 1, 4), 16, 10) as int) % {BUCKETS}"
+    last = BUCKETS - 1
     counts = let(
         "starts",
         run_starts("buckets"),
-        let(
-            "present",
-            "transform(starts, at -> get(buckets, at))",
-            f"""transform(sequence(0, {BUCKETS - 1}), bucket -> {let(
-                "nth",
-                "cast(array_position(present, bucket) as int)",
-                "case when nth > 0 then cast(get(starts, nth) - get(starts, nth - 1) as double) else 0d end",
-            )})""",
-        ),
+        f"transform(sequence(0, {last}), b -> double(get(starts, b + 1) - get(starts, b) - 1))",
     )
     scaled = let(
         "total",
@@ -62,7 +55,7 @@ def hashed_frequencies(tokens: str) -> Column:
     )
     vector = let(
         "buckets",
-        f"sort_array(transform(tokens, token -> {bucket}))",
+        f"sort_array(concat(sequence(0, {last}), transform(tokens, token -> {bucket})))",
         let("counted", counts, scaled),
     )
     return F.expr(let("tokens", tokens, vector))
