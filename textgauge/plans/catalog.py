@@ -91,8 +91,7 @@ def with_alnum(pairs: DataFrame) -> DataFrame:
 
 def run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per run and item the means over its references, first-run definition."""
-    scored = evaluation.score_pairs(run_pairs(spark, sf_dir), PLAIN_FIRST)
-    return scores.item_means(scored, [*RUN, "item_id"], evaluation.METRICS)
+    return evaluation.item_scores(run_pairs(spark, sf_dir), PLAIN_FIRST, RUN)
 
 
 def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.stem import rouge_stems
 from ..functions.text import alnum_tokens, normalise, whitespace_tokens, word_tokens
 from ..operators import scores
+from ..operators.pairing import explode_references
 
 METRICS = ["rouge1", "rouge2", "meteor"]
 
@@ -84,10 +85,30 @@ def summarise(scored: DataFrame, how: Definition, runs: list[str]) -> DataFrame:
     return scores.run_means(items, runs, METRICS)
 
 
+def item_scores(
+    pairs: DataFrame, how: Definition, runs: list[str], synonyms: DataFrame | None = None
+) -> DataFrame:
+    """rouge1, rouge2 and meteor of each item: the means over its references."""
+    return scores.item_means(score_pairs(pairs, how, synonyms), [*runs, "item_id"], METRICS)
+
+
+def pairs_of_items(items: DataFrame) -> DataFrame:
+    """Pairs of items that carry their references as an array; nothing is shuffled for it.
+
+    `items` has item_id, hypothesis, reference_captions and any run columns.
+    """
+    return explode_references(items)
+
+
 def run_summary(
     pairs: DataFrame, how: Definition, runs: list[str], synonyms: DataFrame | None = None
 ) -> DataFrame:
-    """One row per run: bleu, rouge1, rouge2, meteor and the name of the definition."""
+    """One row per run: bleu, rouge1, rouge2, meteor and the name of the definition.
+
+    `runs` names the columns that tell runs apart; give a single run a constant one.
+    """
+    if not runs:
+        raise ValueError("name at least one run column")
     means = summarise(score_pairs(pairs, how, synonyms), how, runs)
     return (
         corpus_bleu(pairs, how, runs)
