@@ -93,15 +93,17 @@ def align_last(left: str, right: str, left_at: str | None = None, right_at: str
             f"place -> struct(get({words}, place) as key, {side} as side, -place as back))"
         )
 
-    merged = let(
-        "common",
-        f"array_intersect({left}, {right})",
-        f"sort_array(concat({entries(left, left_at, 0)}, {entries(right, right_at, 1)}))",
-    )
+    merged = f"sort_array(concat({entries(left, left_at, 0)}, {entries(right, right_at, 1)}))"
     runs = let("starts", run_starts("merged", "side", "key"), _shared_runs("merged", "starts"))
     pairs = """transform(sequence(0, run.shared - 1), k -> struct(
         -get(merged, run.left_at + k).back as l, -get(merged, run.right_at + k).back as r))"""
-    return let("merged", merged, f"flatten(transform({runs}, run -> {pairs}))")
+    aligned = let("merged", merged, f"flatten(transform({runs}, run -> {pairs}))")
+    return let(
+        "common",
+        f"array_intersect({left}, {right})",
+        "case when size(common) = 0 then cast(array() as array<struct<l: int, r: int>>) "
+        f"else {aligned} end",
+    )
 
 
 def chunk_count(pairs: str) -> str:

@@ -29,8 +29,11 @@ class Definition:
     stem_meteor: bool
     by_slot: bool
 
-    def text(self, column: str) -> Column:
-        return normalise(F.col(column)) if self.normalised else F.col(column)
+    def clean(self, pairs: DataFrame) -> DataFrame:
+        """Both texts as the definition wants them, worked out once for all metrics."""
+        if not self.normalised:
+            return pairs
+        return pairs.withColumns({c: normalise(F.col(c)) for c in ("hypothesis", "reference")})
 
     def bleu_score(self) -> Column:
         return scores.bleu_recomputed() if self.by_slot else scores.bleu_first_run()
@@ -45,14 +48,13 @@ def score_pairs(pairs: DataFrame, how: Definition, synonyms: DataFrame | None =
     kept = [c for c in pairs.columns if c not in ("hypothesis", "reference")]
 
     def rouge_tokens(column: str) -> Column:
-        tokens = alnum_tokens(how.text(column))
+        tokens = alnum_tokens(F.col(column))
         return rouge_stems(tokens) if how.stem_rouge else tokens
 
     def words(column: str) -> Column:
-        text = how.text(column)
-        return word_tokens(text) if how.normalised else whitespace_tokens(F.lower(text))
+        return word_tokens(F.col(column)) if how.normalised else whitespace_tokens(F.lower(column))
 
-    tokens = pairs.withColumns(
+    tokens = how.clean(pairs).withColumns(
         {
             "_hyp_grams": rouge_tokens("hypothesis"),
             "_ref_grams": rouge_tokens("reference"),
@@ -68,10 +70,10 @@ def score_pairs(pairs: DataFrame, how: Definition, synonyms: DataFrame | None =
 
 
 def corpus_bleu(pairs: DataFrame, how: Definition, runs: list[str]) -> DataFrame:
-    tokens = pairs.withColumns(
+    tokens = how.clean(pairs).withColumns(
         {
-            "hyp_tokens": whitespace_tokens(how.text("hypothesis")),
-            "ref_tokens": whitespace_tokens(how.text("reference")),
+            "hyp_tokens": whitespace_tokens(F.col("hypothesis")),
+            "ref_tokens": whitespace_tokens(F.col("reference")),
         }
     )
     return scores.bleu_counts(tokens, runs).select(*runs, how.bleu_score().alias("bleu"))
