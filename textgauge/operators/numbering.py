@@ -16,7 +16,8 @@ def dense_index(df: DataFrame, *order: str, name: str = "row_id") -> DataFrame:
     The rows are sorted across partitions; each then needs only the row count of the partitions
     before its own. The sorted rows go through a checkpoint, so that counting and numbering see
     the same partitions even if an executor is lost in between. Select the columns you need first:
-    they are all written once.
+    they are all written once. End the order with a unique column, so that many equal keys
+    still spread over partitions.
     """
     ensure_checkpoint_dir(df.sparkSession)
     placed = (
