@@ -8,13 +8,27 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textgauge.llm import exact_dedup, packing, simhash
+from textgauge.llm import exact_dedup, language, packing, rules, simhash
 from textgauge.llm.common import ROW, stored, with_row_id, without_rows
 
 SEQUENCE_TOKENS = 2048
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents near a centroid of a language stay; centroids are learned from those with a lang."""
+    rows = with_row_id(docs)
+    model = language.learn(docs, held_out=F.lit(False))
+    return without_rows(rows, language.identify(rows, model, carry=(ROW,)).filter("rejected"))
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and are no outliers of their language and source stay."""
+    rows = with_row_id(docs)
+    return without_rows(rows, rules.quality_rules(rows, carry=(ROW,)).filter("not kept"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     rows = with_row_id(docs)
@@ -35,6 +49,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("language_id", keep_known_languages),
+    ("quality_rules", keep_good_quality),
     ("exact_dedup", drop_exact_copies),
     ("simhash_near_dedup", drop_near_copies),
     ("best_fit_packing", pack_sequences),

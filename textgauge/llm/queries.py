@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textgauge.llm import exact_dedup, packing, simhash, token_files
+from textgauge.llm import exact_dedup, language, packing, quality, rules, simhash, token_files
+from textgauge.llm.common import stored
 from textgauge.session import scratch_path
 
 
@@ -30,11 +32,36 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), 2048)
 
 
+def _remainder(n: int, held: int) -> Column:
+    """If the crc32 of the id as text leaves the remainder `held`; false for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string")) % n == held, F.lit(False))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels outside the held-out fifth."""
+    held_out = _remainder(5, 0)
+    rows = stored(quality.with_features(_table(spark, sf_dir, "documents")), "features")
+    model = quality.learn(rows, quality.labelled(_table(spark, sf_dir, "labels"), held_out))
+    return quality.scored(rows, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those outside the held-out quarter."""
+    docs, held_out = _table(spark, sf_dir, "documents"), _remainder(4, 2)
+    found = language.identify(docs, language.learn(docs, held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group and the survivor of every document."""
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 3 bits."""
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -45,7 +72,10 @@ QUERIES = {
     for f in (
         op1_token_files,
         op2_best_fit_packing,
+        op4_quality_classifier,
+        op5_language_id,
         op6_exact_dedup,
+        op9_quality_rules,
         op10_simhash,
     )
 }
