@@ -1,27 +1,35 @@
-"""Token ids of whole texts by the tokenizers library, with an encoding kept for each word."""
+"""Token ids of whole texts by the tokenizers library, each distinct word encoded once.
+
+A byte-level pre-tokenizer always starts a token at a space that follows or precedes a character which is
+no white space. So texts are split at single spaces, the words numbered by their values, the new ones
+encoded by the library, and the ids of the texts gathered from those of their words. Texts with
+longer runs of white space around spaces are encoded whole.
+"""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# A space between two white-space characters, or last after one: no token need start there.
+_WHITE = r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}]"
+_INSIDE_RUN = rf"{_WHITE} {_WHITE}|{_WHITE} \z"
 
-# A space between two white-space characters, or last after one: no token boundary lies there.
-_INSIDE_RUN = re.compile(r"\s \s|\s \Z")
+# An encoder forgets its words beyond so many, or so many bytes of them.
+KEPT_WORDS, KEPT_BYTES = 1_500_000, 32 << 20
 
-# An encoder forgets its words beyond this many entries or characters.
-KEPT_WORDS, KEPT_CHARS = 400_000, 16_000_000
+# Bytes of text whose words are numbered at once.
+SLICE_BYTES = 8 << 20
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Encodes texts piece by piece, cut at each single space.
-
-    A byte-level pre-tokenizer always starts a token at a space that follows or precedes a
-    character which is no white space, so the ids of the pieces are the ids of the text. Texts
-    with longer runs of white space around spaces are encoded whole.
-    """
+    """Encodes columns of texts with the library's tokenizer in a file."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -30,55 +38,81 @@ class WordEncoder:
         self.library.encode_special_tokens = True
         self.library.no_truncation()
         self.library.no_padding()
-        size = self.library.get_vocab_size()
-        self.opens = np.zeros(size, dtype=bool)
+        self.opens = np.zeros(self.library.get_vocab_size(), dtype=bool)
         for token, number in self.library.get_vocab().items():
             self.opens[number] = token.startswith("Ġ")
-        self.words: dict[str, bytes] = {}
-        self.chars = 0
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words kept, and the ids of each after those of the one before."""
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), "<u4")
+        return ids, np.fromiter(map(len, found), np.int64, len(found))
 
-    def _learn(self, words: list[str]) -> None:
+    def _after_spaces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words after a space: many are encoded as one text and cut at the spaces."""
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
-            ids = np.array(self.library.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            cuts = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4).tolist()
-            if len(cuts) != len(some) + 1:
-                raise ValueError("a word was not encoded on its own")
-            data = ids.tobytes()
-            self.words.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
-            self.chars += sum(map(len, some))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
-        whole = {i for i, t in enumerate(texts) if _INSIDE_RUN.search(t)}
-        for i, data in zip(whole, self._whole([texts[i] for i in whole])):
-            out[i] = data
-        parts = {i: t.split(" ") for i, t in enumerate(texts) if t and i not in whole}
-        heads = self._whole([p.pop(0) for p in parts.values()])
-        used = set().union(*parts.values())
+        joined = ["".join([" " + w for w in words[at : at + 1000]]) for at in range(0, len(words), 1000)]
+        ids = self._whole(joined)[0]
+        cuts = np.append(np.flatnonzero(self.opens[ids]), len(ids))
+        if len(cuts) != len(words) + 1:
+            raise ValueError("a word was not encoded on its own")
+        return ids, np.diff(cuts)
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The place of each of some distinct words among those kept, after learning the new ones."""
+        if len(self.words) > KEPT_WORDS or self.words.nbytes > KEPT_BYTES:
+            self._forget()
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        new = words.take(pa.array(missing)).to_pylist()
         # Words with white space at an end might join with their neighbours, so each is its own text.
-        odd = [w for w in used if not w or w[0].isspace() or w[-1].isspace()]
-        odd_ids = dict(zip(odd, self._whole([" " + w for w in odd])))
-        used.difference_update(odd)
-        new = used - self.words.keys()
-        if len(self.words) + len(new) > KEPT_WORDS or self.chars > KEPT_CHARS:
-            self.words.clear()
-            self.chars = 0
-            new = used
-        self._learn(list(new))
-        known = self.words
-        for (i, words), head in zip(parts.items(), heads):
-            if odd_ids.keys().isdisjoint(words):
-                out[i] = head + b"".join(map(known.__getitem__, words))
-            else:
-                out[i] = head + b"".join([odd_ids[w] if w in odd_ids else known[w] for w in words])
-        return out
+        odd = np.array([not w or w[0].isspace() or w[-1].isspace() for w in new], dtype=bool)
+        plain = self._after_spaces([w for w, o in zip(new, odd.tolist()) if not o])
+        alone = self._whole([" " + new[i] for i in np.flatnonzero(odd)])
+        missing = np.concatenate([missing[~odd], missing[odd]])
+        at[missing] = len(self.words) + np.arange(len(missing))
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(missing))])
+        self.ids = np.concatenate([self.ids, plain[0], alone[0]])
+        self.sizes = np.concatenate([self.sizes, plain[1], alone[1]])
+        return at
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (large strings without nulls) in order, and how many each text has."""
+        irregular = pc.match_substring_regex(texts, _INSIDE_RUN)
+        split = pc.split_pattern(pc.if_else(irregular, "", texts), " ")
+        numbered = split.flatten().dictionary_encode()
+        index = numbered.indices.to_numpy().astype(np.int64)
+        # The first word of a text has no space before it; an irregular text counts as one such word.
+        first = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
+        heads = self._whole(pc.if_else(irregular, texts, pc.list_element(split, 0)).to_pylist())
+        is_used = np.zeros(len(numbered.dictionary), dtype=bool)
+        others = np.ones(len(index), dtype=bool)
+        others[first] = False
+        is_used[index[others]] = True
+        place = np.zeros(len(is_used), dtype=np.int64)
+        place[is_used] = self._numbers(numbered.dictionary.filter(pa.array(is_used)))
+        index = place[index]
+        index[first] = len(self.words) + np.arange(len(first))
+        known, sizes = np.concatenate([self.ids, heads[0]]), np.concatenate([self.sizes, heads[1]])
+        n = sizes[index]
+        ends = np.cumsum(n)
+        source = np.repeat((np.cumsum(sizes) - sizes)[index] - (ends - n), n)
+        source += np.arange(len(source))
+        total = np.append(0, ends)
+        return known[source], np.diff(total[np.append(first, len(index))])
+
+    def encode_slices(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """encode() of a few megabytes of a column at a time, null as empty, with the first row's place."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        sizes = pc.binary_length(texts).to_numpy()
+        part = np.cumsum(sizes) // SLICE_BYTES
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+        for a, b in zip(starts, np.append(starts[1:], len(texts))):
+            yield int(a), *self.encode(texts.slice(int(a), int(b - a)))
 
 
 def encoder(path: str) -> WordEncoder:

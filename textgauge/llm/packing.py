@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import slices, stored
+from textgauge.llm.common import stored
 from textgauge.llm.encode import encoder
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -49,13 +49,12 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int =
         seen = [0] * (capacity + 1)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            at = 0
-            for texts in slices(batch.column("text")):
+            for at, ids, sizes in encoder(vocabulary).encode_slices(batch.column("text")):
                 rows: list[tuple] = []
-                doc_ids = batch.column("doc_id").slice(at, len(texts)).to_pylist()
-                at += len(texts)
-                for doc_id, data in zip(doc_ids, encoder(vocabulary).encode(texts)):
-                    data += end
+                doc_ids = batch.column("doc_id").slice(at, len(sizes)).to_pylist()
+                ends = np.cumsum(sizes).tolist()
+                for doc_id, a, b in zip(doc_ids, [0, *ends], ends):
+                    data = ids[a:b].tobytes() + end
                     for number, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                         part = data[4 * start : 4 * (start + length)]
                         row = (doc_id, number, start, length, zlib.crc32(part), shard, seen[length])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import exact_dedup, language, packing, quality, rules, simhash, token_files
+from textgauge.llm import byte_bpe, exact_dedup, html_text, language, packing, quality, rules, simhash, token_files, warc
 from textgauge.llm.common import stored
 from textgauge.session import scratch_path
 
@@ -32,6 +32,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), 2048)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes the documents by ranks, decodes the ids and digests both."""
+    ranks = _vocabulary("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.encoded(_table(spark, sf_dir, "documents"), ranks), ranks)
+
+
 def _remainder(n: int, held: int) -> Column:
     """If the crc32 of the id as text leaves the remainder `held`; false for a null id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string")) % n == held, F.lit(False))
@@ -57,6 +63,24 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes two replicas of all pages, one with damaged records, and audits them."""
+    pages = _table(spark, sf_dir, "pages")
+    hit = (F.col("page_id") % 97 == 5) & (F.substring("html", 2, 1) == "!")
+    harmed = pages.withColumn("html", F.when(hit, F.overlay("html", F.lit("?"), 2, 1)).otherwise(F.col("html")))
+    replicas = []
+    for name, rows in (("warc", pages), ("warc-replica", harmed)):
+        path = scratch_path(spark, name)
+        warc.write_warc(rows, path)
+        replicas.append(stored(warc.read_warc(spark, path), "warc-records"))
+    return warc.audit(*replicas)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return rules.quality_rules(_table(spark, sf_dir, "documents"))
@@ -72,9 +96,12 @@ QUERIES = {
     for f in (
         op1_token_files,
         op2_best_fit_packing,
+        op3_byte_bpe,
         op4_quality_classifier,
         op5_language_id,
         op6_exact_dedup,
+        op7_html_text,
+        op8_warc_audit,
         op9_quality_rules,
         op10_simhash,
     )
@@ -95,4 +122,23 @@ ORACLE_SQL = {
         FROM rows
         WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)
     """,
+    "op8_warc_audit": r"""
+        WITH records AS (
+            SELECT (page_id // 512)::VARCHAR AS warc_file, page_id, coalesce(url, '') AS target, html,
+                   concat(E'WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:', page_id,
+                          E'>\r\nWARC-Target-URI: ', coalesce(url, ''),
+                          E'\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ',
+                          strlen(coalesce(html, '')), E'\r\n\r\n', coalesce(html, ''), E'\r\n\r\n') AS record
+            FROM pages
+        )
+        SELECT warc_file,
+               row_number() OVER w - 1 AS record_no,
+               (sum(strlen(record)) OVER w - strlen(record))::BIGINT AS "offset",
+               strlen(record) AS length,
+               target,
+               sha256(record) AS record_sha256,
+               CASE WHEN page_id % 97 = 5 AND substring(html, 2, 1) = '!' THEN 'changed' ELSE 'same' END AS state
+        FROM records
+        WINDOW w AS (PARTITION BY warc_file ORDER BY page_id, target, html)
+    """,
 }

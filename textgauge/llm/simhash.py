@@ -186,6 +186,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, carry: tu
     groups = prints.join(nodes.join(ids, "root").select("fp", "linked_id"), "fp", "left").select(
         "fp", F.coalesce("linked_id", "first_id").alias("component_id")
     )
+    # Stored, so that both sides of the next join are plain exchanges, whose hot keys Spark splits.
+    groups = stored(groups, "groups")
     return rows.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *carry
     )

@@ -27,7 +27,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import slices
 from textgauge.llm.encode import encoder
 
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 64 << 10
@@ -49,27 +48,25 @@ def with_tokens(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, start = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            at = 0
-            for texts in slices(batch.column("text")):
-                ids = [data + end for data in encoder(vocabulary).encode(texts)]
-                sizes = np.array([len(data) // 4 for data in ids], dtype=np.int64)
-                starts = start + np.cumsum(sizes) - sizes
-                offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-                tokens = np.frombuffer(b"".join(ids), dtype="<i4")
+            for at, ids, sizes in encoder(vocabulary).encode_slices(batch.column("text")):
+                ends = np.cumsum(sizes)
+                sizes = sizes + 1
+                offsets = np.append(0, np.cumsum(sizes))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(ids), shard, dtype=np.int32)),
-                        batch.column("doc_id").slice(at, len(ids)),
-                        pa.array(starts),
+                        pa.array(np.full(len(sizes), shard, dtype=np.int32)),
+                        batch.column("doc_id").slice(at, len(sizes)),
+                        pa.array(start + offsets[:-1]),
                         pa.array(sizes),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)),
+                        pa.ListArray.from_arrays(
+                            pa.array(offsets.astype(np.int32)),
+                            pa.array(np.insert(ids, ends, np.uint32(end_id)).view("<i4")),
+                        ),
                     ],
                     schema=_ARROW,
                 )
-                start += int(sizes.sum())
-                at += len(ids)
+                start += int(offsets[-1])
 
     placed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     ordered = placed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
