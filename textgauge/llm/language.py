@@ -4,7 +4,8 @@ A text becomes counts of its letter bigrams and trigrams inside words (lower cas
 both ends), hashed to DIMENSIONS; counts are damped by a logarithm, weighted by inverse document
 frequency and normalised. Each language has several centroids, found by spherical k-means, and a text gets the
 language of the centroid with the largest cosine. A text is rejected if its distance, 1 less the
-cosine, is over REACH times that of the farthest document that the centroids of the language were made from.
+cosine, is over REACH times that of the farthest document that the centroids of the language were made
+from, or over FARTHEST.
 
 Document frequencies are counted over all labelled documents to learn from. The centroids are fitted on a sample of at
 most about SAMPLE documents for each language, chosen by a hash of the id. Languages are counted on the
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 from textgauge.llm.common import slices, stored
 
-DIMENSIONS, CLUSTERS, SAMPLE, REACH = 4096, 3, 600, 1.25
+DIMENSIONS, CLUSTERS, SAMPLE, REACH, FARTHEST = 4096, 3, 600, 1.25, 0.97
 UNKNOWN = "und"
 
 # Texts whose counts are held in memory at once.
@@ -151,7 +152,7 @@ def learn(docs: DataFrame, held_out: Column) -> dict:
         own = centroids(vectors, CLUSTERS)
         farthest = 1 - (vectors @ own.T).max(axis=1).min()
         labels += [label] * len(own)
-        reach += [REACH * farthest] * len(own)
+        reach += [min(REACH * farthest, FARTHEST)] * len(own)
         points.append(own)
     return {"labels": labels, "points": np.concatenate(points), "reach": np.array(reach), "idf": idf} if labels else {}
 

@@ -32,7 +32,9 @@ from textgauge.llm.common import stored
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 
-SHARE, STEPS, MIN_ROWS, SALTS = 0.75, 4, 200, 64
+SHARE, STEPS, MIN_ROWS, SALTS = 0.75, 4, 50, 64
+# Classes of squared distance for each factor of e.
+CLASSES = 10
 # Squared distance beyond which a document is rejected: a normal one is with a chance of 1e-15.
 CUTOFF = 80.0
 # Standard deviation added to each feature: most documents may agree exactly in one, and a small
@@ -137,8 +139,9 @@ def _solve(sums: pd.DataFrame) -> pd.DataFrame:
     d, rows = len(FEATURES), []
     floor = np.diag(np.square(list(FEATURES.values())))
     for r in sums.itertuples(index=False):
-        mean = np.array(r.s) / r.n
-        scatter = np.array(r.p).reshape(d, d) / r.n - np.outer(mean, mean)
+        mean, upper = np.array(r.s) / r.n, np.zeros((d, d))
+        upper[np.triu_indices(d)] = np.array(r.p) / r.n
+        scatter = upper + np.triu(upper, 1).T - np.outer(mean, mean)
         rows.append((r.g_lang, r.g_source, mean.tolist(), np.linalg.inv(scatter + floor).ravel().tolist(), int(r.total)))
     return pd.DataFrame(rows, columns=["g_lang", "g_source", "mean", "inverse", "n"])
 
@@ -149,13 +152,19 @@ def _each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """Rows that count in the estimates: in their group, their language and all documents."""
-    levels = F.array(
-        F.struct("g_lang", "g_source"),
-        F.struct(F.col("g_lang"), F.lit("").alias("g_source")),
-        F.struct(F.lit("").alias("g_lang"), F.lit("").alias("g_source")),
-    )
-    good = rows.filter("not base_failed").select("x", "salt", F.explode(F.array_distinct(levels)).alias("g"))
+    """Rows that count in the estimates: in their group, and in the wider groups that any row uses."""
+    by_lang, by_none = rows.agg(
+        F.bool_or((F.col("g_source") == "") & (F.col("g_lang") != "")), F.bool_or(F.col("g_lang") == "")
+    ).first()
+    levels = [F.struct("g_lang", "g_source")]
+    if by_lang:
+        levels.append(F.struct(F.col("g_lang"), F.lit("").alias("g_source")))
+    if by_none:
+        levels.append(F.struct(F.lit("").alias("g_lang"), F.lit("").alias("g_source")))
+    good = rows.filter("not base_failed")
+    if len(levels) == 1:
+        return good.select("g_lang", "g_source", "salt", "x")
+    good = good.select("x", "salt", F.explode(F.array_distinct(F.array(*levels))).alias("g"))
     return good.select("g.g_lang", "g.g_source", "salt", "x")
 
 
@@ -167,7 +176,10 @@ def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
     """`rows` with d2, the squared Mahalanobis distance to the estimate of their group."""
     d = len(FEATURES)
     away = [F.col("x")[i] - F.col("mean")[i] for i in range(d)]
-    d2 = sum(away[i] * away[j] * F.col("inverse")[i * d + j] for i in range(d) for j in range(d))
+    d2 = sum(
+        away[i] * sum((away[j] * F.col("inverse")[i * d + j] * (1 if i == j else 2) for j in range(i, d)), F.lit(0.0))
+        for i in range(d)
+    )
     return rows.join(_salted(model), ["g_lang", "g_source", "salt"], "left").withColumn("d2", d2)
 
 
@@ -192,10 +204,10 @@ def _start(members: DataFrame) -> DataFrame:
 def _concentrated(members: DataFrame, model: DataFrame) -> DataFrame:
     """One step: the estimate of the SHARE of each group that is nearest to the last estimate."""
     d, key = len(FEATURES), ["g_lang", "g_source"]
-    # Classes of distance are narrow (2 %), so the nearest share is taken to within a class.
-    near = _distance(members, model).withColumn("class", F.floor(F.log(F.col("d2") + 1e-3) * 50).cast("int"))
+    # Classes of squared distance are 10 % wide, and the nearest share is taken to within a class.
+    near = _distance(members, model).withColumn("class", F.floor(F.log(F.col("d2") + 1e-3) * CLASSES).cast("int"))
     sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)]
-    products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(d)]
+    products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
     classes = near.groupBy(*key, "class").agg(F.count("*").alias("m"), F.max("n").alias("total"), *sums, *products)
     before = Window.partitionBy(*key).orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     inside = classes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).filter(
@@ -205,7 +217,7 @@ def _concentrated(members: DataFrame, model: DataFrame) -> DataFrame:
         F.sum("m").alias("n"),
         F.max("total").alias("total"),
         F.array(*[F.sum(f"s{i}") for i in range(d)]).alias("s"),
-        F.array(*[F.sum(f"p{i}_{j}") for i in range(d) for j in range(d)]).alias("p"),
+        F.array(*[F.sum(f"p{i}_{j}") for i in range(d) for j in range(i, d)]).alias("p"),
     )
     return merged.mapInPandas(_each, _MODEL)
 
