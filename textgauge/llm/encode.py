@@ -20,10 +20,10 @@ _WHITE = r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}]"
 _INSIDE_RUN = rf"{_WHITE} {_WHITE}|{_WHITE} \z"
 
 # An encoder forgets its words beyond so many, or so many bytes of them.
-KEPT_WORDS, KEPT_BYTES = 1_500_000, 32 << 20
+KEPT_WORDS, KEPT_BYTES = 700_000, 32 << 20
 
 # Bytes of text whose words are numbered at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -113,6 +113,7 @@ class WordEncoder:
         starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
         for a, b in zip(starts, np.append(starts[1:], len(texts))):
             yield int(a), *self.encode(texts.slice(int(a), int(b - a)))
+            pa.default_memory_pool().release_unused()
 
 
 def encoder(path: str) -> WordEncoder:
