@@ -58,19 +58,16 @@ REFS = """refs AS (
          row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS slot
   FROM conversations WHERE role = 'user')"""
 HYPS = """hyps AS (
-  SELECT 'first_turn' AS model, 'all' AS dataset, conv_id AS item_id,
-         arg_min(text, turn) AS hypothesis
-  FROM conversations WHERE role = 'assistant' GROUP BY conv_id)"""
-RUN_HYPS = """ends AS (
-  SELECT CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, conv_id AS item_id,
-         arg_min(text, turn) AS first_text, arg_max(text, turn) AS last_text
-  FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-hyps AS (
-  SELECT 'first_turn' AS model, dataset, item_id, first_text AS hypothesis FROM ends
-  UNION ALL SELECT 'last_turn', dataset, item_id, last_text FROM ends)"""
+  SELECT 'one' AS model, 'all' AS dataset, conv_id * 1000000 + turn AS item_id, conv_id, text AS hypothesis
+  FROM conversations WHERE role = 'assistant')"""
+RUN_HYPS = """hyps AS (
+  SELECT CASE WHEN turn // 2 % 2 = 0 THEN 'model_0' ELSE 'model_1' END AS model,
+         CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset,
+         conv_id * 1000000 + turn AS item_id, conv_id, turn // 4 AS pair_no, text AS hypothesis
+  FROM conversations WHERE role = 'assistant')"""
 PAIRS = """pairs AS (
-  SELECT model, dataset, item_id, ref_no, slot, hypothesis, reference
-  FROM hyps JOIN refs USING (item_id))"""
+  SELECT model, dataset, hyps.item_id, ref_no, slot, hypothesis, reference
+  FROM hyps JOIN refs ON refs.item_id = hyps.conv_id)"""
 KEY = "model, dataset, item_id, ref_no, slot"
 
 
@@ -159,6 +156,7 @@ LONG = """long AS (
   SELECT model, dataset, 'rouge1' AS metric, rouge1 AS value FROM macro
   UNION ALL SELECT model, dataset, 'rouge2', rouge2 FROM macro
   UNION ALL SELECT model, dataset, 'meteor', meteor FROM macro)"""
+LONG_BLEU = LONG[:-1] + " UNION ALL SELECT model, dataset, 'bleu', {bleu} FROM b_all)"
 SLOTS = """sizes AS (SELECT model, dataset, item_id, count(*) AS n FROM pairs GROUP BY ALL),
 firsts AS (SELECT model, dataset, arg_min(n, item_id) AS n FROM sizes GROUP BY ALL),
 slot_avg AS (
@@ -246,6 +244,7 @@ METRICS = r6("rouge1", "rouge2", "meteor")
 PATH = "regexp_replace(url, '[?#].*$', '')"
 NAME = f"string_split({PATH}, '/')[-1]"
 STEM = f"regexp_replace({NAME}, '\\.[^.]*$', '')"
+HIDDEN_STEM = f"regexp_replace({NAME}, '([^.])\\.[^.]*$', '\\1')"
 
 PAGE_TEXT = "html"
 for _pattern in ("<script[^>]*>.*?</script>", "<style[^>]*>.*?</style>"):
@@ -319,15 +318,55 @@ SELECT {columns} FROM (
         FROM v q, v s)) WHERE rank <= {k}"""
 
 
+def _l2(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def cells(probes: int) -> list[str]:
+    return [
+        "vec AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)",
+        """centre AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell, e
+  FROM (SELECT * FROM vec ORDER BY md5(vec_id::VARCHAR), vec_id LIMIT 64))""",
+        f"""order_of AS (
+  SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY round({_l2('vec.e', 'centre.e')}, 9), cell) AS r
+  FROM vec, centre)""",
+        "own AS (SELECT vec_id, cell FROM order_of WHERE r = 1)",
+        "sizes AS (SELECT cell, count(*) AS n FROM own GROUP BY cell)",
+        f"""probe AS (
+  SELECT vec_id AS query_id, cell FROM (
+    SELECT vec_id, cell, r, coalesce(sum(n) OVER (
+      PARTITION BY vec_id ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held
+    FROM order_of LEFT JOIN sizes USING (cell)) WHERE r <= {probes} OR held < 4)""",
+        "met AS (SELECT query_id, vec_id FROM probe JOIN own USING (cell))",
+        f"""approximate AS (
+  SELECT query_id, vec_id, distance,
+    row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 9), vec_id) AS rank
+  FROM (SELECT query_id, met.vec_id, {_l2('q.e', 's.e')} AS distance
+        FROM met JOIN vec q ON q.vec_id = query_id JOIN vec s ON s.vec_id = met.vec_id)
+  QUALIFY rank <= 4)""",
+    ]
+
+
+def _recall(probes: int) -> str:
+    return with_(
+        [*cells(probes), "exact AS (" + self_nearest(4, "query_id, vec_id") + ")"],
+        f"""SELECT {probes} AS probes, count(*) AS exact_rows, round(round(avg((a.vec_id IS NOT NULL)::INT), 12), 6) AS recall,
+  any_value(pairs_compared) AS pairs_compared,
+  round(round(any_value(pairs_compared / (SELECT count(*) * count(*) FROM embeddings)), 12), 6) AS share
+FROM exact LEFT JOIN approximate a USING (query_id, vec_id), (SELECT count(*) AS pairs_compared FROM met)""",
+    )
+
+
 CAPTION_MODEL = (
-    f"'caption: ' || substr(text, 1, 40) AS caption, len(regexp_extract_all(text, '[A-Za-z0-9]+'))::BIGINT AS words"
+    f"'caption: ' || text AS caption, len(regexp_extract_all(text, '[A-Za-z0-9]+'))::BIGINT AS words"
 )
 
 
 def all_sql() -> dict[str, str]:
     one, many = pair_base(False), pair_base(True)
     first_items = [*many, *scored(), ITEMS]
-    first_long = [*first_items, MACRO, LONG]
+    first_long = [*first_items, *bleu(words), MACRO, LONG_BLEU.replace("{bleu}", BLEU_FIRST)]
     again_slots = [*many, *scored(stripped), SLOTS]
     bleu_runs_first = [*many, *bleu(words)]
     bleu_runs_again = [*many, *bleu(words, stripped)]
@@ -373,16 +412,16 @@ FROM documents d LEFT JOIN labels l USING (doc_id)""",
 FROM (SELECT doc_id, {words('text')} AS t FROM documents)""",
         "p4_rouge_tokens": f"""SELECT doc_id, len(t)::BIGINT AS n_tokens, array_to_string(t, '|') AS tokens
 FROM (SELECT doc_id, {alnum('text')} AS t FROM documents)""",
-        "p5_chat_prompt": f"""SELECT conv_id, turn, '{CHAT_OPEN}' || text || '{CHAT_CLOSE}' AS prompt
-FROM conversations WHERE role = 'user'""",
+        "p5_chat_prompt": f"""SELECT conv_id, turn, role, '{CHAT_OPEN}' || text || '{CHAT_CLOSE}' AS prompt
+FROM conversations""",
         "p6_style_prompt": f"SELECT item_id, {STYLE} text AS prompt FROM benchmark",
         "p7_base_name": f"SELECT page_id, {NAME} AS name FROM pages",
         "p8_output_name": f"""SELECT page_id, 'results/styled/' || {STEM} || '_styled.png' AS styled,
-  'results/drawn/' || {STEM} || '_diff3.jpg' AS drawn FROM pages""",
+  'results/drawn/' || {HIDDEN_STEM} || '_diff3.jpg' AS drawn FROM pages""",
         "p9_grounded_prompt": with_([*RETRIEVED, CONTEXT], GROUNDED),
         "p10_ungrounded_prompt": UNGROUNDED,
-        "p11_completion_text": r"""SELECT conv_id, turn, regexp_replace(text, '<\|[a-z0-9_]+\|>', '', 'g') AS completion
-FROM conversations WHERE role = 'assistant'""",
+        "p11_completion_text": r"""SELECT conv_id, turn, regexp_replace(text || text, '<\|[a-z0-9_]+\|>', '', 'g') AS completion
+FROM conversations""",
         "p12_four_decimals": with_(
             first_items,
             "SELECT model, dataset, item_id, printf('%.4f', rouge1) AS rouge1, "
@@ -399,6 +438,9 @@ FROM pages JOIN documents ON page_id = doc_id""",
 FROM (SELECT url, row_number() OVER (ORDER BY url, page_id) - 1 AS row_id FROM pages)
 JOIN (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents) USING (row_id)""",
         "j2_pairs": with_(one, "SELECT item_id, ref_no, hypothesis, reference FROM pairs"),
+        "j2_unmatched": """SELECT conv_id, turn, role FROM conversations c
+WHERE role IN ('assistant', 'user') AND NOT EXISTS (
+  SELECT 1 FROM conversations o WHERE o.conv_id = c.conv_id AND o.role IN ('assistant', 'user') AND o.role <> c.role)""",
         "j3_model_with_key": f"SELECT doc_id, {CAPTION_MODEL} FROM documents",
         "j5_reference_slots": with_([REFS], "SELECT item_id, slot, reference FROM refs"),
         "j6_nearest_chunks": with_(
@@ -414,14 +456,14 @@ FROM b_clip GROUP BY item_id, n""",
             [
                 *first_items,
                 """sides AS (
-  SELECT item_id, dataset, model, length(hypothesis) AS len, rouge2, meteor
+  SELECT conv_id, pair_no, dataset, model, length(hypothesis) AS len, rouge2, meteor
   FROM items JOIN hyps USING (model, dataset, item_id))""",
             ],
-            """SELECT a.dataset, a.item_id, round(round(a.rouge2, 12), 6) AS rouge2_a, round(round(a.meteor, 12), 6) AS meteor_a,
+            """SELECT a.dataset, a.conv_id, a.pair_no, round(round(a.rouge2, 12), 6) AS rouge2_a, round(round(a.meteor, 12), 6) AS meteor_a,
   round(round(b.rouge2, 12), 6) AS rouge2_b, round(round(b.meteor, 12), 6) AS meteor_b,
   CASE WHEN a.len > b.len THEN 'a' ELSE 'b' END AS richer
-FROM sides a JOIN sides b USING (dataset, item_id)
-WHERE a.model = 'first_turn' AND b.model = 'last_turn' AND (
+FROM sides a JOIN sides b USING (dataset, conv_id, pair_no)
+WHERE a.model = 'model_0' AND b.model = 'model_1' AND (
   (a.len > b.len AND a.rouge2 < b.rouge2 AND a.meteor < b.meteor)
   OR (b.len > a.len AND b.rouge2 < a.rouge2 AND b.meteor < a.meteor))""",
         ),
@@ -458,7 +500,7 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
             + ", ".join(
                 f"round(round(max(value) FILTER (dataset = '{d}' AND metric = '{m}'), 12), 6) AS {d}_{m}"
                 for d in ("even", "odd")
-                for m in ("rouge1", "rouge2", "meteor")
+                for m in ("bleu", "rouge1", "rouge2", "meteor")
             )
             + " FROM long GROUP BY model",
         ),
@@ -510,9 +552,9 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM docu
         "o3_reference_order": with_([REFS], "SELECT item_id, ref_no, slot FROM refs"),
         "u1_both_modes": with_([*RETRIEVED, CONTEXT], f"{GROUNDED} UNION ALL {UNGROUNDED}"),
         "u2_runs": """SELECT CASE role WHEN 'assistant' THEN 'assistant' ELSE 'user' END AS model,
-  CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, conv_id AS item_id,
-  arg_min(text, turn) AS hypothesis
-FROM conversations WHERE role IN ('assistant', 'user') GROUP BY ALL""",
+  CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, conv_id * 1000000 + turn AS item_id,
+  text AS hypothesis
+FROM conversations WHERE role IN ('assistant', 'user')""",
         "c3_stride_chunks": with_([CHUNKS], "SELECT doc_id, chunk_no, chunk_start, chunk_text FROM chunks"),
         "m1_model_batches": f"SELECT conv_id, turn, {CAPTION_MODEL} FROM conversations",
         "m2_hashed_embedding": with_(
@@ -522,6 +564,15 @@ FROM conversations WHERE role IN ('assistant', 'user') GROUP BY ALL""",
         "m3_squared_l2": """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
 SELECT a.vec_id, round(round(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 12), 6) AS distance
 FROM v a JOIN v b ON b.vec_id = a.vec_id + 1""",
+        "caption_flow": f"""SELECT image_name, url AS path, {STYLE} 'A page of ' || length(html) || ' characters.' AS prompt,
+  'results/styled/' || printf('%06d', page_id) || '_styled.png' AS styled,
+  'results/drawn/' || printf('%06d', page_id) || '_diff3.jpg' AS drawn
+FROM (SELECT *, printf('%06d.jpg', page_id) AS image_name FROM pages)""",
+        "m5_approximate_nearest": with_(
+            cells(40),
+            "SELECT query_id, vec_id, round(round(distance, 9), 6) AS distance, rank FROM approximate",
+        ),
+        "m5_recall": " UNION ALL ".join("FROM (" + _recall(probes) + ")" for probes in (16, 40)),
         "m4_cosine": with_(
             [
                 *one,

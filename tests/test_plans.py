@@ -30,7 +30,7 @@ LAZY = sorted(
     - {  # these run jobs before they return
         "k1_run_items", "k2_captions_with_prompt", "k3_newest_summary", "k4_chunk_store",
         "k5_filled_template", "s2_caption_files", "s3_run_documents", "u1_both_modes", "a12_context",
-        "p9_grounded_prompt",
+        "p9_grounded_prompt", "rag_answers", "rag_sources",
     }
 )
 

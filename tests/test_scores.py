@@ -10,7 +10,7 @@ from textgauge.functions.stem import porter
 from textgauge.operators import scores
 from textgauge.operators.pairing import pair_references
 from textgauge.plans.catalog import with_alnum
-from textgauge.sources.turns import first_turns, references_of
+from textgauge.sources.turns import hypotheses_of, references_of, stand_in_runs, unmatched_turns
 
 EDGE_CASES = [
     ("", "the cat sat"), ("the cat", ""), ("", ""), ("a", "a"), ("a b", "c d"),
@@ -118,6 +118,24 @@ GOLDEN = {
 }
 
 
+def first_turns(turns, role):
+    return turns.filter(F.col("role") == role).groupBy(F.col("conv_id").alias("item_id")).agg(
+        F.min_by("text", "turn").alias("hypothesis")
+    )
+
+
+def test_every_turn_is_a_hypothesis(spark):
+    turns = spark.read.parquet(f"{DATA}/sf0.01/conversations.parquet")
+    said = turns.filter("role = 'assistant'").count()
+    assert hypotheses_of(turns).count() == stand_in_runs(turns).count() == said
+    pairs = pair_references(hypotheses_of(turns), references_of(turns), group="conv_id")
+    asked = turns.filter("role = 'user'").groupBy("conv_id").count()
+    expected = turns.filter("role = 'assistant'").join(asked, "conv_id").agg(F.sum("count")).first()[0]
+    assert pairs.count() == expected
+    paired = pairs.select("item_id").distinct().count()
+    assert paired + unmatched_turns(turns).filter("role = 'assistant'").count() == said
+
+
 @pytest.mark.parametrize("roles", GOLDEN)
 def test_golden_numbers(spark, roles):
     want = GOLDEN[roles]

@@ -53,9 +53,14 @@ def stem_name(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
-def output_name(folder: Column, path: Column, suffix: str) -> Column:
-    """`folder/name-without-extension` + suffix, for a result made from the file at `path`."""
-    return F.concat(folder, F.lit("/"), stem_name(base_name(path)), F.lit(suffix))
+def output_name(folder: Column, path: Column, suffix: str, hidden: bool = False) -> Column:
+    """`folder/name-without-extension` + suffix, for a result made from the file at `path`.
+
+    With `hidden`, dots at the start of a name open no extension, so `.jpg` keeps its name.
+    """
+    name = base_name(path)
+    stem = F.regexp_replace(name, r"(?<=[^.])\.[^.]*$", "") if hidden else stem_name(name)
+    return F.concat(folder, F.lit("/"), stem, F.lit(suffix))
 
 
 def numbered_name(number: Column, extension: str = ".jpg") -> Column:

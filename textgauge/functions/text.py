@@ -85,9 +85,16 @@ def page_text(html: Column) -> Column:
     return text
 
 
-def completion_text(raw: Column, answer_tag: str = "<|assistant|>") -> Column:
-    """What a model said: the part after the last answer tag, without special markers."""
-    return F.regexp_replace(F.substring_index(raw, answer_tag, -1), SPECIAL_TAG, "")
+def completion_text(raw: Column, prompt: Column | None = None, answer_tag: str = "<|assistant|>") -> Column:
+    """What a model said: all that follows the echoed prompt, without special markers.
+
+    Where the prompt is not known, or not echoed, the answer begins after the first answer tag.
+    """
+    at = F.instr(raw, answer_tag)
+    said = F.when(at > 0, F.substr(raw, at + len(answer_tag))).otherwise(raw)
+    if prompt is not None:
+        said = F.when(F.startswith(raw, prompt), F.substr(raw, F.length(prompt) + 1)).otherwise(said)
+    return F.regexp_replace(said, SPECIAL_TAG, "")
 
 
 def four_decimals(score: str) -> Column:
@@ -104,4 +111,4 @@ def four_decimals(score: str) -> Column:
         f"{scaled} - {whole} > 0.5d or ({scaled} - {whole} = 0.5d "
         f"and ({error} > 0d or ({error} = 0d and {whole} % 2 = 1)))"
     )
-    return F.expr(f"format_string('%.4f', ({whole} + if({up}, 1, 0)) / 10000d)")
+    return F.expr(f"if({score} is null, null, format_string('%.4f', ({whole} + if({up}, 1, 0)) / 10000d))")

@@ -33,7 +33,8 @@ def apply_model(
 
     `load` runs once per task, or once per Python worker if the model has a `name`, and returns the function to call on frames of at most `batch_size`
     rows with the input columns; that returns a series or frame in the same row order. `output` is
-    the DDL of its columns. Keys never reach the model, they stay beside its output.
+    the DDL of its columns. Keys never reach the model, they stay beside its output. Batches are cut
+    from what arrives at once, so spark.sql.execution.arrow.maxRecordsPerBatch bounds them too.
     """
     made_fields = StructType.fromDDL(output)
     schema = StructType(df.select(*keys).schema.fields + made_fields.fields)

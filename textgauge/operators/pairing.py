@@ -28,29 +28,33 @@ def pair_references(
     references: DataFrame,
     slots: bool = False,
     width: int = REFERENCES_PER_BLOCK,
+    group: str = "item_id",
 ) -> DataFrame:
     """Every reference with the hypotheses of its item (one per run), joined on the item.
 
     `hypotheses` has item_id, hypothesis and any run columns; `references` has item_id, an integer
-    ref_no and reference. References are cut into blocks by ref_no and a hypothesis is repeated
+    ref_no and reference. If several items share their references, `group` is the column of
+    `hypotheses` that holds what the references call item_id. References are cut into blocks by ref_no and a hypothesis is repeated
     only for the blocks its item really has: a usual item has one, an item with a third of all
     references has very many, spread over the cluster. References are shuffled once, by
     (item, block); that also balances the scoring that follows. With `slots`, the slot number of
     each reference is added from the same block table.
     """
     blocked = references.withColumn("_block", block_of("ref_no", width))
-    blocks = block_starts(blocked, ["item_id"]) if slots else (
-        blocked.select("item_id", "_block").distinct()
+    if group != "item_id":
+        blocked = blocked.withColumnRenamed("item_id", group)
+    blocks = block_starts(blocked, [group]) if slots else (
+        blocked.select(group, "_block").distinct()
     )
-    spread = hypotheses.join(blocks, "item_id")
-    placed = blocked.repartition("item_id", "_block")
+    spread = hypotheses.join(blocks, group)
+    placed = blocked.repartition(group, "_block")
     if slots:
-        inside = Window.partitionBy("item_id", "_block").orderBy("ref_no")
+        inside = Window.partitionBy(group, "_block").orderBy("ref_no")
         placed = placed.withColumn("_inside", F.row_number().over(inside) - 1)
-    pairs = placed.join(spread, ["item_id", "_block"])
+    pairs = placed.join(spread, [group, "_block"])
     if slots:
         pairs = pairs.withColumn("slot", F.col("_start") + F.col("_inside"))
-    return pairs.drop("_block", "_start", "_inside")
+    return pairs.drop("_block", "_start", "_inside", *([group] if group != "item_id" else []))
 
 
 def blocked_references(references: DataFrame, size: int = 1000) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RUN = ["model", "dataset"]
@@ -36,12 +36,17 @@ def cross_tab(scores: DataFrame, datasets: list[str], metrics: list[str]) -> Dat
 
 
 def best_models(scores: DataFrame) -> DataFrame:
-    """The best model per dataset and metric and its lead over the last; ties go to the first name."""
+    """The best model per dataset and metric and its lead over the second; ties go to the first name.
+
+    A single model has no lead.
+    """
+    place = F.row_number().over(Window.partitionBy("dataset", "metric").orderBy(F.col("value").desc(), "model"))
+    best = scores.withColumn("_place", place).filter("_place <= 2")
     return (
-        scores.groupBy("dataset", "metric")
+        best.groupBy("dataset", "metric")
         .agg(
             F.max("value").alias("best_value"),
-            (F.max("value") - F.min("value")).alias("margin"),
+            F.when(F.count("*") > 1, F.max("value") - F.min("value")).alias("margin"),
             F.min_by("model", F.struct(-F.col("value"), F.col("model"))).alias("best_model"),
         )
         .select("dataset", "metric", "best_model", "best_value", "margin")

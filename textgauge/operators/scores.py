@@ -7,7 +7,7 @@ scores are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.multiset import align_last, chunk_count, free_places, let, shared_counts
@@ -242,9 +242,8 @@ def slot_means(scored: DataFrame, runs: list[str], metrics: list[str]) -> DataFr
     slots = scored.groupBy(*runs, "slot").agg(
         F.min("item_id").alias("_first"), *[F.avg(m).alias(m) for m in metrics]
     )
-    first = scored.groupBy(*runs).agg(F.min("item_id").alias("_first"))
-    on = [*runs, "_first"]
-    return slots.join(first, on).groupBy(*runs).agg(
+    lowest = F.min("_first").over(Window.partitionBy(*runs))
+    return slots.withColumn("_lowest", lowest).filter("_first = _lowest").groupBy(*runs).agg(
         F.count("*").alias("slots"), *[F.avg(m).alias(m) for m in metrics]
     )
 
@@ -253,10 +252,7 @@ def short_items(scored: DataFrame, runs: list[str]) -> DataFrame:
     """Items with fewer references than the first item of their run: they miss some slots."""
     sizes = scored.groupBy(*runs, "item_id").agg(F.count("*").alias("references"))
     first = sizes.groupBy(*runs).agg(F.min_by("references", "item_id").alias("slots"))
-    return sizes.join(first, runs).filter("references < slots") if runs else (
-        sizes.withColumn("_run", F.lit(0))
-        .join(first.withColumn("_run", F.lit(0)), "_run")
-        .filter("references < slots")
-        .drop("_run")
-    )
+    # One row per run; items with a third of all rows in one run are not moved for it.
+    first = F.broadcast(first.select("*", F.lit(0).alias("_run")))
+    return sizes.select("*", F.lit(0).alias("_run")).join(first, ["_run", *runs]).filter("references < slots").drop("_run")
 

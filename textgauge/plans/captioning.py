@@ -31,7 +31,7 @@ def caption_images(
         asked, load, ["image_name", "prompt"], ["prompt", "content"], "completion STRING", batch_size
     )
     return made.select(
-        "image_name", completion_text(F.col("completion")).alias("generated_caption"), "prompt"
+        "image_name", completion_text(F.col("completion"), F.col("prompt")).alias("generated_caption"), "prompt"
     )
 
 

@@ -19,14 +19,17 @@ from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
 from ..session import scratch_path, spread
 from ..sources import captions, sinks
-from ..sources.turns import first_turns, references_of, stand_in_runs
-from . import evaluation, retrieval
+from ..sources.turns import TURNS, hypotheses_of, references_of, stand_in_runs, unmatched_turns
+from . import captioning, evaluation, retrieval
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RUN = runs.RUN
-MODELS = ("first_turn", "last_turn")
+ALL_METRICS = ["bleu", *evaluation.METRICS]
+# Item ids hold a conversation and a turn, so blocks of them are this wide.
+ITEM_BLOCK = 4096 * TURNS
+MODELS = ("model_0", "model_1")
 DATASETS = ["even", "odd"]
 # The definitions without stems: built-in expressions only, and the form SQL can check.
 PLAIN_FIRST = replace(evaluation.FIRST_RUN, stem_rouge=False, stem_meteor=False)
@@ -60,15 +63,16 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def eval_pairs(spark: SparkSession, sf_dir: str, slots: bool = False) -> DataFrame:
-    """First assistant turn against all user turns of its conversation."""
+    """Every assistant turn against all user turns of its conversation."""
     turns = table(spark, sf_dir, "conversations")
-    return pairing.pair_references(first_turns(turns), references_of(turns), slots)
+    return pairing.pair_references(hypotheses_of(turns), references_of(turns), slots, group="conv_id")
 
 
 def run_pairs(spark: SparkSession, sf_dir: str, slots: bool = False) -> DataFrame:
     """The same for two stand-in models on two stand-in datasets."""
     turns = table(spark, sf_dir, "conversations")
-    return pairing.pair_references(stand_in_runs(turns), references_of(turns), slots)
+    made = stand_in_runs(turns).drop("pair_no")
+    return pairing.pair_references(made, references_of(turns), slots, group="conv_id")
 
 
 def with_words(pairs: DataFrame) -> DataFrame:
@@ -96,8 +100,8 @@ def run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(model, dataset, metric, value) of the four runs."""
-    summary = scores.run_means(run_items(spark, sf_dir), RUN, evaluation.METRICS)
-    return runs.long_scores(summary, evaluation.METRICS)
+    summary = evaluation.run_summary(run_pairs(spark, sf_dir), PLAIN_FIRST, RUN)
+    return runs.long_scores(summary.drop("metric_def"), ALL_METRICS)
 
 
 # -- sources and sinks ------------------------------------------------------------------------
@@ -135,7 +139,7 @@ def s2_caption_files(spark, sf_dir):
 def s3_run_documents(spark, sf_dir):
     """Nested run documents, written and unnested again (also P13)."""
     path = scratch_path(spark, "run-documents")
-    numbered = numbering.index_in_group(run_items(spark, sf_dir), RUN, "item_id", "row_id")
+    numbered = numbering.index_in_group(run_items(spark, sf_dir), RUN, "item_id", "row_id", ITEM_BLOCK)
     nested = runs.blocked_results(numbered, 100, ["item_id", *evaluation.METRICS])
     sinks.write_run_documents(nested, path)
     items = captions.unnest_items(spark.read.schema(nested.schema).json(path))
@@ -188,8 +192,11 @@ def k3_newest_summary(spark, sf_dir):
 
 @query
 def k4_chunk_store(spark, sf_dir):
+    """A store filled in two goes; the second adds what the first did not have."""
     path = scratch_path(spark, "chunks")
-    sinks.write_chunk_store(retrieval.chunk_store(spread_table(spark, sf_dir, "documents")), path)
+    documents = spread_table(spark, sf_dir, "documents")
+    for batch in (documents.filter("doc_id % 2 = 0"), documents):
+        sinks.add_to_chunk_store(retrieval.chunk_store(batch), path)
     stored = spark.read.parquet(path)
     return stored.select(
         "chunk_id",
@@ -253,8 +260,8 @@ def p4_rouge_stems(spark, sf_dir):
 
 @query
 def p5_chat_prompt(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").filter("role = 'user'")
-    return turns.select("conv_id", "turn", pr.chat_prompt(F.col("text")).alias("prompt"))
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select("conv_id", "turn", "role", pr.chat_prompt(F.col("text")).alias("prompt"))
 
 
 @query
@@ -276,7 +283,7 @@ def p8_output_name(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id",
         pr.output_name(F.lit("results/styled"), path, "_styled.png").alias("styled"),
-        pr.output_name(F.lit("results/drawn"), path, "_diff3.jpg").alias("drawn"),
+        pr.output_name(F.lit("results/drawn"), path, "_diff3.jpg", hidden=True).alias("drawn"),
     )
 
 
@@ -293,10 +300,11 @@ def p10_ungrounded_prompt(spark, sf_dir):
 
 @query
 def p11_completion_text(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").filter("role = 'assistant'")
+    """Completions that echo the prompt and hold a second answer tag."""
+    turns = table(spark, sf_dir, "conversations")
     prompt = pr.chat_prompt(F.lit(pr.CAPTION_INSTRUCTION))
-    raw = F.concat(prompt, F.col("text"), F.lit(pr.END_TAG))
-    return turns.select("conv_id", "turn", tx.completion_text(raw).alias("completion"))
+    raw = F.concat(prompt, F.col("text"), F.lit(pr.ASSISTANT_TAG), F.col("text"), F.lit(pr.END_TAG))
+    return turns.select("conv_id", "turn", tx.completion_text(raw, prompt).alias("completion"))
 
 
 @query
@@ -359,12 +367,18 @@ def j2_pairs(spark, sf_dir):
     return eval_pairs(spark, sf_dir).select("item_id", "ref_no", "hypothesis", "reference")
 
 
+@query
+def j2_unmatched(spark, sf_dir):
+    """The turns that no pair shows, of either role."""
+    return unmatched_turns(table(spark, sf_dir, "conversations"))
+
+
 def _stand_in_captioner():
-    """Takes the place of a caption model: the first 40 characters and the number of words."""
+    """Takes the place of a caption model: a mark before the whole text, and the number of words."""
 
     def predict(batch: pd.DataFrame) -> pd.DataFrame:
         words = batch["text"].str.findall(r"[A-Za-z0-9]+").str.len()
-        return pd.DataFrame({"caption": "caption: " + batch["text"].str.slice(0, 40), "words": words})
+        return pd.DataFrame({"caption": "caption: " + batch["text"], "words": words})
 
     return predict
 
@@ -421,7 +435,7 @@ def j9_richer_but_lower(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     items = run_items(spark, sf_dir).join(stand_in_runs(turns), [*RUN, "item_id"])
     metrics = ["rouge2", "meteor"]
-    compared = runs.compare_models(items, *MODELS, metrics)
+    compared = runs.compare_models(items, *MODELS, metrics, ["dataset", "conv_id", "pair_no"])
     found = runs.richer_but_lower(compared, metrics)
     return rounded(
         found.drop("hypothesis_a", "hypothesis_b"), "rouge2_a", "meteor_a", "rouge2_b", "meteor_b"
@@ -514,7 +528,7 @@ def a7_short_items(spark, sf_dir):
 
 @query
 def a8_cross_tab(spark, sf_dir):
-    wide = runs.cross_tab(run_scores(spark, sf_dir), DATASETS, evaluation.METRICS)
+    wide = runs.cross_tab(run_scores(spark, sf_dir), DATASETS, ALL_METRICS)
     return rounded(wide, *[c for c in wide.columns if c != "model"])
 
 
@@ -531,7 +545,7 @@ def a10_dataset_means(spark, sf_dir):
 @query
 def a11_item_batches(spark, sf_dir):
     items = rounded(run_items(spark, sf_dir), *evaluation.METRICS)
-    numbered = numbering.index_in_group(items, RUN, "item_id", "row_id")
+    numbered = numbering.index_in_group(items, RUN, "item_id", "row_id", ITEM_BLOCK)
     nested = runs.blocked_results(numbered, 10, ["item_id", *evaluation.METRICS])
     ids = F.transform("results", lambda r: r["item_id"].cast("string"))
     return nested.select(
@@ -634,9 +648,9 @@ def u1_both_modes(spark, sf_dir):
 @query
 def u2_runs(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
-    items = first_turns(turns), first_turns(turns, "user")
+    items = hypotheses_of(turns), hypotheses_of(turns, "user")
     labelled = [
-        (model, dataset, made.filter(F.col("item_id") % 2 == rest))
+        (model, dataset, made.filter(F.col("conv_id") % 2 == rest))
         for model, made in zip(("assistant", "user"), items)
         for dataset, rest in zip(DATASETS, (0, 1))
     ]
@@ -665,6 +679,55 @@ def c3_stride_chunks(spark, sf_dir):
 # -- models and vectors -----------------------------------------------------------------------
 
 
+def _stand_in_images():
+    """Takes the place of an image model that echoes its prompt."""
+
+    def predict(batch: pd.DataFrame) -> pd.Series:
+        return batch["prompt"] + "A page of " + batch["content"].str.len().astype(str) + " characters.<|end|>"
+
+    return predict
+
+
+@query
+def caption_flow(spark, sf_dir):
+    """Pages captioned by a model, captions made style prompts, outputs named by both rules."""
+    pages = spread_table(spark, sf_dir, "pages")
+    images = pages.select(
+        pr.numbered_name(F.col("page_id")).alias("image_name"), F.col("url").alias("path"), F.col("html").alias("content")
+    )
+    made = captioning.caption_images(images, _stand_in_images, pr.CAPTION_INSTRUCTION)
+    jobs = captioning.styling_jobs(images, made, "results/styled", "_styled.png")
+    drawn = pr.output_name(F.lit("results/drawn"), F.col("image_name"), "_diff3.jpg", hidden=True)
+    return jobs.select("image_name", "path", "prompt", F.col("output").alias("styled"), drawn.alias("drawn"))
+
+
+def _page_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Chunks of pages with their vectors, filled in two goes, and where each chunk comes from."""
+    pages = spread_table(spark, sf_dir, "pages")
+    store, links = scratch_path(spark, "page-store"), scratch_path(spark, "page-links")
+    for batch in (pages.filter("page_id % 2 = 0"), pages.filter("page_id % 2 <> 0")):
+        found = retrieval.page_chunks(batch)
+        sinks.add_to_chunk_store(retrieval.embed(sinks.with_chunk_id(found), "chunk_text"), store)
+        retrieval.chunk_links(found, "page_id").write.mode("append").parquet(links)
+    return spark.read.parquet(store), spark.read.parquet(links)
+
+
+@query
+def rag_sources(spark, sf_dir):
+    """Where the chunks retrieved for each question come from: pages cut into sections and chunks."""
+    store, links = _page_store(spark, sf_dir)
+    found = retrieval.retrieve(_questions(spark, sf_dir), store.select("chunk_id", "embedding"))
+    return rounded(retrieval.with_sources(found, links), "distance")
+
+
+@query
+def rag_answers(spark, sf_dir):
+    """Answers of a stand-in model to both prompts of each question, over the chunks of pages."""
+    store, _ = _page_store(spark, sf_dir)
+    asked = retrieval.prompts(_questions(spark, sf_dir), store)
+    return retrieval.answers(asked, lambda: lambda batch: "answer to: " + batch["prompt"])
+
+
 def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark")
 
@@ -676,7 +739,7 @@ def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store as a table, for flows that read vectors first and the retrieved texts later."""
     path = scratch_path(spark, "store")
-    sinks.write_chunk_store(_store(spark, sf_dir), path)
+    sinks.add_to_chunk_store(_store(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
@@ -722,7 +785,7 @@ def m4_cosine(spark, sf_dir):
 def m5_approximate_nearest(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
-    found = nearest.nearest_by_lsh(asked, vectors, "query_id", "embedding", "vec_id", "embedding")
+    found = nearest.nearest_by_cells(asked, vectors, "query_id", "embedding", "vec_id", "embedding")
     return rounded(found, "distance")
 
 
@@ -731,9 +794,12 @@ def m5_recall(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
     names = ("query_id", "embedding", "vec_id", "embedding")
-    return nearest.recall(
-        nearest.nearest_by_lsh(asked, vectors, *names),
-        nearest.nearest(asked, vectors, *names),
-        "query_id",
-        "vec_id",
-    )
+    exact = nearest.nearest(asked, vectors, *names)
+    rows = []
+    for probes in (16, nearest.PROBES):
+        found = nearest.nearest_by_cells(asked, vectors, *names, probes=probes)
+        key = F.lit(probes).alias("probes")
+        recall = nearest.recall(found, exact, "query_id", "vec_id").select(key, "*")
+        share = nearest.compared_share(asked, vectors, *names, probes=probes).select(key, "*")
+        rows.append(recall.join(share, "probes"))
+    return rounded(rows[0].unionByName(rows[1]), "recall", "share")

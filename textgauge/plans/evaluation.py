@@ -112,8 +112,10 @@ def run_summary(
     if not runs:
         raise ValueError("name at least one run column")
     means = summarise(score_pairs(pairs, how, synonyms), how, runs)
+    # True for every pair: it keeps the slot, so both branches have the same columns and share the exchange of texts.
+    texts = pairs.filter("slot >= 0") if how.by_slot else pairs
     return (
-        corpus_bleu(pairs, how, runs)
+        corpus_bleu(texts, how, runs)
         .join(means, runs)
         .withColumn("metric_def", F.lit(how.name))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 
 def write_run_items(items: DataFrame, path: str) -> None:
@@ -16,11 +17,11 @@ def write_captions(captions: DataFrame, path: str) -> None:
     captions.select("image_name", "generated_caption", "prompt").write.mode("errorifexists").json(path)
 
 
-def write_caption_files(captions: DataFrame, path: str, prompt: str, per_file: int = 1000) -> None:
+def write_caption_files(captions: DataFrame, path: str, prompt: str, per_file: int = 100) -> None:
     """Caption files in the original shape: a JSON array whose first element holds the prompt.
 
     `captions` needs row_id, dense from 0. Each file holds `per_file` captions and its own header, so
-    no file or task grows with the table.
+    no file or task grows with the table; a file is one row while it is made, so take fewer for long texts.
     """
     fields = "struct(string(null) as prompt, image_name, generated_caption)"
     header = F.struct(
@@ -65,8 +66,16 @@ def with_chunk_id(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
     return distinct.select(F.sha2("chunk_text", 256).alias("chunk_id"), "chunk_text")
 
 
-def write_chunk_store(store: DataFrame, path: str) -> None:
-    store.write.mode("overwrite").parquet(path)
+def add_to_chunk_store(store: DataFrame, path: str) -> None:
+    """Adds the chunks that the store at `path` does not have yet; what it has stays as it is."""
+    try:
+        known = store.sparkSession.read.parquet(path).select("chunk_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None  # no store yet
+    new = store if known is None else store.join(known, "chunk_id", "left_anti")
+    new.write.mode("append").parquet(path)
 
 
 def fill_template(template: DataFrame, answers: DataFrame) -> DataFrame:
