@@ -67,6 +67,14 @@ def test_pair_scores_need_no_shuffle_of_their_own(spark, no_broadcast):
     assert "Exchange" not in above_join
 
 
+def test_recomputation_moves_reference_texts_once(spark, no_broadcast):
+    df = catalog.evaluation_recomputed(spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    texts = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert sum("ReusedExchange" in line for line in texts) == 1 and len(texts) == 2
+
+
 def test_hot_item_is_not_one_task(spark, no_broadcast):
     """A third of all references on one item: its pairs must come from several partitions."""
     refs = spark.range(30_000).selectExpr(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -798,8 +799,9 @@ def m5_recall(spark, sf_dir):
     rows = []
     for probes in (16, nearest.PROBES):
         found = nearest.nearest_by_cells(asked, vectors, *names, probes=probes)
-        key = F.lit(probes).alias("probes")
-        recall = nearest.recall(found, exact, "query_id", "vec_id").select(key, "*")
-        share = nearest.compared_share(asked, vectors, *names, probes=probes).select(key, "*")
-        rows.append(recall.join(share, "probes"))
-    return rounded(rows[0].unionByName(rows[1]), "recall", "share")
+        rows.append(nearest.recall(found, exact, "query_id", "vec_id").withColumn("probes", F.lit(probes)))
+        share = nearest.compared_share(asked, vectors, *names, probes=probes)
+        rows.append(share.withColumn("probes", F.lit(probes)))
+    figures = ["exact_rows", "recall", "pairs_compared", "share"]
+    table_of = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return rounded(table_of.groupBy("probes").agg(*[F.max(c).alias(c) for c in figures]), "recall", "share")

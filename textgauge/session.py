@@ -17,9 +17,6 @@ def build_session(app: str = "textgauge", master: str | None = None, **conf: str
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Shuffles begin with many partitions and are merged by size; at 100 TB set it so that one has
-        # 200 MB or so, as adaptive execution merges partitions and does not cut them.
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
         # Scoring is heavy per byte, so small partitions are worth their own task.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,8 +25,12 @@ def build_session(app: str = "textgauge", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
-        **conf,
     }
+    if not (master or "").startswith("local"):
+        # Shuffles begin with many partitions, which adaptive execution merges by size but does not
+        # cut: at 100 TB raise it until one has 200 MB or so.
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "1000"
+    settings |= conf
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
