@@ -20,10 +20,10 @@ _WHITE = r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}]"
 _INSIDE_RUN = rf"{_WHITE} {_WHITE}|{_WHITE} \z"
 
 # An encoder forgets its words beyond so many, or so many bytes of them.
-KEPT_WORDS, KEPT_BYTES = 700_000, 32 << 20
+KEPT_WORDS, KEPT_BYTES = 900_000, 32 << 20
 
 # Bytes of text whose words are numbered at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 6 << 20
 
 _ENCODERS: dict[str, WordEncoder] = {}
 

@@ -77,7 +77,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -
     """Encodes documents (doc_id, text) into token files at `path`."""
     with_tokens(docs, vocabulary, end_id).write.options(
         **{
-            "compression": "zstd",
+            "compression": "snappy",
             "parquet.writer.version": "PARQUET_2_0",
             "parquet.block.size": str(ROW_GROUP_BYTES),
             "parquet.page.size": str(PAGE_BYTES),
