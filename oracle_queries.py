@@ -397,6 +397,15 @@ FROM benchmark""",
         "k3_newest_summary": with_(
             [*again_slots, *bleu(words, stripped)],
             f"""SELECT model, dataset, round(round({BLEU_AGAIN}, 12), 6) AS bleu, {METRICS},
+  'recomputed' AS metric_def, 2::BIGINT AS version FROM slotted JOIN b_all USING (model, dataset)""",
+        ),
+        "k1_run_summary": with_(
+            [*first_items, *bleu(words), MACRO],
+            f"SELECT model, dataset, {six(BLEU_FIRST)} AS bleu, {METRICS} FROM macro JOIN b_all USING (model, dataset)",
+        ),
+        "k3_recomputed_from_store": with_(
+            [*again_slots, *bleu(words, stripped)],
+            f"""SELECT model, dataset, {six(BLEU_AGAIN)} AS bleu, {METRICS},
   'recomputed' AS metric_def, 2::BIGINT AS version FROM slotted JOIN b_all USING (model, dataset)""",
         ),
         "k4_chunk_store": with_(

@@ -28,7 +28,7 @@ def no_broadcast(spark):
 LAZY = sorted(
     set(entry.queries())
     - {  # these run jobs before they return
-        "k1_run_items", "k2_captions_with_prompt", "k3_newest_summary", "k4_chunk_store",
+        "k1_run_items", "k1_run_summary", "k2_captions_with_prompt", "k3_recomputed_from_store", "k3_newest_summary", "k4_chunk_store",
         "k5_filled_template", "s2_caption_files", "s3_run_documents", "u1_both_modes", "a12_context",
         "p9_grounded_prompt", "rag_answers", "rag_sources",
     }

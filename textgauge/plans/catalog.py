@@ -166,6 +166,30 @@ def k1_run_items(spark, sf_dir):
     return rounded(spark.read.schema(items.schema).json(path), *evaluation.METRICS)
 
 
+@query
+def k1_run_summary(spark, sf_dir):
+    """The summary table beside the items, written and read back."""
+    path = scratch_path(spark, "run-summary")
+    sinks.append_summary(evaluation.run_summary(run_pairs(spark, sf_dir), PLAIN_FIRST, RUN), path, 1)
+    return rounded(sinks.read_summaries(spark, path, RUN).select(*RUN, *ALL_METRICS), *ALL_METRICS)
+
+
+@query
+def k3_recomputed_from_store(spark, sf_dir):
+    """Runs stored with captions and references and a first summary; read, scored again, stored as version 2."""
+    items, summaries = scratch_path(spark, "full-items"), scratch_path(spark, "full-summaries")
+    pairs = run_pairs(spark, sf_dir, slots=True)
+    full = evaluation.stored_items(pairs, RUN)
+    sinks.write_run_items(full, items)
+    sinks.append_summary(evaluation.run_summary(pairs, PLAIN_FIRST, RUN), summaries, 1)
+    again = evaluation.pairs_of_stored(spark.read.schema(full.schema).json(items))
+    sinks.append_summary(evaluation.run_summary(again, PLAIN_AGAIN, RUN), summaries, 2)
+    newest = sinks.read_summaries(spark, summaries, RUN)
+    return rounded(newest, *ALL_METRICS).select(
+        *RUN, *ALL_METRICS, "metric_def", F.col("version").cast("bigint").alias("version")
+    )
+
+
 @query
 def k2_captions_with_prompt(spark, sf_dir):
     path = scratch_path(spark, "captions")

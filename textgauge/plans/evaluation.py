@@ -102,6 +102,33 @@ def pairs_of_items(items: DataFrame) -> DataFrame:
     return explode_references(items)
 
 
+def stored_items(pairs: DataFrame, runs: list[str], size: int = 1000) -> DataFrame:
+    """Items as run documents hold them: image_id, generated_caption and reference_captions.
+
+    References come in blocks of `size` per item, in slot order, so that no row grows with an item.
+    """
+    slot_text = F.struct("slot", "reference")
+    return (
+        pairs.withColumn("block", F.expr(f"slot div {size}"))
+        .groupBy(*runs, F.col("item_id").alias("image_id"), "block")
+        .agg(F.first("hypothesis").alias("generated_caption"), F.array_sort(F.collect_list(slot_text)).alias("_refs"))
+        .select(*runs, "image_id", "block", "generated_caption", F.col("_refs.reference").alias("reference_captions"))
+    )
+
+
+def pairs_of_stored(items: DataFrame, size: int = 1000) -> DataFrame:
+    """Pairs with slots out of `stored_items`, without a shuffle."""
+    kept = [c for c in items.columns if c not in ("image_id", "block", "generated_caption", "reference_captions")]
+    slots = F.posexplode("reference_captions").alias("at", "reference")
+    return items.select(*kept, "image_id", "block", "generated_caption", slots).select(
+        *kept,
+        F.col("image_id").alias("item_id"),
+        (F.col("block") * size + F.col("at")).alias("slot"),
+        F.col("generated_caption").alias("hypothesis"),
+        "reference",
+    )
+
+
 def run_summary(
     pairs: DataFrame, how: Definition, runs: list[str], synonyms: DataFrame | None = None
 ) -> DataFrame:
