@@ -39,8 +39,11 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 
 def without_rows(df: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of `df` (with row ids) whose id is not in `gone`, ids removed."""
-    return df.join(gone.select(ROW), ROW, "left_anti").drop(ROW)
+    """The rows of `df` (with row ids) whose id is not in `gone`, ids removed.
+
+    `gone` is stored first, so that its size is known: if it is small, `df` is not shuffled.
+    """
+    return df.join(stored(gone.select(ROW), "gone"), ROW, "left_anti").drop(ROW)
 
 
 def slices(texts: pa.Array) -> Iterator[list[str]]:
