@@ -6,6 +6,8 @@ inside a row; distances are taken over all pairs, where the Spark side keeps the
 
 from __future__ import annotations
 
+import stem_sql
+
 # Fixed value: the code points on which a bare `str.split()` breaks.
 SPACE = (
     r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -109,6 +111,46 @@ def rouge(tok: str, tokenise=alnum, clean=same) -> list[str]:
     ]
 
 
+def rouge_of_stems(tok: str, tokenise=alnum, clean=same) -> list[str]:
+    """ROUGE of stemmed tokens; the stems are those of the CTE `stems`."""
+    key = f"{tok}_t"
+    return [
+        tokens(f"{tok}_u", tokenise, clean),
+        *stem_sql.stemmed(key, f"{tok}_u", KEY, ["ht", "rt"], 4),
+        *rouge(tok)[1:],
+    ]
+
+
+def stems_of_pairs(*columns) -> list[str]:
+    """The stems of all words of the pairs, under each (name, tokenise, clean)."""
+    made = [tokens(f"sw_{name}", tokenise, clean) for name, tokenise, clean in columns]
+    union = " UNION ".join(
+        f"SELECT unnest({side}) AS w FROM sw_{name}" for name, _, _ in columns for side in ("ht", "rt")
+    )
+    return [*made, f"st_words AS ({union})", *stem_sql.stems("st_words")]
+
+
+def meteor_of_stems(clean=same, tokenise=low_words) -> list[str]:
+    """METEOR with its second stage: words still free meet by their stems, the k-th last of each."""
+    def free(side: str, at: str) -> str:
+        return f"""{side}_free AS (
+  SELECT {KEY}, stem, p, row_number() OVER (PARTITION BY {KEY}, stem ORDER BY p DESC) AS k
+  FROM {side} JOIN stems USING (w)
+  WHERE NOT EXISTS (SELECT 1 FROM links WHERE {' AND '.join(f'links.{c} = {side}.{c}' for c in KEY.split(', '))}
+    AND links.{at} = {side}.p))"""
+
+    parts = meteor(clean, tokenise)
+    at = next(i for i, part in enumerate(parts) if part.startswith("steps AS"))
+    more = [
+        free("met_h", "hyp_at"),
+        free("met_r", "ref_at"),
+        f"""both_links AS (
+  SELECT {KEY}, hyp_at, ref_at FROM links UNION ALL
+  SELECT {KEY}, h.p, r.p FROM met_h_free h JOIN met_r_free r USING ({KEY}, stem, k))""",
+    ]
+    return [*parts[:at], *more, parts[at].replace("FROM links)", "FROM both_links)"), *parts[at + 1 :]]
+
+
 def meteor(clean=same, tokenise=low_words) -> list[str]:
     def placed(name: str, column: str) -> str:
         return f"""{name} AS (
@@ -421,6 +463,50 @@ FROM documents d LEFT JOIN labels l USING (doc_id)""",
 FROM (SELECT doc_id, {words('text')} AS t FROM documents)""",
         "p4_rouge_tokens": f"""SELECT doc_id, len(t)::BIGINT AS n_tokens, array_to_string(t, '|') AS tokens
 FROM (SELECT doc_id, {alnum('text')} AS t FROM documents)""",
+        "p4_rouge_stems": with_(
+            [
+                f"pt AS (SELECT doc_id, {alnum('text')} AS t FROM documents)",
+                stem_sql.distinct_words("pt", ["t"]),
+                *stem_sql.stems("st_words"),
+                *stem_sql.stemmed("ps", "pt", "doc_id", ["t"], 4),
+            ],
+            "SELECT doc_id, len(t)::BIGINT AS n_tokens, array_to_string(t, '|') AS tokens FROM ps",
+        ),
+        "a3_rouge_stemmed": with_(
+            [*one, *stems_of_pairs(("a", alnum, same)), *rouge_of_stems("rou")],
+            f"SELECT item_id, ref_no, {r6('rouge1', 'rouge2')} FROM rou",
+        ),
+        "a5_meteor_stemmed": with_(
+            [*one, *stems_of_pairs(("m", low_words, same)), *meteor_of_stems()],
+            f"SELECT item_id, ref_no, matches AS meteor_matches, {r6('meteor')} FROM met",
+        ),
+        "evaluation_first_run": with_(
+            [
+                *many,
+                *stems_of_pairs(("a", alnum, same), ("m", low_words, same)),
+                *rouge_of_stems("rou"),
+                *meteor_of_stems(),
+                f"scored AS (SELECT {KEY}, rouge1, rouge2, meteor FROM rou JOIN met USING ({KEY}))",
+                ITEMS,
+                MACRO,
+                *bleu(words),
+            ],
+            f"""SELECT model, dataset, {six(BLEU_FIRST)} AS bleu, {METRICS}, 'first_run' AS metric_def
+FROM macro JOIN b_all USING (model, dataset)""",
+        ),
+        "evaluation_recomputed": with_(
+            [
+                *many,
+                *stems_of_pairs(("m", cut_words, stripped)),
+                *rouge("rou", alnum, stripped),
+                *meteor_of_stems(stripped, cut_words),
+                f"scored AS (SELECT {KEY}, rouge1, rouge2, meteor FROM rou JOIN met USING ({KEY}))",
+                SLOTS,
+                *bleu(words, stripped),
+            ],
+            f"""SELECT model, dataset, {six(BLEU_AGAIN)} AS bleu, {METRICS}, 'recomputed' AS metric_def
+FROM slotted JOIN b_all USING (model, dataset)""",
+        ),
         "p5_chat_prompt": f"""SELECT conv_id, turn, role, '{CHAT_OPEN}' || text || '{CHAT_CLOSE}' AS prompt
 FROM conversations""",
         "p6_style_prompt": f"SELECT item_id, {STYLE} text AS prompt FROM benchmark",

@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,3 +46,21 @@ def test_stem_tokens_keep_rows_and_short_words(spark):
     assert out[3] == (["cat"], ["cat"])
     short = spark.createDataFrame([(["was", "cats"],)], "t array<string>")
     assert short.select(rouge_stems(F.col("t"))).first()[0] == ["was", "cat"]
+
+
+def test_sql_stems_are_the_same(spark):
+    """The step-by-step SQL and the Python steps agree on every word of the documents."""
+    import re
+
+    import stem_sql
+    from conftest import DATA
+
+    words = set()
+    for row in spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").select("text").collect():
+        words.update(re.findall("[a-z0-9]+", row.text.lower()))
+    words |= set("relational radicalli rationalli ponies ties agreed hopping hissing happy analogi roll".split())
+    listed = ", ".join(f"('{w}')" for w in sorted(words))
+    rows = duckdb.connect().execute(
+        f"WITH words AS (SELECT w FROM (VALUES {listed}) v(w)), " + ", ".join(stem_sql.stems("words")) + " SELECT w, stem FROM stems"
+    ).fetchall()
+    assert len(rows) == len(words) and [(w, s) for w, s in rows if s != porter(w)] == []
