@@ -6,6 +6,7 @@ inside a row; distances are taken over all pairs, where the Spark side keeps the
 
 from __future__ import annotations
 
+import chunk_sql
 import stem_sql
 
 # Fixed value: the code points on which a bare `str.split()` breaks.
@@ -350,6 +351,22 @@ UNGROUNDED = (
 )
 
 
+PAGE_CHUNKS = [
+    f"texts AS (SELECT page_id, {PAGE_TEXT} AS text FROM pages)",
+    *chunk_sql.chunks("a", "texts", "page_id", "text", 4000, 200),
+    "sections AS (SELECT page_id, chunk_no AS section_no, chunk_start AS section_start, chunk_text AS section FROM a)",
+    *chunk_sql.chunks("c", "sections", "page_id, section_no", "section", 500, 50),
+    """page_chunks AS (
+  SELECT page_id, section_no, section_start, chunk_no, section_start + chunk_start AS chunk_start, chunk_text
+  FROM c JOIN sections USING (page_id, section_no))""",
+]
+PAGE_RETRIEVED = [
+    *PAGE_CHUNKS,
+    "store AS (SELECT DISTINCT sha256(chunk_text) AS chunk_id, chunk_text FROM page_chunks)",
+    *RETRIEVED[len(STORE):],
+]
+
+
 def self_nearest(k: int, columns: str) -> str:
     return f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
 SELECT {columns} FROM (
@@ -650,6 +667,20 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM docu
   CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, conv_id * 1000000 + turn AS item_id,
   text AS hypothesis
 FROM conversations WHERE role IN ('assistant', 'user')""",
+        "c1_recursive_chunks": "WITH RECURSIVE "
+        + ",\n".join(chunk_sql.chunks("c", "documents", "doc_id", "text", 500, 50))
+        + "\nSELECT doc_id, chunk_no, chunk_start, chunk_text FROM c",
+        "c2_page_then_chunks": "WITH RECURSIVE "
+        + ",\n".join(PAGE_CHUNKS)
+        + "\nSELECT page_id, section_no, section_start, chunk_no, chunk_start, chunk_text FROM page_chunks",
+        "rag_sources": "WITH RECURSIVE "
+        + ",\n".join(PAGE_RETRIEVED)
+        + f"""
+SELECT item_id, chunk_id, {six("distance")} AS distance, rank, page_id, section_no, chunk_no, chunk_start
+FROM near JOIN page_chunks p ON sha256(p.chunk_text) = chunk_id""",
+        "rag_answers": "WITH RECURSIVE "
+        + ",\n".join([*PAGE_RETRIEVED, CONTEXT])
+        + f"\nSELECT item_id, mode, 'answer to: ' || prompt AS answer FROM ({GROUNDED} UNION ALL {UNGROUNDED})",
         "c3_stride_chunks": with_([CHUNKS], "SELECT doc_id, chunk_no, chunk_start, chunk_text FROM chunks"),
         "m1_model_batches": f"SELECT conv_id, turn, {CAPTION_MODEL} FROM conversations",
         "m2_hashed_embedding": with_(
