@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from textgauge.llm import warc
@@ -9,6 +10,11 @@ from textgauge.llm.common import stored
 SCHEMA = "page_id long, url string, html string, offset string, state string"
 
 
+@pytest.fixture(autouse=True)
+def small_files(monkeypatch):
+    monkeypatch.setattr(warc, "IDS_PER_FILE", 512)
+
+
 def pages_of(spark, n):
     rows = [(i, f"http://a/{i}", f"<p>page {i}\r\n\r\nWARC/1.1\r\n é</p>" * (i % 4), "x", "y") for i in range(n)]
     rows += [(None, None, None, "x", "y"), (None, "u\r\nv", "b", "x", "y"), (3, "http://a/3", "again", "x", "y"), (-5, "neg", "c" * 100000, None, None)]

@@ -124,7 +124,7 @@ ORACLE_SQL = {
     """,
     "op8_warc_audit": r"""
         WITH records AS (
-            SELECT (page_id // 512)::VARCHAR AS warc_file, page_id, coalesce(url, '') AS target, html,
+            SELECT (page_id // 2048)::VARCHAR AS warc_file, page_id, coalesce(url, '') AS target, html,
                    concat(E'WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:', page_id,
                           E'>\r\nWARC-Target-URI: ', coalesce(url, ''),
                           E'\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ',

@@ -9,7 +9,8 @@ nodes that differ are looked at. What is left at the leaves are the records that
 or extra.
 
 A file holds a fixed range of ids, so a node's children and a file's records have a bound, but for repeated ids,
-which keep one record each, ordered by url and html. Null html is an empty body, a null url an
+which keep one record each, ordered by url and html. Set IDS_PER_FILE by the size of your pages: a file is
+read whole by one task. Null html is an empty body, a null url an
 empty target; pages with a null page_id are spread over LOOSE_FILES files by a hash. An empty table gives no files and equal roots. Other
 columns are ignored.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from textgauge.llm.common import stored
 
-IDS_PER_FILE, LOOSE_FILES, FAN_OUT = 512, 4096, 16
+IDS_PER_FILE, LOOSE_FILES, FAN_OUT = 2048, 4096, 16
 
 _RECORDS = "warc_file string, record_no long, offset long, length long, target string, record_sha256 string"
 _LENGTH = re.compile(rb"^content-length:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
