@@ -131,14 +131,23 @@ def stems_of_pairs(*columns) -> list[str]:
     return [*made, f"st_words AS ({union})", *stem_sql.stems("st_words")]
 
 
-def meteor_of_stems(clean=same, tokenise=low_words) -> list[str]:
-    """METEOR with its second stage: words still free meet by their stems, the k-th last of each."""
-    def free(side: str, at: str) -> str:
-        return f"""{side}_free AS (
-  SELECT {KEY}, stem, p, row_number() OVER (PARTITION BY {KEY}, stem ORDER BY p DESC) AS k
-  FROM {side} JOIN stems USING (w)
-  WHERE NOT EXISTS (SELECT 1 FROM links WHERE {' AND '.join(f'links.{c} = {side}.{c}' for c in KEY.split(', '))}
-    AND links.{at} = {side}.p))"""
+# The words that the third stage of METEOR may exchange.
+SYNONYMS = [("the", "a", "an"), ("of", "in", "on", "at"), ("is", "are", "was", "be"), ("that", "this", "it"), ("and", "or")]
+
+
+def meteor_of_stems(clean=same, tokenise=low_words, synonyms: bool = False) -> list[str]:
+    """METEOR with its second stage: words still free meet by their stems, the k-th last of each.
+
+    The third stage does the same by class: words of one class are synonyms of all its others, and equal
+    stems have met before.
+    """
+    def free(side: str, at: str, by: str = "stem", taken: str = "links", name: str = "free") -> str:
+        more = "" if by == "stem" else "JOIN classes USING (stem)"
+        return f"""{side}_{name} AS (
+  SELECT {KEY}, {by}, p, row_number() OVER (PARTITION BY {KEY}, {by} ORDER BY p DESC) AS k
+  FROM {side} JOIN stems USING (w) {more}
+  WHERE NOT EXISTS (SELECT 1 FROM {taken} l WHERE {' AND '.join(f'l.{c} = {side}.{c}' for c in KEY.split(', '))}
+    AND l.{at} = {side}.p))"""
 
     parts = meteor(clean, tokenise)
     at = next(i for i, part in enumerate(parts) if part.startswith("steps AS"))
@@ -149,7 +158,19 @@ def meteor_of_stems(clean=same, tokenise=low_words) -> list[str]:
   SELECT {KEY}, hyp_at, ref_at FROM links UNION ALL
   SELECT {KEY}, h.p, r.p FROM met_h_free h JOIN met_r_free r USING ({KEY}, stem, k))""",
     ]
-    return [*parts[:at], *more, parts[at].replace("FROM links)", "FROM both_links)"), *parts[at + 1 :]]
+    last = "both_links"
+    if synonyms:
+        listed = ", ".join(f"('{w}', {i})" for i, group in enumerate(SYNONYMS) for w in group)
+        more += [
+            f"classes AS (SELECT DISTINCT stem, c FROM (VALUES {listed}) v(w, c) JOIN stems USING (w))",
+            free("met_h", "hyp_at", "c", "both_links", "left"),
+            free("met_r", "ref_at", "c", "both_links", "left"),
+            f"""all_links AS (
+  SELECT {KEY}, hyp_at, ref_at FROM both_links UNION ALL
+  SELECT {KEY}, h.p, r.p FROM met_h_left h JOIN met_r_left r USING ({KEY}, c, k))""",
+        ]
+        last = "all_links"
+    return [*parts[:at], *more, parts[at].replace("FROM links)", f"FROM {last})"), *parts[at + 1 :]]
 
 
 def meteor(clean=same, tokenise=low_words) -> list[str]:
@@ -497,6 +518,10 @@ FROM (SELECT doc_id, {alnum('text')} AS t FROM documents)""",
             [*one, *stems_of_pairs(("m", low_words, same)), *meteor_of_stems()],
             f"SELECT item_id, ref_no, matches AS meteor_matches, {r6('meteor')} FROM met",
         ),
+        "a5_meteor_synonyms": with_(
+            [*one, *stems_of_pairs(("m", low_words, same)), *meteor_of_stems(synonyms=True)],
+            f"SELECT item_id, ref_no, matches AS meteor_matches, chunks AS meteor_chunks, {r6('meteor')} FROM met",
+        ),
         "evaluation_first_run": with_(
             [
                 *many,

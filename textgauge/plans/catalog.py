@@ -14,7 +14,7 @@ from ..functions import prompts as pr
 from ..functions import text as tx
 from ..functions import vectors as ve
 from ..functions.multiset import align_last
-from ..functions.stem import rouge_stems
+from ..functions.stem import porter, rouge_stems
 from ..operators import chunks, nearest, numbering, pairing, runs, scores
 from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
@@ -534,6 +534,20 @@ def a5_meteor_stemmed(spark, sf_dir):
     return rounded(pairs.select("item_id", "ref_no", "meteor_matches", "meteor"), "meteor")
 
 
+# Words that may stand for each other, a small table for the third stage of METEOR.
+SYNONYMS = [("the", "a", "an"), ("of", "in", "on", "at"), ("is", "are", "was", "be"), ("that", "this", "it"), ("and", "or")]
+
+
+@query
+def a5_meteor_synonyms(spark, sf_dir):
+    """All three stages; synonyms are looked up by stem, and words of a class stand for each other."""
+    pairs = [(porter(a), porter(b)) for group in SYNONYMS for a in group for b in group if a != b]
+    synonyms = spark.createDataFrame(pairs, "word string, synonym string")
+    keys = ["item_id", "ref_no"]
+    scored = scores.meteor(with_words(eval_pairs(spark, sf_dir)), synonyms=synonyms, keys=keys)
+    return rounded(scored.select(*keys, "meteor_matches", "meteor_chunks", "meteor"), "meteor")
+
+
 @query
 def a6_macro_means(spark, sf_dir):
     means = scores.run_means(run_items(spark, sf_dir), RUN, evaluation.METRICS)
