@@ -20,14 +20,31 @@ _WHITE = r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}]"
 _INSIDE_RUN = rf"{_WHITE} {_WHITE}|{_WHITE} \z"
 
 # An encoder forgets its words beyond so many, or so many bytes of them.
-KEPT_WORDS, KEPT_BYTES = 900_000, 32 << 20
+KEPT_WORDS, KEPT_BYTES = 700_000, 32 << 20
 
 # Bytes of text whose words are numbered at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+def gathered(ids: np.ndarray, sizes: np.ndarray, places: np.ndarray, extra: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words at some places, one after another, and where each ends.
+
+    `extra` leaves room after each word, with any values in it.
+    """
+    n = sizes[places] + extra
+    ends = np.cumsum(n)
+    source = np.repeat((np.cumsum(sizes) - sizes)[places] - (ends - n), n)
+    source += np.arange(len(source))
+    return ids[np.minimum(source, len(ids) - 1)] if len(ids) else np.zeros(len(source), ids.dtype), ends
+
+
+def _places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """The place of each word among others, or -1."""
+    return pc.index_in(words, value_set=among).fill_null(-1).to_numpy().astype(np.int64)
+
+
 class WordEncoder:
     """Encodes columns of texts with the library's tokenizer in a file."""
 
@@ -41,6 +58,7 @@ class WordEncoder:
         self.opens = np.zeros(self.library.get_vocab_size(), dtype=bool)
         for token, number in self.library.get_vocab().items():
             self.opens[number] = token.startswith("Ġ")
+        self.comma, self.stop = (self._whole([mark])[0][0] for mark in ",.")
         self._forget()
 
     def _forget(self) -> None:
@@ -62,22 +80,40 @@ class WordEncoder:
             raise ValueError("a word was not encoded on its own")
         return ids, np.diff(cuts)
 
+    def _keep(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate([self.ids, ids])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
     def _numbers(self, words: pa.Array) -> np.ndarray:
         """The place of each of some distinct words among those kept, after learning the new ones."""
         if len(self.words) > KEPT_WORDS or self.words.nbytes > KEPT_BYTES:
             self._forget()
-        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
-        missing = np.flatnonzero(at < 0)
-        new = words.take(pa.array(missing)).to_pylist()
+        # A comma or full stop after a letter is always a token of its own, so such words need only their stems.
+        ended = pc.match_substring_regex(words, r"\p{L}[,.]\z").to_numpy(zero_copy_only=False)
+        stems = pc.utf8_slice_codeunits(words.filter(pa.array(ended)), 0, -1)
+        kept = _places(pa.concat_arrays([words, stems]), self.words)
+        at, stem_at = kept[: len(words)], np.full(len(words), -1)
+        stem_at[ended] = kept[len(words) :]
+        whole, ended = (at < 0) & ~ended, (at < 0) & ended
+        lacking = ended & (stem_at < 0)
+        lacking_stems = pc.utf8_slice_codeunits(words.filter(pa.array(lacking)), 0, -1)
+        learned = pc.unique(pa.concat_arrays([words.filter(pa.array(whole)), lacking_stems]))
+        listed, before = learned.to_pylist(), len(self.words)
         # Words with white space at an end might join with their neighbours, so each is its own text.
-        odd = np.array([not w or w[0].isspace() or w[-1].isspace() for w in new], dtype=bool)
-        plain = self._after_spaces([w for w, o in zip(new, odd.tolist()) if not o])
-        alone = self._whole([" " + new[i] for i in np.flatnonzero(odd)])
-        missing = np.concatenate([missing[~odd], missing[odd]])
-        at[missing] = len(self.words) + np.arange(len(missing))
-        self.words = pa.concat_arrays([self.words, words.take(pa.array(missing))])
-        self.ids = np.concatenate([self.ids, plain[0], alone[0]])
-        self.sizes = np.concatenate([self.sizes, plain[1], alone[1]])
+        odd = np.array([not w or w[0].isspace() or w[-1].isspace() for w in listed], dtype=bool)
+        learned = pa.concat_arrays([learned.filter(pa.array(~odd)), learned.filter(pa.array(odd))])
+        plain = self._after_spaces([w for w, o in zip(listed, odd.tolist()) if not o])
+        alone = self._whole([" " + listed[i] for i in np.flatnonzero(odd)])
+        self._keep(learned, np.concatenate([plain[0], alone[0]]), np.concatenate([plain[1], alone[1]]))
+        at[whole] = before + _places(words.filter(pa.array(whole)), learned)
+        stem_at[lacking] = before + _places(lacking_stems, learned)
+        at[ended] = len(self.words) + np.arange(ended.sum())
+        ids, ends = gathered(self.ids, self.sizes, stem_at[ended], extra=1)
+        some = words.filter(pa.array(ended))
+        commas = pc.ends_with(some, ",").to_numpy(zero_copy_only=False).astype(bool)
+        ids[ends - 1] = np.where(commas, self.comma, self.stop)
+        self._keep(some, ids, np.diff(np.append(0, ends)))
         return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -98,12 +134,9 @@ class WordEncoder:
         index = place[index]
         index[first] = len(self.words) + np.arange(len(first))
         known, sizes = np.concatenate([self.ids, heads[0]]), np.concatenate([self.sizes, heads[1]])
-        n = sizes[index]
-        ends = np.cumsum(n)
-        source = np.repeat((np.cumsum(sizes) - sizes)[index] - (ends - n), n)
-        source += np.arange(len(source))
+        ids, ends = gathered(known, sizes, index)
         total = np.append(0, ends)
-        return known[source], np.diff(total[np.append(first, len(index))])
+        return ids, np.diff(total[np.append(first, len(index))])
 
     def encode_slices(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """encode() of a few megabytes of a column at a time, null as empty, with the first row's place."""
