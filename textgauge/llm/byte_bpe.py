@@ -259,7 +259,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         bpe = coder(path)
         for batch in batches:
             at = 0
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), 2 << 20):
                 data = bpe.encode(texts)
                 ids = np.frombuffer(b"".join(data), dtype="<i4")
                 ends = np.append(0, np.cumsum([len(d) // 4 for d in data]))

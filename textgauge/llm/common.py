@@ -46,14 +46,14 @@ def without_rows(df: DataFrame, gone: DataFrame) -> DataFrame:
     return df.join(stored(gone.select(ROW), "gone"), ROW, "left_anti").drop(ROW)
 
 
-def slices(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts of a column in order, null as empty, a few megabytes at a time."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[list[str]]:
+    """The texts of a column in order, null as empty, up to `most` bytes at a time, or one text."""
     texts = texts.cast(pa.large_string())
     at = 0
     sizes = pa.compute.binary_length(texts).fill_null(0).to_pylist()
     while at < len(sizes):
         end, taken = at, 0
-        while end < len(sizes) and (end == at or taken + sizes[end] <= SLICE_BYTES):
+        while end < len(sizes) and (end == at or taken + sizes[end] <= most):
             taken += sizes[end]
             end += 1
         yield [t or "" for t in texts.slice(at, end - at).to_pylist()]

@@ -32,8 +32,8 @@ from textgauge.llm.common import slices, stored
 DIMENSIONS, CLUSTERS, SAMPLE, REACH, FARTHEST = 4096, 3, 600, 1.25, 0.97
 UNKNOWN = "und"
 
-# Texts whose counts are held in memory at once.
-_ROWS = 256
+# Texts, and bytes of text, whose counts are held in memory at once.
+_ROWS, _BYTES = 256, 512 << 10
 
 _LETTERS: list[np.ndarray] = []
 
@@ -102,7 +102,7 @@ def _learn_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels, sampled = batch.column("label").to_pylist(), batch.column("sampled").to_pylist()
         at = 0
-        for texts in slices(batch.column("text")):
+        for texts in slices(batch.column("text"), _BYTES):
             rows = []
             for start in range(0, len(texts), _ROWS):
                 for counts in gram_counts(texts[start : start + _ROWS]):
@@ -164,7 +164,7 @@ def predictor(model: dict) -> Callable[[Column], Column]:
     @F.arrow_udf(T.StructType([T.StructField(*f) for f in fields]))
     def predict(texts: pa.Array) -> pa.Array:
         names, scores, gone = [], [], []
-        for some in slices(texts):
+        for some in slices(texts, _BYTES):
             for at in range(0, len(some), _ROWS):
                 part = some[at : at + _ROWS]
                 counts = gram_counts(part)
