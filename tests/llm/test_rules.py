@@ -94,3 +94,17 @@ def test_awkward(spark, documents, rows):  # noqa: F811
     got = rules.quality_rules(docs).collect()
     assert len(got) == docs.count()
     assert all(r.kept is not None and r.base_failed is not None for r in got)
+
+
+@pytest.mark.parametrize("n_junk,junk", [(100, "buy$ {}# now%"), (90, "{} extraordinarilylongcompound"), (150, "buy$ {}# now%")])
+def test_copies_of_one_junk_text_go(spark, n_junk, junk):
+    """A third of a group, or nearly half, is one text: it is rejected, and the others are not."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), n)) for n in rng.integers(2, 9, 500)]
+    texts = [" ".join(rng.choice(words, n)) for n in rng.integers(150, 400, 200)]
+    texts += [" ".join(junk.format(w) for w in sorted(set(words))[:30])] * n_junk
+    rows = [(i, t, "en", "web") for i, t in enumerate(texts)]
+    got = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert not any(r.kept for r in got if r.doc_id >= 200)
+    assert np.mean([r.kept for r in got if r.doc_id < 200]) > 0.99

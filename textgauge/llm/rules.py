@@ -3,7 +3,10 @@
 Each text gives counts and, out of them, a vector of FEATURES on transformed scales. For every
 language and source the location and scatter of the most concentrated share SHARE of its documents are
 estimated over all rows: from medians and spreads, each concentration step takes the documents nearest
-by Mahalanobis distance and computes mean and covariance again. The sums of a step are made per
+by Mahalanobis distance and computes mean and covariance again. A second estimate of each group takes just
+half of its documents and starts from medians and median deviations, so it holds while fewer than half are junk, equal
+rows too. The wider estimate is finer and stays where it keeps no more than MASKED of the group that the half
+rejects; elsewhere junk has entered its share, and the half takes its place. The sums of a step are made per
 group and distance class before any shuffle, and groups are salted, so a group with a third of all rows
 is spread over tasks. Groups with fewer than MIN_ROWS documents use the estimate of their language, and
 languages as small as that the estimate of all documents. A document is rejected if its squared
@@ -37,6 +40,11 @@ SHARE, STEPS, MIN_ROWS, SALTS = 0.75, 4, 50, 64
 CLASSES = 10
 # Squared distance beyond which a document is rejected: a normal one is with a chance of 1e-15.
 CUTOFF = 80.0
+# Equal rows that make up p of the rows of an estimate have a squared distance of at most (1 - p) / p. Over this
+# share of a group they can stay under CUTOFF by being counted in the wider estimate.
+MASKED = SHARE / (CUTOFF + 1)
+# The scatter of the nearest half of normal rows in five dimensions, times this, is the scatter of all.
+CONSISTENCY = 1.912
 # Standard deviation added to each feature: most documents may agree exactly in one, and a small
 # difference from them makes no outlier.
 FEATURES = {"log_words": 0.3, "word_length": 0.15, "symbols": 0.2, "dup_lines": 0.15, "repeats": 0.15}
@@ -141,7 +149,7 @@ def _solve(sums: pd.DataFrame) -> pd.DataFrame:
     for r in sums.itertuples(index=False):
         mean, upper = np.array(r.s) / r.n, np.zeros((d, d))
         upper[np.triu_indices(d)] = np.array(r.p) / r.n
-        scatter = upper + np.triu(upper, 1).T - np.outer(mean, mean)
+        scatter = r.factor * (upper + np.triu(upper, 1).T - np.outer(mean, mean))
         rows.append((r.g_lang, r.g_source, mean.tolist(), np.linalg.inv(scatter + floor).ravel().tolist(), int(r.total)))
     return pd.DataFrame(rows, columns=["g_lang", "g_source", "mean", "inverse", "n"])
 
@@ -201,8 +209,25 @@ def _start(members: DataFrame) -> DataFrame:
     )
 
 
-def _concentrated(members: DataFrame, model: DataFrame) -> DataFrame:
-    """One step: the estimate of the SHARE of each group that is nearest to the last estimate."""
+def _half_start(members: DataFrame, start: DataFrame) -> DataFrame:
+    """A first estimate that up to half of the rows cannot move far: medians, and median distances from them."""
+    d, key = len(FEATURES), ["g_lang", "g_source"]
+    away = [F.abs(F.col("x")[i] - F.col("mean")[i]) for i in range(d)]
+    middle = members.join(_salted(start), [*key, "salt"]).groupBy(*key).agg(
+        F.max("mean").alias("mean"),
+        F.max("n").alias("n"),
+        *[F.percentile_approx(away[i], 0.5, 1000).alias(f"m{i}") for i in range(d)],
+    )
+    spread = [F.greatest(1.4826 * F.col(f"m{i}"), F.lit(least)) for i, least in enumerate(FEATURES.values())]
+    inverse = [1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(d) for j in range(d)]
+    return middle.select(*key, "mean", F.array(*inverse).alias("inverse"), "n")
+
+
+def _concentrated(members: DataFrame, model: DataFrame, half: bool = False) -> DataFrame:
+    """One step: the estimate of the SHARE of each group, or of its half, that is nearest to the last estimate.
+
+    For the half, the last class counts only by the fraction that is needed of it.
+    """
     d, key = len(FEATURES), ["g_lang", "g_source"]
     # Classes of squared distance are 10 % wide, and the nearest share is taken to within a class.
     near = _distance(members, model).withColumn("class", F.floor(F.log(F.col("d2") + 1e-3) * CLASSES).cast("int"))
@@ -210,25 +235,39 @@ def _concentrated(members: DataFrame, model: DataFrame) -> DataFrame:
     products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
     classes = near.groupBy(*key, "class").agg(F.count("*").alias("m"), F.max("n").alias("total"), *sums, *products)
     before = Window.partitionBy(*key).orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
-    inside = classes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).filter(
-        F.col("before") < F.lit(SHARE) * F.col("total")
-    )
-    merged = inside.groupBy(*key).agg(
-        F.sum("m").alias("n"),
+    wanted = F.floor((F.col("total") + d + 1) / 2) if half else F.lit(SHARE) * F.col("total")
+    inside = classes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).filter(F.col("before") < wanted)
+    weight = F.least((wanted - F.col("before")) / F.col("m"), F.lit(1.0)) if half else F.lit(1.0)
+    merged = inside.withColumn("w", weight).groupBy(*key).agg(
+        F.sum(F.col("w") * F.col("m")).alias("n"),
         F.max("total").alias("total"),
-        F.array(*[F.sum(f"s{i}") for i in range(d)]).alias("s"),
-        F.array(*[F.sum(f"p{i}_{j}") for i in range(d) for j in range(i, d)]).alias("p"),
+        F.array(*[F.sum(F.col("w") * F.col(f"s{i}")) for i in range(d)]).alias("s"),
+        F.array(*[F.sum(F.col("w") * F.col(f"p{i}_{j}")) for i in range(d) for j in range(i, d)]).alias("p"),
+        F.lit(CONSISTENCY if half else 1.0).alias("factor"),
     )
     return merged.mapInPandas(_each, _MODEL)
 
 
+def _chosen(members: DataFrame, wide: DataFrame, half: DataFrame) -> DataFrame:
+    """The wider estimate of each group, or that of its half where the wider one keeps what the half rejects."""
+    key = ["g_lang", "g_source"]
+    near = _distance(members, wide).select(*members.columns, (F.col("d2") <= CUTOFF).alias("near"))
+    hidden = (F.col("near") & (F.col("d2") > CUTOFF)).cast("double")
+    masked = stored(_distance(near, half).groupBy(*key).agg(F.avg(hidden).alias("masked")), "masked").filter(
+        F.col("masked") > MASKED
+    )
+    return wide.join(masked, key, "left_anti").unionByName(half.join(masked, key, "left_semi"))
+
+
 def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """mean and inverse scatter of each group of `rows` (grouped and stored)."""
     members = _members(rows)
-    model = stored(_start(members), "start")
+    start = stored(_start(members), "start")
+    wide, half = start, stored(_half_start(members, start), "half-start")
     for _ in range(steps):
-        model = stored(_concentrated(members, model), "concentrated")
-    return model
+        wide = stored(_concentrated(members, wide), "concentrated")
+        half = stored(_concentrated(members, half, half=True), "half")
+    return stored(_chosen(members, wide, half), "estimates")
 
 
 def quality_rules(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
