@@ -36,6 +36,18 @@ def test_far_texts_are_rejected(spark):
     assert got[1].rejected and got[2].rejected and not got[3].rejected
 
 
+def test_mislabelled_rows_do_not_open_a_language(spark):
+    """Two in a hundred texts of a language are of another script: they are rejected though they were learned from."""
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("aeilnorst"), n)) for n in rng.integers(2, 9, 300)]
+    strange = ["".join(rng.choice(list("абвгдежз"), n)) for n in rng.integers(2, 9, 300)]
+    rows = [(i, " ".join(rng.choice(strange if i % 50 == 0 else words, 80)), "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify(docs, language.learn(docs, F.lit(False))).collect()
+    assert all(r.rejected for r in got if r.doc_id % 50 == 0)
+    assert np.mean([r.rejected for r in got if r.doc_id % 50]) < 0.01
+
+
 @pytest.mark.parametrize("rows", [AWKWARD, []])
 def test_language_awkward(spark, documents, rows):  # noqa: F811
     docs = documents(rows, extra=("label", "lang_pred"))

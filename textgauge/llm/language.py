@@ -4,10 +4,11 @@ A text becomes counts of its letter bigrams and trigrams inside words (lower cas
 both ends), hashed to DIMENSIONS; counts are damped by a logarithm, weighted by inverse document
 frequency and normalised. Each language has several centroids, found by spherical k-means, and a text gets the
 language of the centroid with the largest cosine. A text is rejected if its distance, 1 less the
-cosine, is over REACH times that of the farthest document that the centroids of the language were made
-from, or over FARTHEST.
+cosine, is over FARTHEST, or more than DEVIATIONS robust deviations over the median distance of all labelled documents of the
+language from their nearest own centroid. Clusters of less than FEWEST of a sample, such as mislabelled
+or garbled documents, make no centroid.
 
-Document frequencies are counted over all labelled documents to learn from. The centroids are fitted on a sample of at
+Document frequencies are counted over all labelled documents to learn from. So are the distances that a language allows. The centroids alone are fitted on a sample of at
 most about SAMPLE documents for each language, chosen by a hash of the id. Languages are counted on the
 driver, so there may be thousands of them, not millions.
 
@@ -29,7 +30,9 @@ from pyspark.sql import types as T
 
 from textgauge.llm.common import slices, stored
 
-DIMENSIONS, CLUSTERS, SAMPLE, REACH, FARTHEST = 4096, 3, 600, 1.25, 0.97
+DIMENSIONS, CLUSTERS, SAMPLE, DEVIATIONS, FARTHEST, FEWEST = 4096, 3, 600, 6.0, 0.97, 0.05
+# A deviation is at least this: documents of a language may all be equally far.
+LEAST_DEVIATION = 0.02
 UNKNOWN = "und"
 
 # Texts, and bytes of text, whose counts are held in memory at once.
@@ -85,6 +88,18 @@ def centroids(vectors: np.ndarray, clusters: int, rounds: int = 12) -> np.ndarra
     return found
 
 
+def common_centroids(vectors: np.ndarray) -> np.ndarray:
+    """Centroids of clusters that hold FEWEST of the vectors or more; smaller ones are left out and the rest cut again."""
+    kept = vectors
+    while True:
+        found = centroids(kept, CLUSTERS)
+        nearest = np.argmax(kept @ found.T, axis=1)
+        common = (np.bincount(nearest, minlength=len(found)) >= FEWEST * len(vectors))[nearest]
+        if common.all() or 2 * common.sum() < len(vectors):
+            return found
+        kept = kept[common]
+
+
 def learnable(held_out: Column) -> Column:
     return F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out
 
@@ -143,18 +158,50 @@ def learn(docs: DataFrame, held_out: Column) -> dict:
     by_label: dict[str, list] = {}
     for label, places, n in zip(*(c.to_pylist() for c in found.filter("label IS NOT NULL").toArrow().columns[:3])):
         by_label.setdefault(label, []).append((places, n))
-    labels, points, reach = [], [], []
+    labels, points = [], []
     for label in sorted(by_label):
         counts = np.zeros((len(by_label[label]), DIMENSIONS), dtype=np.float32)
         for i, (places, n) in enumerate(by_label[label]):
             counts[i, places] = n
         vectors = weighted(counts, idf)
-        own = centroids(vectors, CLUSTERS)
-        farthest = 1 - (vectors @ own.T).max(axis=1).min()
+        own = common_centroids(vectors)
         labels += [label] * len(own)
-        reach += [min(REACH * farthest, FARTHEST)] * len(own)
         points.append(own)
-    return {"labels": labels, "points": np.concatenate(points), "reach": np.array(reach), "idf": idf} if labels else {}
+    if not labels:
+        return {}
+    model = {"labels": labels, "points": np.concatenate(points), "idf": idf}
+    allowed = _reach(rows, model)
+    return model | {"reach": np.array([allowed[label] for label in labels])}
+
+
+def _reach(rows: DataFrame, model: dict) -> dict[str, float]:
+    """The distance that each language allows, from all of its rows."""
+
+    @F.arrow_udf(T.DoubleType())
+    def own_distance(langs: pa.Array, texts: pa.Array) -> pa.Array:
+        names, found, at = np.array(model["labels"]), [], 0
+        wanted = np.array(langs.to_pylist(), dtype=object)
+        for some in slices(texts, _BYTES):
+            for start in range(0, len(some), _ROWS):
+                counts = gram_counts(some[start : start + _ROWS])
+                cosine = weighted(counts, model["idf"]) @ model["points"].T
+                own = names[None, :] == wanted[at : at + len(counts), None]
+                best = np.where(own, cosine, -np.inf).max(axis=1)
+                known = counts.any(axis=1) & own.any(axis=1)
+                found += [float(1 - b) if ok else None for b, ok in zip(best, known)]
+                at += len(counts)
+        return pa.array(found, pa.float64())
+
+    far = stored(rows.select("lang", own_distance("lang", "text").alias("far")).filter("far IS NOT NULL"), "own-distances")
+    medians = far.groupBy("lang").agg(F.percentile_approx("far", 0.5, 1000).alias("middle"))
+    spread = (
+        far.join(F.broadcast(medians), "lang")
+        .groupBy("lang")
+        .agg(F.max("middle").alias("middle"), F.percentile_approx(F.abs(F.col("far") - F.col("middle")), 0.5, 1000).alias("mad"))
+    )
+    return {
+        r["lang"]: min(r["middle"] + DEVIATIONS * max(1.4826 * r["mad"], LEAST_DEVIATION), FARTHEST) for r in spread.collect()
+    }
 
 
 def predictor(model: dict) -> Callable[[Column], Column]:
