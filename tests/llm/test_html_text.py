@@ -46,3 +46,21 @@ def test_articles_of_the_pages(spark):
         inside = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1]
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>?", "", p)).split()) for p in re.split(r"</?(?:p|h1)>", inside)]
         assert H.main_text(r.html) == "\n\n".join(p for p in parts if p)
+
+
+ARTICLE = "<article><h1>Title here</h1><p>" + "word " * 40 + "</p></article>"
+TEXT = "Title here\n\n" + "word " * 39 + "word"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<form id='aspnetForm'>{ARTICLE}</form>", TEXT),
+        *[(f"<div class='{c}'>{ARTICLE}</div>", TEXT) for c in ("has-sidebar", "page-with-sidebar", "layout-header", "elementor-widget-wrap")],
+        ("<form><div class='header'>My site</div><div><p>" + "word " * 40 + "</p></div></form>", "word " * 39 + "word"),
+        (ARTICLE + "<form>Your name and your address</form>", TEXT),
+        (ARTICLE + f"<div class='related-posts'>{ARTICLE}</div><aside>{ARTICLE}</aside><div id='comments'>{ARTICLE}</div>", TEXT),
+    ],
+)
+def test_wrappers_named_like_furniture(page, text):
+    assert H.main_text(page) == text

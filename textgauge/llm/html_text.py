@@ -4,7 +4,9 @@ A page becomes a flat list of text blocks, cut at block-level tags. A block is d
 the share of them inside links, the same for the blocks before and after it, and by what encloses
 it: an element or class that names page furniture, one that names content, a heading, a list item. A
 decision tree over these numbers, grown from the table LABELLED below, says which blocks are main
-text. Enclosing elements are features because words and links alone cannot tell an advert of one sentence from a
+text. An <article> or <main> inside an element that is named like furniture, but is no remark, advert, list of
+related pages, or nav, footer, aside, menu or dialog, is no furniture. Nor is a form, div or section with a
+name of the layout that holds nearly all words of the page outside links. Enclosing elements are features because words and links alone cannot tell an advert of one sentence from a
 paragraph of one sentence.
 
 Character references are decoded, white space inside a block becomes one space, and the blocks kept are
@@ -35,6 +37,8 @@ _MARKUP = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+# "has-sidebar" or "page-with-sidebar" names what is beside, not what is inside.
+_BESIDE = re.compile(r"\b(?:[\w-]*[-_])?(?:has|with|without|no)[-_]+\w+", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # HTML elements by their part in the layout.
@@ -58,6 +62,17 @@ FURNITURE_NAMES = frozenset(
     "contentinfo complementary dialog author byline".split()
 )
 REMARKS = frozenset("comment comments reply replies respond responses discussion disqus".split())
+# Furniture with all that is inside, articles too.
+FIRM = frozenset("nav footer aside menu dialog".split())
+FIRM_NAMES = REMARKS | frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion related recommended "
+    "recommendations trending popular".split()
+)
+# What may enclose a whole page: elements, and names of the layout.
+WRAPPERS = frozenset("form div section".split())
+LAYOUT_NAMES = frozenset("sidebar rail widget widgets header masthead topbar toolbar nav navbar navigation menu banner form".split())
+# Share of the words of a page outside links.
+WHOLE_PAGE = 0.75
 CONTENT_NAMES = frozenset("article content main post entry story body text".split())
 
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in SKIPPED}
@@ -74,30 +89,40 @@ class Block:
     item: bool
 
 
-def _kind(name: str, rest: str, within: bool) -> tuple[bool, bool]:
-    """If an element is furniture, and if it is content, by its own name, class, id and role.
+def _kind(name: str, rest: str, within: bool) -> tuple[bool, bool, bool, bool]:
+    """If an element is furniture, is content, is furniture with all inside, and may enclose a page.
+
+    By its own name, class, id and role.
 
     A header within content is neither: it holds the headline.
     """
-    parts = set()
+    parts, own = set(), set()
     if "=" in rest:
         for found in _NAMES.findall(rest):
-            parts.update(p.lower() for p in _PARTS.findall(" ".join(found)))
+            names = " ".join(found)
+            parts.update(p.lower() for p in _PARTS.findall(names))
+            own.update(p.lower() for p in _PARTS.findall(_BESIDE.sub(" ", names)))
     if name in CONTENT:
         remark = not parts.isdisjoint(REMARKS)
-        return remark, not remark
+        return remark, not remark, remark, False
     furniture, content = not parts.isdisjoint(FURNITURE_NAMES), not parts.isdisjoint(CONTENT_NAMES)
+    firm = name in FIRM or not own.isdisjoint(FIRM_NAMES)
+    wraps = name in WRAPPERS and not firm and own & FURNITURE_NAMES <= LAYOUT_NAMES
     if name in FURNITURE and (name != "header" or not within):
-        return True, False
+        return True, False, firm, wraps
     # A name such as "content-with-sidebar" says neither.
-    return furniture and (not content or not parts.isdisjoint(REMARKS)), content and not furniture
+    named = not own.isdisjoint(FURNITURE_NAMES) and (not content or not own.isdisjoint(REMARKS))
+    return named, content and not furniture, named and firm, wraps
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in page order."""
     found: list[Block] = []
     pieces: list[tuple[str, bool]] = []
-    open_elements: list[tuple[str, bool, bool]] = []
+    open_elements: list[tuple[str, bool, bool, bool, bool, int]] = []
+    # For each block, the furniture around it: elements by number, -1 for what cannot enclose a page.
+    around: list[set[int]] = []
+    opened = 0
     state = {"link": False, "heading": False, "item": False}
 
     def flush() -> None:
@@ -111,12 +136,19 @@ def blocks(page: str) -> list[Block]:
                     text,
                     text.count(" ") + 1,
                     linked,
-                    any(f for _, f, _ in open_elements),
-                    any(c for _, _, c in open_elements),
+                    False,
+                    any(e[2] for e in open_elements),
                     state["heading"],
                     state["item"],
                 )
             )
+            marks = {-1} if any(e[3] for e in open_elements) else set()
+            for element, furniture, content, _, wraps, number in reversed(open_elements):
+                if element in CONTENT and content:
+                    break
+                if furniture:
+                    marks.add(number if wraps else -1)
+            around.append(marks)
         pieces.clear()
 
     at = 0
@@ -156,13 +188,23 @@ def blocks(page: str) -> list[Block]:
             continue
         if not closes:
             if not rest.endswith("/"):
-                open_elements.append((name, *_kind(name, rest, any(c for _, _, c in open_elements))))
+                opened += 1
+                open_elements.append((name, *_kind(name, rest, any(e[2] for e in open_elements)), opened))
         else:
             for depth in range(len(open_elements) - 1, -1, -1):
                 if open_elements[depth][0] == name:
                     del open_elements[depth:]
                     break
     flush()
+    held: dict[int, int] = {}
+    for block, marks in zip(found, around):
+        for number in marks:
+            held[number] = held.get(number, 0) + block.words - block.linked
+    most = WHOLE_PAGE * sum(b.words - b.linked for b in found)
+    # Where an article is marked as such outside of an element, that element does not enclose the page.
+    outside = [marks for block, marks in zip(found, around) if block.content and -1 not in marks]
+    for block, marks in zip(found, around):
+        block.furniture = any(n < 0 or held[n] <= most or any(n not in m for m in outside) for n in marks)
     return found
 
 
