@@ -16,9 +16,7 @@ from textgauge.llm.encode import WordEncoder
 
 @pytest.fixture(scope="module")
 def library(vocabulary):
-    t = Tokenizer.from_file(vocabulary)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary)
 
 
 @pytest.fixture(scope="module")
@@ -51,11 +49,25 @@ def test_pieces_of_a_text_have_the_ids_of_the_text(texts):
     library, words = test_pieces_of_a_text_have_the_ids_of_the_text.__dict__.setdefault(
         "both", (Tokenizer.from_file(path), WordEncoder(path))
     )
-    library.encode_special_tokens = True
     got = per_text(words, texts)
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("special", ["<|endoftext|>", "<|endoftext", "<|endoftext|><|endoftext|>"])
+def test_special_tokens_in_texts(library, words, special):
+    texts = [t.replace("@", special) for t in ("@", "a @ b", "a@b", "@ a", "a @", " @ ", "x  @  y", "a\n@\nb", "no", "a b@", "@b c d")]
+    got = per_text(words, texts)
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == ([50256] * special.count("|>") if special.endswith("|>") else got[0])
+
+
+def test_words_are_forgotten_at_the_end_of_a_task(library, words):
+    text = "some words that are kept until the end"
+    before = per_text(words, [text])
+    words.release()
+    assert len(words.words) == 0 and per_text(words, [text]) == before
+
+
 def test_documents_encode_as_whole_texts(spark, library, words):
     texts = [r.text for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()]
     got = per_text(words, texts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,3 +56,12 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[list[str]]:
             end += 1
         yield [t or "" for t in texts.slice(at, end - at).to_pylist()]
         at = end
+
+
+def give_back() -> None:
+    """Hand memory that is free inside this process back to the system, as a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no glibc
+        pass

@@ -3,11 +3,14 @@
 A byte-level pre-tokenizer always starts a token at a space that follows or precedes a character which is
 no white space. So texts are split at single spaces, the words numbered by their values, the new ones
 encoded by the library, and the ids of the texts gathered from those of their words. Texts with
-longer runs of white space around spaces are encoded whole.
+longer runs of white space around spaces, and those that hold a special token of the vocabulary, are encoded whole.
+
+The library is used as it comes: the string of a special token in a text becomes its id.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from itertools import chain
 
@@ -15,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from textgauge.llm.common import give_back
+
 # A space between two white-space characters, or last after one: no token need start there.
 _WHITE = r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}]"
 _INSIDE_RUN = rf"{_WHITE} {_WHITE}|{_WHITE} \z"
@@ -32,10 +37,12 @@ class WordEncoder:
     """Encodes columns of texts with the library's tokenizer in a file."""
 
     def __init__(self, path: str):
+        # A task has one core; the threads of the library would keep memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.library.no_truncation()
         self.library.no_padding()
         self.opens = np.zeros(self.library.get_vocab_size(), dtype=bool)
@@ -83,6 +90,8 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (large strings without nulls) in order, and how many each text has."""
         irregular = pc.match_substring_regex(texts, _INSIDE_RUN)
+        for token in self.special:
+            irregular = pc.or_(irregular, pc.match_substring(texts, token))
         split = pc.split_pattern(pc.if_else(irregular, "", texts), " ")
         numbered = split.flatten().dictionary_encode()
         index = numbered.indices.to_numpy().astype(np.int64)
@@ -113,7 +122,12 @@ class WordEncoder:
         starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
         for a, b in zip(starts, np.append(starts[1:], len(texts))):
             yield int(a), *self.encode(texts.slice(int(a), int(b - a)))
-            pa.default_memory_pool().release_unused()
+            give_back()
+
+    def release(self) -> None:
+        """Forget all words at the end of a task."""
+        self._forget()
+        give_back()
 
 
 def encoder(path: str) -> WordEncoder:

@@ -66,6 +66,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int =
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names
                 )
+        encoder(vocabulary).release()
 
     schema = _PIECES + ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, schema)

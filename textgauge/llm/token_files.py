@@ -67,6 +67,7 @@ def with_tokens(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                     schema=_ARROW,
                 )
                 start += int(offsets[-1])
+        encoder(vocabulary).release()
 
     placed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     ordered = placed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
