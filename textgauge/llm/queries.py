@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import byte_bpe, exact_dedup, html_text, language, packing, quality, rules, simhash, token_files, warc
+from textgauge.llm import (
+    byte_bpe,
+    exact_dedup,
+    html_text,
+    language,
+    lexical_search,
+    packing,
+    periodic_runs,
+    quality,
+    rules,
+    secret_scan,
+    simhash,
+    token_files,
+    warc,
+)
 from textgauge.llm.common import stored
 from textgauge.session import scratch_path
 
@@ -91,6 +105,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; a document is a repository and its source the owner."""
+    return secret_scan.secret_spans(_table(spark, sf_dir, "documents"), repository="doc_id", owner="source")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    return periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,9 +133,19 @@ QUERIES = {
         op8_warc_audit,
         op9_quality_rules,
         op10_simhash,
+        op11_secret_scan,
+        op12_periodic_runs,
+        op13_lexical_search,
     )
 }
 
+# Assignments, with both cases spelled out, as DuckDB's flag for any case covers more than ASCII.
+_NAMES = "|".join(
+    "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name)
+    for name in ("password", "passwd", "secret", "token", "api_?key")
+)
+_ASSIGN = rf"""({_NAMES})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
 ORACLE_SQL = {
     "op6_exact_dedup": r"""
         WITH rows AS (
@@ -141,4 +180,117 @@ ORACLE_SQL = {
         FROM records
         WINDOW w AS (PARTITION BY warc_file ORDER BY page_id, target, html)
     """,
+    "op11_secret_scan": rf"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id, doc_id AS repository, source AS owner, coalesce(text, '') AS text
+            FROM documents
+        ),
+        cut AS (
+            SELECT r, 0 AS kind, string_split_regex(text, '{_ASSIGN}') AS gaps,
+                   regexp_extract_all(text, '{_ASSIGN}') AS hits, regexp_extract_all(text, '{_ASSIGN}', 2) AS vals FROM texts
+            UNION ALL
+            SELECT r, 1, string_split_regex(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
+                   regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM texts
+            UNION ALL
+            SELECT r, 2, string_split_regex(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+'),
+                   regexp_extract_all(text, '[0-9a-f]+') FROM texts
+        ),
+        piece AS (
+            -- The last gap has no match after it.
+            SELECT r, kind, unnest(gaps) AS gap, unnest(list_append(hits, '')) AS hit, unnest(list_append(vals, '')) AS val,
+                   unnest(range(len(gaps))) AS i
+            FROM cut
+        ),
+        placed AS (
+            SELECT *, (sum(length(gap) + length(hit)) OVER w - length(hit))::BIGINT AS "start",
+                   (sum(length(gap) + length(hit)) OVER w)::BIGINT AS "end"
+            FROM piece WINDOW w AS (PARTITION BY r, kind ORDER BY i)
+        ),
+        base AS (
+            SELECT r, kind, "start", "end", val FROM placed
+            WHERE (kind = 0 AND length(val) >= 6) OR (kind = 1 AND length(val) >= 20) OR (kind = 2 AND length(val) >= 24)
+        ),
+        rest AS (
+            SELECT r, i, "start" - length(gap) AS gap_start, string_split_regex(gap, '[A-Za-z0-9+/_=-]+') AS gaps,
+                   regexp_extract_all(gap, '[A-Za-z0-9+/_=-]+') AS hits
+            FROM placed WHERE kind = 0
+        ),
+        word AS (
+            SELECT r, i, gap_start, unnest(gaps) AS gap, unnest(list_append(hits, '')) AS hit, unnest(range(len(gaps))) AS j
+            FROM rest
+        ),
+        bare AS (
+            SELECT r, 3 AS kind, (gap_start + sum(length(gap) + length(hit)) OVER w - length(hit))::BIGINT AS "start",
+                   (gap_start + sum(length(gap) + length(hit)) OVER w)::BIGINT AS "end", hit AS val
+            FROM word WINDOW w AS (PARTITION BY r, i ORDER BY j)
+        ),
+        candidate AS (
+            SELECT * FROM base
+            UNION ALL
+            SELECT * FROM bare
+            WHERE length(val) >= 20 AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[A-Z]')
+              AND regexp_matches(val, '[0-9]') AND len(list_distinct(string_split(val, ''))) >= 12
+              AND NOT regexp_matches(val, 'AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}')
+        ),
+        held AS (
+            SELECT val, count(DISTINCT coalesce('=' || owner, '')) AS n_owners
+            FROM candidate JOIN texts USING (r) GROUP BY val
+        ),
+        judged AS (
+            SELECT c.*, CASE WHEN n_owners > 2 THEN 'example'
+                             WHEN regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]')
+                                  AND len(list_distinct(string_split(val, ''))) >= 8 THEN 'live'
+                             ELSE 'weak' END AS verdict
+            FROM candidate c JOIN held USING (val)
+        ),
+        named AS (
+            SELECT r, kind, "start", verdict,
+                   concat(['assign', 'access', 'hex', 'owned'][kind + 1], ':', "start", ':', "end") AS span
+            FROM judged WHERE kind < 3 OR verdict = 'live'
+        )
+        SELECT doc_id,
+               count(*) FILTER (kind = 0) AS n_assign,
+               count(*) FILTER (kind = 1) AS n_access,
+               count(*) FILTER (kind = 2) AS n_hex,
+               sha256(coalesce(string_agg(span, ',' ORDER BY "start", kind) FILTER (kind < 3), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY "start", kind), '') AS spans,
+               count(*) FILTER (kind = 3) AS n_owned,
+               count(*) FILTER (verdict = 'live') AS n_live,
+               count(*) FILTER (verdict = 'example') AS n_example
+        FROM texts LEFT JOIN named USING (r) GROUP BY r, doc_id
+    """,
+    "op13_lexical_search": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+            FROM documents
+        ),
+        sizes AS (SELECT r, doc_id, len(ts) AS n FROM texts WHERE len(ts) > 0),
+        corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+        frequency AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM texts) GROUP BY r, t),
+        weights AS (
+            SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM frequency, corpus GROUP BY t, docs
+        ),
+        items AS (
+            SELECT i, item_id, t, count(*) AS times
+            FROM (SELECT i, item_id,
+                         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                             'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+                  FROM (SELECT row_number() OVER () AS i, * FROM benchmark))
+            GROUP BY i, item_id, t
+        ),
+        scores AS (
+            SELECT i, item_id, r, doc_id,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+            FROM items JOIN frequency USING (t) JOIN weights USING (t) JOIN sizes USING (r), corpus
+            GROUP BY i, item_id, r, doc_id
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank,
+               doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 10
+    """,
 }
