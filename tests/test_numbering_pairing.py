@@ -39,6 +39,21 @@ def test_pairs_of_a_hot_item_spread_over_blocks(spark):
     assert plain.count() == len(rows) and "slot" not in plain.columns
 
 
+def test_scoring_tasks_grow_with_the_characters_in_pairs(spark):
+    refs = [(1, t, "r" * 10) for t in range(20)] + [(2, 0, "rr"), (3, 0, "no hypothesis")]
+    hyps = [(1, "h" * 7)] * 3 + [(2, "h"), (4, "no reference")]
+    references = spark.createDataFrame(refs, "item_id bigint, ref_no bigint, reference string")
+    hypotheses = spark.createDataFrame(hyps, "item_id bigint, hypothesis string")
+    characters = 3 * 20 * (10 + 7) + 3
+    assert pairing.scoring_tasks(hypotheses, references, "item_id", 1) == characters
+    assert pairing.scoring_tasks(hypotheses, references, "item_id", 10) == -(-characters // 10)
+    cores = spark.sparkContext.defaultParallelism
+    assert pairing.scoring_tasks(hypotheses, references, "item_id") == cores
+    assert pairing.scoring_tasks(hypotheses.limit(0), references, "item_id") == cores
+    dealt = pairing.pair_references(hypotheses, references, tasks=9)
+    assert dealt.count() == 61 and dealt.rdd.getNumPartitions() == 9
+
+
 def test_blocked_references_and_back(spark):
     refs = [(1, t, f"r{t}") for t in range(25)] + [(2, 7, "only")]
     references = spark.createDataFrame(refs, "item_id bigint, ref_no bigint, reference string")

@@ -71,8 +71,22 @@ def test_recomputation_moves_reference_texts_once(spark, no_broadcast):
     df = catalog.evaluation_recomputed(spark, SF)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    texts = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
-    assert sum("ReusedExchange" in line for line in texts) == 1 and len(texts) == 2
+    texts = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    # One exchange of references and one of hypotheses, both used again.
+    assert sum("ReusedExchange" in line for line in texts) == 2 and len(texts) == 4
+
+
+@pytest.mark.parametrize("slots", [False, True])
+def test_scoring_has_a_task_per_core(spark, slots):
+    """Neither a broadcast of one side nor merging by bytes leaves the scoring to fewer tasks."""
+    pairs = catalog.run_pairs(spark, SF, slots)
+    used = pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(used) >= spark.sparkContext.defaultParallelism
+
+
+def test_joined_texts_are_not_dealt_again(spark, no_broadcast):
+    plan = plan_of(catalog.a3_rouge_pairs(spark, SF))
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("Exchange hashpartitioning(_block") == 2
 
 
 def test_hot_item_is_not_one_task(spark, no_broadcast):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .numbering import block_of, block_starts, index_in_group
 
 REFERENCES_PER_BLOCK = 1024
+# Characters that one task scores; those of a text count once for every pair it is in.
+CHARACTERS_PER_TASK = 32 << 20
 
 
 def explode_references(items: DataFrame, references: str = "reference_captions") -> DataFrame:
@@ -23,12 +27,29 @@ def number_slots(references: DataFrame) -> DataFrame:
     return index_in_group(references, ["item_id"], "ref_no", "slot", REFERENCES_PER_BLOCK)
 
 
+def scoring_tasks(hypotheses: DataFrame, references: DataFrame, group: str, per_task: int = CHARACTERS_PER_TASK) -> int:
+    """Into how many tasks the pairs are dealt: at least one per core, and one for each `per_task` characters in pairs.
+
+    The bytes of the references say little of the work to come, as each meets all hypotheses of its
+    item. So texts are counted once per item, and the products summed; only numbers are shuffled.
+    """
+    texts = references.groupBy(group).agg(
+        F.count("*").alias("_refs"), F.sum(F.length("reference").cast("double")).alias("_ref_chars")
+    )
+    made = hypotheses.groupBy(group).agg(
+        F.count("*").alias("_hyps"), F.sum(F.length("hypothesis").cast("double")).alias("_hyp_chars")
+    )
+    work = texts.join(made, group).agg(F.sum(F.expr("_refs * _hyp_chars + _hyps * _ref_chars"))).first()[0] or 0.0
+    return max(hypotheses.sparkSession.sparkContext.defaultParallelism, math.ceil(work / per_task))
+
+
 def pair_references(
     hypotheses: DataFrame,
     references: DataFrame,
     slots: bool = False,
     width: int = REFERENCES_PER_BLOCK,
     group: str = "item_id",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Every reference with the hypotheses of its item (one per run), joined on the item.
 
@@ -46,8 +67,11 @@ def pair_references(
     blocks = block_starts(blocked, [group]) if slots else (
         blocked.select(group, "_block").distinct()
     )
-    spread = hypotheses.join(blocks, group)
-    placed = blocked.repartition(group, "_block")
+    # Both sides are dealt alike, so whichever Spark may broadcast, the other one has these tasks. The block comes
+    # first, as Spark would take an exchange by the same columns in the other order, which it may merge, for this one.
+    tasks = tasks or scoring_tasks(hypotheses, blocked, group)
+    spread = hypotheses.join(blocks, group).repartition(tasks, "_block", group)
+    placed = blocked.repartition(tasks, "_block", group)
     if slots:
         inside = Window.partitionBy(group, "_block").orderBy("ref_no")
         placed = placed.withColumn("_inside", F.row_number().over(inside) - 1)
