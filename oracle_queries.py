@@ -291,6 +291,32 @@ BLEU_AGAIN = (
 )
 
 
+# The steps of a Poisson(1) variable on 16 bits.
+POISSON = [24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535]
+
+
+def drawn(source: str, unit: str, keys: str, metrics: list[str], replicates: int) -> list[str]:
+    """CTEs `draws` and `replicates`: weights out of md5(unit:block), eight to a digest, and the means of every draw."""
+    weight = " + ".join(f"(u >= {step})::INT" for step in POISSON)
+    means = ", ".join(f"sum({m} * weight) / sum(weight) FILTER ({m} IS NOT NULL) AS {m}" for m in metrics)
+    return [
+        f"""digests AS (SELECT {keys}, {', '.join(metrics)}, block, md5(concat({unit}, ':', block)) AS digest
+  FROM {source}, (SELECT unnest(range({-(-replicates // 8)})) AS block))""",
+        f"""draws AS (SELECT {keys}, {', '.join(metrics)}, block * 8 + k AS replicate, {weight} AS weight
+  FROM (SELECT *, ('0x' || substr(digest, 1 + 4 * k, 4))::INT AS u FROM digests, (SELECT unnest(range(8)) AS k)))""",
+        f"replicates AS (SELECT {keys}, replicate, {means} FROM draws WHERE replicate < {replicates} AND weight > 0 "
+        f"GROUP BY {keys}, replicate)",
+    ]
+
+
+def interval_rows(keys: str, metrics: list[str]) -> str:
+    points = ", ".join(f"round(round(quantile_cont(value, {q}), 12), 6) AS {n}" for n, q in (("low", 0.025), ("mid", 0.5), ("high", 0.975)))
+    return (
+        f"SELECT {keys}, metric, {points} FROM (UNPIVOT replicates ON {', '.join(metrics)} INTO NAME metric VALUE value) "
+        f"GROUP BY {keys}, metric"
+    )
+
+
 def with_(parts: list[str], select: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + select
 
@@ -445,6 +471,7 @@ CAPTION_MODEL = (
 
 def all_sql() -> dict[str, str]:
     one, many = pair_base(False), pair_base(True)
+    three = ["rouge1", "rouge2", "meteor"]
     first_items = [*many, *scored(), ITEMS]
     first_long = [*first_items, *bleu(words), MACRO, LONG_BLEU.replace("{bleu}", BLEU_FIRST)]
     again_slots = [*many, *scored(stripped), SLOTS]
@@ -467,6 +494,11 @@ def all_sql() -> dict[str, str]:
         "s2_caption_files": f"""SELECT printf('%06d.jpg', doc_id) AS image_name, text AS generated_caption,
   '{CHAT_OPEN}Caption the image in one sentence.{CHAT_CLOSE}' AS prompt FROM documents""",
         "s3_run_documents": with_(first_items, f"SELECT model, dataset, item_id, {METRICS} FROM items"),
+        "s3_nested_documents": with_(
+            [*first_items, *bleu(words)],
+            f"""SELECT model, dataset, item_id AS image_id, hypothesis AS generated_caption, {six(BLEU_FIRST)} AS corpus_bleu, {METRICS}
+FROM items JOIN hyps USING (model, dataset, item_id) JOIN b_all USING (model, dataset)""",
+        ),
         "s4_sorted_files": f"""SELECT page_id, path, row_number() OVER (ORDER BY path, page_id) - 1 AS row_id
 FROM (SELECT page_id, {PATH} AS path FROM pages) WHERE path LIKE '%.html'""",
         "s5_page_text": f"SELECT page_id, url, {PAGE_TEXT} AS text FROM pages",
@@ -618,6 +650,33 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "a3_rouge_pairs": with_(
             [*one, *rouge("rou")], f"SELECT item_id, ref_no, {r6('rouge1', 'rouge2')} FROM rou"
         ),
+        "a3_bootstrap_intervals": with_(
+            [*first_items, *drawn("items", "item_id", "model, dataset", three, 1000)], interval_rows("model, dataset", three)
+        ),
+        "a7_bootstrap_slots": with_(
+            [
+                *again_slots,
+                *drawn("scored", "item_id", "model, dataset, slot", ["rouge1", "rouge2"], 200),
+                """mids AS (
+  SELECT model, dataset, slot, quantile_cont(rouge1, 0.5) AS rouge1, quantile_cont(rouge2, 0.5) AS rouge2
+  FROM replicates GROUP BY ALL)""",
+            ],
+            f"""SELECT model, dataset, count(*) AS slots, {', '.join(f"{six(f'avg({m})')} AS {m.split('.')[1]}" for m in ("mids.rouge1", "mids.rouge2", "slot_avg.meteor"))}
+FROM slot_avg JOIN firsts USING (model, dataset) JOIN mids USING (model, dataset, slot) WHERE slot < n GROUP BY model, dataset""",
+        ),
+        "a9_margin_intervals": with_(
+            [
+                *first_items,
+                """sides AS (
+  SELECT conv_id, pair_no, dataset, model, rouge1, rouge2, meteor FROM items JOIN hyps USING (model, dataset, item_id))""",
+                """leads AS (
+  SELECT dataset, concat(conv_id, '-', pair_no) AS unit, a.rouge1 - b.rouge1 AS rouge1, a.rouge2 - b.rouge2 AS rouge2,
+         a.meteor - b.meteor AS meteor
+  FROM sides a JOIN sides b USING (dataset, conv_id, pair_no) WHERE a.model = 'model_0' AND b.model = 'model_1')""",
+                *drawn("leads", "unit", "dataset", three, 1000),
+            ],
+            interval_rows("dataset", three),
+        ),
         "a4_item_means": with_(first_items, f"SELECT model, dataset, item_id, {METRICS} FROM items"),
         "a5_meteor_exact": with_([*one, *meteor()], f"SELECT item_id, ref_no, {r6('meteor')} FROM met"),
         "a6_macro_means": with_([*first_items, MACRO], f"SELECT model, dataset, {METRICS} FROM macro"),

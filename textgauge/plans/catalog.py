@@ -15,7 +15,7 @@ from ..functions import text as tx
 from ..functions import vectors as ve
 from ..functions.multiset import align_last
 from ..functions.stem import porter, rouge_stems
-from ..operators import chunks, nearest, numbering, pairing, runs, scores
+from ..operators import bootstrap, chunks, nearest, numbering, pairing, runs, scores
 from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
 from ..session import scratch_path, spread
@@ -147,6 +147,26 @@ def s3_run_documents(spark, sf_dir):
     return rounded(items.select(*RUN, "item_id", *evaluation.METRICS), *evaluation.METRICS)
 
 
+@query
+def s3_nested_documents(spark, sf_dir):
+    """One nested document and file per run, its texts included, written and read by splits."""
+    path = scratch_path(spark, "nested-documents")
+    pairs = run_pairs(spark, sf_dir)
+    texts = pairs.select(*RUN, "item_id", "hypothesis").distinct()
+    scored = evaluation.item_scores(pairs, PLAIN_FIRST, RUN).join(texts, [*RUN, "item_id"])
+    numbered = numbering.index_in_group(scored, RUN, "item_id", "row_id", ITEM_BLOCK).select(
+        *RUN, "row_id", F.col("item_id").alias("image_id"), F.col("hypothesis").alias("generated_caption"), *evaluation.METRICS
+    )
+    summary = evaluation.corpus_bleu(pairs, PLAIN_FIRST, RUN).withColumnRenamed("bleu", "corpus_bleu")
+    sinks.write_run_document_files(numbered, summary, path, ["image_id", "generated_caption", *evaluation.METRICS])
+    items = captions.read_run_items(spark, path)
+    # One row per document.
+    read = items.join(F.broadcast(captions.read_run_summaries(spark, path).select("file", "corpus_bleu")), "file")
+    named = [F.regexp_extract("file", f"{name}=([^/]*)", 1).alias(name) for name in RUN]
+    shown = read.select(*named, "image_id", "generated_caption", "corpus_bleu", *evaluation.METRICS)
+    return rounded(shown, "corpus_bleu", *evaluation.METRICS)
+
+
 @query
 def s4_sorted_files(spark, sf_dir):
     files = table(spark, sf_dir, "pages").select("page_id", pr.url_path(F.col("url")).alias("path"))
@@ -517,6 +537,15 @@ def a3_rouge_stemmed(spark, sf_dir):
     )
 
 
+@query
+def a3_bootstrap_intervals(spark, sf_dir):
+    """Median and interval of the mean scores of each run, over draws of its items."""
+    found = bootstrap.bootstrap_means(
+        run_items(spark, sf_dir), RUN, F.col("item_id").cast("string"), evaluation.METRICS
+    )
+    return rounded(found, "low", "mid", "high")
+
+
 @query
 def a4_item_means(spark, sf_dir):
     return rounded(run_items(spark, sf_dir), *evaluation.METRICS)
@@ -560,6 +589,14 @@ def a7_slot_means(spark, sf_dir):
     return rounded(scores.slot_means(scored, RUN, evaluation.METRICS), *evaluation.METRICS)
 
 
+@query
+def a7_bootstrap_slots(spark, sf_dir):
+    """Slot means with the medians of a bootstrap for ROUGE, as the recomputation defines them."""
+    scored = evaluation.score_pairs(run_pairs(spark, sf_dir, slots=True), PLAIN_AGAIN)
+    found = bootstrap.bootstrap_slot_means(scored, RUN, ["rouge1", "rouge2"], ["meteor"], replicates=200)
+    return rounded(found, *evaluation.METRICS)
+
+
 @query
 def a7_short_items(spark, sf_dir):
     return scores.short_items(run_pairs(spark, sf_dir), RUN)
@@ -576,6 +613,15 @@ def a9_best_models(spark, sf_dir):
     return rounded(runs.best_models(run_scores(spark, sf_dir)), "best_value", "margin")
 
 
+@query
+def a9_margin_intervals(spark, sf_dir):
+    """How far one model leads the other on the same items, with an interval from paired draws."""
+    items = run_items(spark, sf_dir).join(stand_in_runs(table(spark, sf_dir, "conversations")), [*RUN, "item_id"])
+    compared = runs.compare_models(items, *MODELS, evaluation.METRICS, ["dataset", "conv_id", "pair_no"])
+    unit = F.concat_ws("-", "conv_id", "pair_no")
+    return rounded(bootstrap.margins(compared, ["dataset"], unit, evaluation.METRICS), "low", "mid", "high")
+
+
 @query
 def a10_dataset_means(spark, sf_dir):
     return rounded(runs.dataset_means(run_scores(spark, sf_dir)), "mean_value")

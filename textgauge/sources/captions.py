@@ -6,22 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import page_text
+from . import json_arrays
 
 CAPTION_FIELDS = "image_name STRING, generated_caption STRING, prompt STRING"
-RUN_FIELDS = (
-    "corpus_bleu DOUBLE, average_rouge1 DOUBLE, average_rouge2 DOUBLE, average_meteor DOUBLE, "
-    "results ARRAY<STRUCT<image_id: BIGINT, generated_caption: STRING, "
-    "reference_captions: ARRAY<STRING>, rouge1: DOUBLE, rouge2: DOUBLE, meteor: DOUBLE>>"
+SUMMARY_FIELDS = "corpus_bleu DOUBLE, average_rouge1 DOUBLE, average_rouge2 DOUBLE, average_meteor DOUBLE"
+ITEM_FIELDS = (
+    "image_id BIGINT, generated_caption STRING, reference_captions ARRAY<STRING>, "
+    "rouge1 DOUBLE, rouge2 DOUBLE, meteor DOUBLE"
 )
 
 
-def _json_documents(spark: SparkSession, path: str, fields: str) -> DataFrame:
-    return (
-        spark.read.schema(fields)
-        .option("multiLine", True)
-        .json(path)
-        .withColumn("file", F.col("_metadata.file_path"))
-    )
+def _elements(spark: SparkSession, path: str, fields: str, member: str | None = None) -> DataFrame:
+    """file and the fields of every element of the files' arrays; a large file is read by many tasks."""
+    rows = json_arrays.elements(spark, path, member)
+    return rows.select("file", F.from_json("element", fields).alias("r")).select("file", "r.*")
 
 
 def drop_header(rows: DataFrame) -> DataFrame:
@@ -40,7 +38,7 @@ def attach_header(rows: DataFrame) -> DataFrame:
 
 def read_caption_files(spark: SparkSession, path: str) -> DataFrame:
     """Caption files (JSON arrays with a header element) as (file, image_name, caption, prompt)."""
-    return attach_header(_json_documents(spark, path, CAPTION_FIELDS))
+    return attach_header(_elements(spark, path, CAPTION_FIELDS))
 
 
 def read_caption_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -55,12 +53,14 @@ def unnest_items(documents: DataFrame) -> DataFrame:
 
 
 def read_run_items(spark: SparkSession, path: str) -> DataFrame:
-    """The items of stored run documents, one row each."""
-    return unnest_items(_json_documents(spark, path, RUN_FIELDS).select("file", "results"))
+    """The items of stored run documents, one row each; a document may be one file of any size."""
+    return _elements(spark, path, ITEM_FIELDS, "results")
 
 
 def read_run_summaries(spark: SparkSession, path: str) -> DataFrame:
-    return _json_documents(spark, path, RUN_FIELDS).drop("results")
+    """The scores of stored run documents, without a look at their items."""
+    documents = json_arrays.outer_documents(spark, path, "results")
+    return documents.select("file", F.from_json("document", SUMMARY_FIELDS).alias("r")).select("file", "r.*")
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.jpg") -> DataFrame:

@@ -43,6 +43,24 @@ def write_run_documents(nested: DataFrame, path: str) -> None:
     nested.write.mode("errorifexists").json(path)
 
 
+def write_run_document_files(items: DataFrame, summary: DataFrame, path: str, fields: list[str]) -> None:
+    """Run documents in the original shape: one object per run, with its scores and all items in `results`.
+
+    A document is one file, so one task writes it, line by line; `items` needs row_id, dense within its run.
+    For large runs prefer `write_run_documents`.
+    """
+    run = ["model", "dataset"]
+    scores = [c for c in summary.columns if c not in run]
+    # The object of scores without its last brace, then the items, then the end.
+    opening = F.concat(F.regexp_replace(F.to_json(F.struct(*scores)), r"\}$", ""), F.lit(', "results": ['))
+    lines = summary.select(*run, F.lit(0).alias("part"), F.lit(0).cast("long").alias("row_id"), opening.alias("value"))
+    item = F.concat(F.when(F.col("row_id") == 0, "").otherwise(","), F.to_json(F.struct(*fields)))
+    lines = lines.unionByName(items.select(*run, F.lit(1).alias("part"), "row_id", item.alias("value")))
+    lines = lines.unionByName(summary.select(*run, F.lit(2).alias("part"), F.lit(0).cast("long").alias("row_id"), F.lit("]}").alias("value")))
+    ordered = lines.repartition(*run).sortWithinPartitions(*run, "part", "row_id")
+    ordered.select(*run, "value").write.mode("errorifexists").partitionBy(*run).text(path)
+
+
 def append_summary(summary: DataFrame, path: str, version: int) -> None:
     """A new version of run summaries; earlier versions stay, so nothing is read and replaced at once."""
     summary.write.mode("errorifexists").parquet(f"{path}/version={version}")
