@@ -58,6 +58,65 @@ def test_language_awkward(spark, documents, rows):  # noqa: F811
     assert all(r.score == 0 and r.rejected for r in unknown)
 
 
+def _slow_vector(text, idf):
+    """Weights of hashed bigrams and trigrams, gram by gram."""
+    counts, mask = {}, 0xFFFFFFFF
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    for word in words:
+        codes = [0, *map(ord, word), 0]
+        for a, b in zip(codes, codes[1:]):
+            h = ((a * 0x9E3779B1 + b * 0x85EBCA77) & mask) ^ 0x5BD1E995
+            counts[(h * 0x9E3779B1 & mask) >> 20] = counts.get((h * 0x9E3779B1 & mask) >> 20, 0) + 1
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            h = ((a * 0x9E3779B1 + b * 0x85EBCA77) & mask) * 0xC2B2AE3D + c * 0x27D4EB2F & mask
+            counts[(h * 0x9E3779B1 & mask) >> 20] = counts.get((h * 0x9E3779B1 & mask) >> 20, 0) + 1
+    weights = {p: np.log1p(n) * float(idf[p]) for p, n in counts.items()}
+    norm = max(sum(w * w for w in weights.values()) ** 0.5, 1e-9)
+    return {p: w / norm for p, w in weights.items()}
+
+
+def test_predictions_gram_by_gram(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").unionByName(
+        spark.createDataFrame([(10**6, "Съешь ещё французских булок"), (10**6 + 1, "12 !"), (10**6 + 2, None)], "doc_id long, text string"),
+        allowMissingColumns=True,
+    )
+    model = language.learn(docs, F.lit(False))
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    for r in docs.collect():
+        vector = _slow_vector(r.text, model["idf"])
+        if not vector:
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].score == 0
+            continue
+        cosines = [sum(w * float(point[p]) for p, w in vector.items()) for point in model["points"]]
+        best = int(np.argmax(cosines))
+        assert got[r.doc_id].score == pytest.approx(min(1, max(0, cosines[best])), abs=1e-4)
+        if sorted(cosines)[-1] - sorted(cosines)[-2] > 1e-4:
+            assert got[r.doc_id].lang_pred == model["labels"][best]
+        if abs(1 - cosines[best] - model["reach"][best]) > 1e-4:
+            assert got[r.doc_id].rejected == (1 - cosines[best] > model["reach"][best])
+
+
+def test_thousands_of_languages(spark):
+    docs = spark.range(6000).selectExpr(
+        "id as doc_id", "concat(repeat(concat(md5(string(id % 5000)), ' '), 3), translate(md5(string(id % 5000)), '0123456789', 'ghijklmnop')) as text",
+        "concat('l', id % 5000) as lang",
+    )
+    model = language.learn(docs, F.lit(False))
+    assert len(set(model["labels"])) == 5000
+    some = docs.filter("doc_id % 100 = 0")
+    wrong = language.identify(some, model).join(some, "doc_id").filter("lang != lang_pred").count()
+    assert wrong == 0
+
+
+def test_one_id_for_all_rows(spark):
+    """The sample of a language is as large as it should be, whatever ids repeat."""
+    for doc_id in (34, 35):
+        docs = spark.range(5000).selectExpr(f"{doc_id}L as doc_id", "concat('some words ', if(id < 4000, '', string(md5(string(id))))) as text", "'en' as lang")
+        rows = language._sampled(language.with_row_id(docs))
+        assert rows.count() == 5000 and rows.filter("sampled").count() == language.SAMPLE
+        assert language.identify(docs, language.learn(docs, F.lit(False))).filter("lang_pred = 'en'").count() == 5000
+
+
 def test_nothing_to_learn_from(spark, documents):  # noqa: F811
     docs = documents([(1, "some words", None, "s")])
     assert [r.lang_pred for r in language.identify(docs, language.learn(docs, F.lit(False))).collect()] == ["und"]
@@ -94,6 +153,44 @@ def test_quality_awkward(spark, documents, rows):  # noqa: F811
         assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
 
 
-def test_sample_of_labels_is_bounded(spark):
+def test_sample_of_labels_is_exact(spark):
     labels = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
-    assert abs(quality.labelled(labels, F.lit(False), 2000).count() - 2000) < 300
+    assert quality.labelled(labels, F.lit(False), 2000).count() == 2000
+    assert quality.labelled(labels.limit(1500), F.lit(False), 2000).count() == 1500
+
+
+def test_one_id_for_all_labels_and_rows(spark):
+    """Neither is its label lost nor are 3,000 rows multiplied by 5,000 labels."""
+    labels = spark.range(5000).select(F.lit(34).alias("doc_id"), (F.col("id") % 5 > 0).cast("int").alias("quality"))
+    known = quality.labelled(labels, F.lit(False), 100)
+    assert sorted((r.y, r.weight) for r in known.collect()) == [(0, 1000.0), (1, 4000.0)]
+    rows = quality.with_features(spark.range(3000).selectExpr("34L as doc_id", "concat('word ', id % 7) as text"))
+    model = quality.learn(rows, known, 200)
+    assert abs(quality.scored(rows, model).first().score - 0.8) < 0.02
+
+
+def _slow_score(model, x):
+    """The sum of one entry of every table, cell by cell."""
+    cell = [sum(v >= edge for edge in edges) for v, edges in zip(x, model["edges"])]
+    total = model["start"] + sum(t[c] for t, c in zip(model["tables"], cell))
+    total += sum(table[cell[i], cell[j]] for i, j, table in model["pairs"])
+    return 1 / (1 + np.exp(-total))
+
+
+def test_scores_are_sums_of_table_entries(spark):
+    rows = quality.with_features(spark.read.parquet(f"{DATA}/sf0.001/documents.parquet"))
+    labels = spark.read.parquet(f"{DATA}/sf0.001/labels.parquet")
+    model = quality.learn(rows, quality.labelled(labels, F.lit(False)))
+    got = {r.doc_id: r.score for r in quality.scored(rows, model).collect()}
+    assert len(model["pairs"]) == quality.PAIRS
+    for r in rows.collect():
+        assert got[r.doc_id] == pytest.approx(_slow_score(model, r.x), abs=1e-12)
+
+
+def test_weights_count_as_repeats():
+    rng = np.random.default_rng(5)
+    x, y = rng.random((300, 3)), (rng.random(300) > 0.4).astype(float)
+    weight = rng.integers(1, 4, 300).astype(float)
+    once, repeated = quality.fit(x, y, weight), quality.fit(np.repeat(x, weight.astype(int), axis=0), np.repeat(y, weight.astype(int)))
+    assert once["start"] == pytest.approx(repeated["start"])
+    assert abs(quality.score(once, x) - quality.score(repeated, x)).mean() < 0.05

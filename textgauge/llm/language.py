@@ -8,9 +8,10 @@ cosine, is over FARTHEST, or more than DEVIATIONS robust deviations over the med
 language from their nearest own centroid. Clusters of less than FEWEST of a sample, such as mislabelled
 or garbled documents, make no centroid.
 
-Document frequencies are counted over all labelled documents to learn from. So are the distances that a language allows. The centroids alone are fitted on a sample of at
-most about SAMPLE documents for each language, chosen by a hash of the id. Languages are counted on the
-driver, so there may be thousands of them, not millions.
+Document frequencies are counted over all labelled documents to learn from. So are the distances that a language allows. The
+centroids alone are fitted on a sample of SAMPLE documents for each language: those with the smallest hashes of id and text, exactly
+that many if ids and texts repeat too. A language is fitted in a task of its own; the driver holds its centroids,
+CLUSTERS vectors of DIMENSIONS numbers, so there may be thousands of languages, not millions.
 
 Null texts and texts without a letter are `und`, score 0, and rejected; so is every text if there is
 nothing to learn from. Rows with a null lang or a null doc_id are predicted but not learned from. Ties
@@ -23,12 +24,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgauge.llm.common import slices, stored
+from textgauge.llm.common import ROW, give_back, slices, stored, with_row_id
 
 DIMENSIONS, CLUSTERS, SAMPLE, DEVIATIONS, FARTHEST, FEWEST = 4096, 3, 600, 6.0, 0.97, 0.05
 # A deviation is at least this: documents of a language may all be equally far.
@@ -128,50 +130,76 @@ def _learn_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         rows.append((labels[at], places.astype(np.int32), counts[places], 1))
                     at += 1
             yield out(rows)
+    give_back()
     used = np.flatnonzero(seen)
     yield out([(None, used.astype(np.int32), seen[used], total)])
 
 
+def _sampled(rows: DataFrame) -> DataFrame:
+    """lang, text and sampled of the rows (with row ids): true for the SAMPLE smallest hashes of a language."""
+    order = F.struct(F.xxhash64("doc_id", "text").alias("hash"), F.col(ROW).alias("row"))
+    # Each task hands on the smallest of its own rows only, without texts.
+    smallest = rows.select("lang", order.alias("o")).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("o"))
+    )
+    last = smallest.filter(F.col("rank") <= SAMPLE).groupBy("lang").agg(F.max("o").alias("last"))
+    # One row per language, which the driver holds anyway.
+    return rows.join(F.broadcast(last), "lang").select("lang", "text", (order <= F.col("last")).alias("sampled"))
+
+
+def _fitter(idf: np.ndarray):
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
+        for i, (places, n) in enumerate(zip(rows["place"], rows["n"])):
+            counts[i, places] = n
+        # The order of a shuffle must not tell in the centroids.
+        counts = counts[np.lexsort(counts.T[np.flatnonzero(counts.any(axis=0))])]
+        points = common_centroids(weighted(counts, idf))
+        return pd.DataFrame({"label": rows["label"].iloc[0], "point": [p.tolist() for p in points]})
+
+    return fit
+
+
 def learn(docs: DataFrame, held_out: Column) -> dict:
     """Languages, centroids, reach of each centroid and idf, from the labelled documents."""
-    rows = docs.filter(learnable(held_out))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return {}
-    share = F.lit(1.0)
-    for label, size in sizes.items():
-        share = F.when(F.col("lang") == label, F.lit(SAMPLE / size)).otherwise(share)
-    lucky = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30)
+    rows = with_row_id(docs).filter(learnable(held_out))
     found = stored(
-        rows.select(F.col("lang").alias("label"), "text", lucky.alias("sampled")).mapInArrow(
+        _sampled(rows).select(F.col("lang").alias("label"), "text", "sampled").mapInArrow(
             _learn_rows, "label string, place array<int>, n array<long>, total long"
         ),
         "language-counts",
     )
     frequent = found.filter("label IS NULL")
-    documents = frequent.agg(F.sum("total")).first()[0]
+    documents = frequent.agg(F.sum("total")).first()[0] or 0
     df = np.zeros(DIMENSIONS)
     pairs = frequent.select(F.explode(F.arrays_zip("place", "n")).alias("p"))
     for r in pairs.groupBy("p.place").agg(F.sum("p.n").alias("n")).collect():
         df[r["place"]] = r["n"]
     idf = np.log((1 + documents) / (1 + df)).astype(np.float32) + np.float32(0.05)
-    by_label: dict[str, list] = {}
-    for label, places, n in zip(*(c.to_pylist() for c in found.filter("label IS NOT NULL").toArrow().columns[:3])):
-        by_label.setdefault(label, []).append((places, n))
-    labels, points = [], []
-    for label in sorted(by_label):
-        counts = np.zeros((len(by_label[label]), DIMENSIONS), dtype=np.float32)
-        for i, (places, n) in enumerate(by_label[label]):
-            counts[i, places] = n
-        vectors = weighted(counts, idf)
-        own = common_centroids(vectors)
-        labels += [label] * len(own)
-        points.append(own)
-    if not labels:
+    # A group is the sample of one language, SAMPLE rows at most.
+    fitted = found.filter("label IS NOT NULL").groupBy("label").applyInPandas(
+        _fitter(idf), "label string, point array<float>"
+    )
+    table = fitted.toArrow().to_pandas().sort_values("label", kind="stable")
+    if not len(table):
         return {}
-    model = {"labels": labels, "points": np.concatenate(points), "idf": idf}
+    model = {"labels": table["label"].tolist(), "points": np.stack(table["point"].to_list()).astype(np.float32), "idf": idf}
     allowed = _reach(rows, model)
-    return model | {"reach": np.array([allowed[label] for label in labels])}
+    return model | {"reach": np.array([allowed[label] for label in model["labels"]])}
+
+
+def own_distances(model: dict, labels: list[str], texts: list[str]) -> list[float | None]:
+    """The distance of each text from the nearest centroid of its own language; null without letters or centroid."""
+    names = np.array(model["labels"], dtype=object)
+    counts = gram_counts(texts)
+    vectors, far = weighted(counts, model["idf"]), np.full(len(texts), np.nan)
+    wanted = np.array(labels, dtype=object)
+    for label in set(labels):
+        a, b = np.searchsorted(names, label), np.searchsorted(names, label, side="right")
+        own = np.flatnonzero((wanted == label) & counts.any(axis=1))
+        if b > a:
+            far[own] = 1 - (vectors[own] @ model["points"][a:b].T).max(axis=1)
+    return [None if np.isnan(f) else float(f) for f in far]
 
 
 def _reach(rows: DataFrame, model: dict) -> dict[str, float]:
@@ -179,17 +207,12 @@ def _reach(rows: DataFrame, model: dict) -> dict[str, float]:
 
     @F.arrow_udf(T.DoubleType())
     def own_distance(langs: pa.Array, texts: pa.Array) -> pa.Array:
-        names, found, at = np.array(model["labels"]), [], 0
-        wanted = np.array(langs.to_pylist(), dtype=object)
+        wanted, found = langs.to_pylist(), []
         for some in slices(texts, _BYTES):
             for start in range(0, len(some), _ROWS):
-                counts = gram_counts(some[start : start + _ROWS])
-                cosine = weighted(counts, model["idf"]) @ model["points"].T
-                own = names[None, :] == wanted[at : at + len(counts), None]
-                best = np.where(own, cosine, -np.inf).max(axis=1)
-                known = counts.any(axis=1) & own.any(axis=1)
-                found += [float(1 - b) if ok else None for b, ok in zip(best, known)]
-                at += len(counts)
+                part = some[start : start + _ROWS]
+                found += own_distances(model, wanted[len(found) : len(found) + len(part)], part)
+        give_back()
         return pa.array(found, pa.float64())
 
     far = stored(rows.select("lang", own_distance("lang", "text").alias("far")).filter("far IS NOT NULL"), "own-distances")
@@ -226,6 +249,7 @@ def predictor(model: dict) -> Callable[[Column], Column]:
                 scores.append(np.where(known, np.clip(best, 0, 1), 0).astype(np.float64))
                 far = 1 - best > (model["reach"][nearest] if model else 0)
                 gone.append(~known | far)
+        give_back()
         none: list = [np.zeros(0)]
         return pa.StructArray.from_arrays(
             [

@@ -6,11 +6,12 @@ gradient of the logistic loss, and a small part of it is added to the feature's
 of features whose joint bins explain most of what is left get tables of their own in the same way. A score is
 the sum of one entry of every table, so scoring is binning and addition over whole columns.
 
-The model is fitted on at most about SAMPLE labelled documents, chosen by a hash of the id; all
+The model is fitted on at most SAMPLE rows: of the different labels (id and quality) those with the SAMPLE smallest hashes,
+and of the rows with such an id again as many, if ids repeat. All
 documents are scored. Ids, labels, languages and sources are never inputs of a score.
 
-Null texts count as empty and are scored like any other. A document labelled more than once counts
-that often; labels that are null, or of no document, are left out. Rows with a null doc_id are scored but not
+Null texts count as empty and are scored like any other. A label given more than once weighs
+that much; labels that are null, or of no document, are left out. Rows with a null doc_id are scored but not
 learned from. With labels of fewer than two kinds every score is their share, 0.5 without any. Repeated rows
 score alike. An empty table gives an empty table. Other columns are ignored.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgauge.llm.common import slices
+from textgauge.llm.common import give_back, slices
 from textgauge.llm.rules import repeated_words
 
 SAMPLE, BINS, ROUNDS, RATE, PAIRS, PAIR_ROUNDS = 20_000, 32, 150, 0.15, 6, 60
@@ -68,6 +69,7 @@ def features(text: str) -> tuple[float, ...]:
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _features(texts: pa.Array) -> pa.Array:
     rows = [features(t) for some in slices(texts) for t in some]
+    give_back()
     return pa.array(rows, pa.list_(pa.float64()))
 
 
@@ -76,13 +78,11 @@ def with_features(docs: DataFrame) -> DataFrame:
 
 
 def labelled(labels: DataFrame, held_out: Column, sample: int = SAMPLE) -> DataFrame:
-    """doc_id and y of about `sample` labelled documents to learn from."""
+    """doc_id, y and weight (how often it is given) of `sample` labels to learn from, at most."""
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("y"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out)
-    size = known.count()
-    if size <= sample:
-        return known
-    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(sample / size * (1 << 30))))
+    given = known.groupBy("doc_id", "y").agg(F.count("*").cast("double").alias("weight"))
+    return given.orderBy(F.xxhash64("doc_id", "y"), "doc_id", "y").limit(sample)
 
 
 def bins_of(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
@@ -126,9 +126,10 @@ def _grid_tree(gradient: np.ndarray, hessian: np.ndarray) -> tuple[np.ndarray, f
     return value, float(gain[i, j])
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> dict:
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> dict:
     """Edges, tables of features and of pairs, and the start of the sum."""
-    share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 0.5
+    weight = np.ones(len(y)) if weight is None else weight
+    share = float(np.clip(np.average(y, weights=weight), 1e-6, 1 - 1e-6)) if len(y) else 0.5
     model = {"start": float(np.log(share / (1 - share))), "edges": [], "tables": [], "pairs": []}
     if len(set(y.tolist())) < 2:
         return model | ({"start": 0.0} if not len(y) else {})
@@ -141,7 +142,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> dict:
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-total))
-        return y - p, p * (1 - p)
+        return weight * (y - p), weight * p * (1 - p)
 
     for _ in range(ROUNDS):
         for f in range(d):
@@ -177,11 +178,14 @@ def score(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-total))
 
 
-def learn(rows: DataFrame, known: DataFrame) -> dict:
-    """A model from stored features and the sample of labels, which has a bound."""
-    sample = rows.join(F.broadcast(known), "doc_id").select("x", "y").toArrow()
-    x = np.array(sample.column("x").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
-    return fit(x, np.array(sample.column("y").to_pylist(), dtype=float))
+def learn(rows: DataFrame, known: DataFrame, sample: int = SAMPLE) -> dict:
+    """A model from stored features and a sample of labels; an id has two of them at most, so rows hardly multiply."""
+    joined = rows.join(F.broadcast(known), "doc_id")
+    # Equal rows become one of their weight, so that a sample of different rows stands for all.
+    different = joined.groupBy("doc_id", "y", "x").agg(F.sum("weight").alias("weight"))
+    few = different.orderBy(F.xxhash64("doc_id", "y", "x"), "doc_id", "y", "x").limit(sample).toArrow()
+    x = np.array(few.column("x").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
+    return fit(x, np.array(few.column("y").to_pylist(), dtype=float), few.column("weight").to_numpy())
 
 
 def scored(rows: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:

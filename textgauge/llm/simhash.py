@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import stored
+from textgauge.llm.common import give_back, stored
 
 SEED = 42
 TILE = 1024
@@ -61,6 +61,7 @@ def with_fingerprints(docs: DataFrame, shingle: int, carry: tuple[str, ...] = ()
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
         prints = [fingerprint(t.as_py(), shingle) for t in texts]
+        give_back()
         return pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
 
     return docs.select(F.col("doc_id").cast("long"), of("text").alias("fp"), *carry)
