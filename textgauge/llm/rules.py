@@ -1,17 +1,20 @@
 """Quality rules: counts of a text, and robust outliers by minimum covariance determinant.
 
-Each text gives counts and, out of them, a vector of FEATURES on transformed scales. For every
-language and source the location and scatter of the most concentrated share SHARE of its documents are
-estimated over all rows: from medians and spreads, each concentration step takes the documents nearest
-by Mahalanobis distance and computes mean and covariance again. A second estimate of each group takes just
-half of its documents and starts from medians and median deviations, so it holds while fewer than half are junk, equal
-rows too. The wider estimate is finer and stays where it keeps no more than MASKED of the group that the half
-rejects; elsewhere junk has entered its share, and the half takes its place. The sums of a step are made per
-group and distance class before any shuffle, and groups are salted, so a group with a third of all rows
-is spread over tasks. Groups with fewer than MIN_ROWS documents use the estimate of their language, and
-languages as small as that the estimate of all documents. A document is rejected if its squared
-distance is over CUTOFF, or by the base rule: under 50 words, or more than half of the words
-in repeated windows of three words.
+Each text gives counts and, out of them, a vector of FEATURES on transformed scales. For every language and
+source the half of its documents whose covariance has the least determinant is looked for, over all
+rows: from each of four deterministic starts (medians with median deviations, medians with quartiles, lower and upper
+quartiles) concentration steps take the half nearest by Mahalanobis distance and compute mean and covariance again,
+until no determinant falls any more; the start with the least one wins. A group holds out against nearly half
+junk, equal rows too. All documents near that estimate (NEAR, 97.5 % of normal ones) then give the final mean and covariance.
+
+Small groups lean on wider ones: the moments of a group count as its n documents, those of its language as
+PRIOR more, and in the same way those of all languages for a language. So a group of a few documents is judged like
+its language, a large one by itself, and nothing changes at once between them.
+
+The sums of a step are made per group and distance class before any shuffle, and groups are salted, so a group with
+a third of all rows is spread over tasks. A document is rejected if its squared distance is over CUTOFF, or by
+the base rule: under 50 words, or more than half of the words in repeated windows of three words. A tenth of the
+way that a feature can go is added to its deviation (FEATURES), so that each can reject a document alone.
 
 Documents that fail the base rule take no part in the estimates. Null texts have no words and fail.
 Null languages and sources are groups of their own. Repeated rows count as often as they occur. An
@@ -25,29 +28,30 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgauge.llm.common import stored
+from textgauge.llm.common import give_back, stored
 
 # The symbols counted and the base rule.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 
-SHARE, STEPS, MIN_ROWS, SALTS = 0.75, 4, 50, 64
-# Classes of squared distance for each factor of e.
+STEPS, SALTS, PRIOR = 15, 64, 25
+# Classes of squared distance for each factor of e; of the last class a half takes only the fraction that it needs.
 CLASSES = 10
+# The least fall of a determinant's logarithm that is worth another step.
+LEAST_FALL = 0.01
 # Squared distance beyond which a document is rejected: a normal one is with a chance of 1e-15.
 CUTOFF = 80.0
-# Equal rows that make up p of the rows of an estimate have a squared distance of at most (1 - p) / p. Over this
-# share of a group they can stay under CUTOFF by being counted in the wider estimate.
-MASKED = SHARE / (CUTOFF + 1)
-# The scatter of the nearest half of normal rows in five dimensions, times this, is the scatter of all.
-CONSISTENCY = 1.912
+# Squared distance within which 97.5 % of normal rows in five dimensions are.
+NEAR = 12.83
+# The scatter of the nearest half of normal rows in five dimensions, or of those within NEAR, times this, is the scatter of all.
+HALF_FACTOR, NEAR_FACTOR = 1.912, 1.055
 # Standard deviation added to each feature: most documents may agree exactly in one, and a small
 # difference from them makes no outlier.
-FEATURES = {"log_words": 0.3, "word_length": 0.15, "symbols": 0.2, "dup_lines": 0.15, "repeats": 0.15}
+FEATURES = {"log_words": 0.3, "word_length": 0.15, "symbols": 0.2, "dup_lines": 0.1, "repeats": 0.07}
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 _WHITE = " \t\n\v\f\r"
@@ -86,6 +90,7 @@ def counts(text: str | None) -> tuple[int, ...]:
 @F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in _COUNTS]))
 def _counts(texts: pa.Array) -> pa.Array:
     rows = list(zip(*(counts(t.as_py()) for t in texts))) or [[]] * len(_COUNTS)
+    give_back()
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in rows], _COUNTS)
 
 
@@ -112,168 +117,187 @@ def with_counts(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def grouped(rows: DataFrame) -> DataFrame:
-    """`rows` with the columns g_lang, g_source of the group whose estimate is used, and a salt."""
-    sizes = rows.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
-    per_lang = F.sum("n").over(Window.partitionBy("lang"))
-    # One row per group, not per document; the salt spreads the documents of one group.
-    sizes = sizes.select(
-        F.col("lang").alias("s_lang"),
-        F.col("source").alias("s_source"),
-        (F.col("n") >= MIN_ROWS).alias("own"),
-        (per_lang >= MIN_ROWS).alias("own_lang"),
-    ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("doc_id", *[F.col("x")[i] for i in range(len(FEATURES))]), F.lit(SALTS))
-    salted = rows.withColumn("d_salt", salt.cast("int"))
-    same = (
-        F.col("lang").eqNullSafe(F.col("s_lang"))
-        & F.col("source").eqNullSafe(F.col("s_source"))
-        & (F.col("d_salt") == F.col("salt"))
-    )
-    name = lambda c: F.concat(F.lit("="), F.coalesce(c, F.lit("\0")))
-    return salted.join(sizes, same, "left").select(
-        *rows.columns,
-        F.col("d_salt").alias("salt"),
-        F.when(F.col("own_lang"), name("lang")).otherwise("").alias("g_lang"),
-        F.when(F.col("own") & F.col("own_lang"), name("source")).otherwise("").alias("g_source"),
-    )
-
-
-_MODEL = "g_lang string, g_source string, mean array<double>, inverse array<double>, n long"
+_D = len(FEATURES)
+_KEY = ["g_lang", "g_source"]
+_PAIRS = [(i, j) for i in range(_D) for j in range(i, _D)]
 
 
-def _solve(sums: pd.DataFrame) -> pd.DataFrame:
-    """Location and inverse scatter of each group out of count, sums and sums of products."""
-    d, rows = len(FEATURES), []
-    floor = np.diag(np.square(list(FEATURES.values())))
-    for r in sums.itertuples(index=False):
-        mean, upper = np.array(r.s) / r.n, np.zeros((d, d))
-        upper[np.triu_indices(d)] = np.array(r.p) / r.n
-        scatter = r.factor * (upper + np.triu(upper, 1).T - np.outer(mean, mean))
-        rows.append((r.g_lang, r.g_source, mean.tolist(), np.linalg.inv(scatter + floor).ravel().tolist(), int(r.total)))
-    return pd.DataFrame(rows, columns=["g_lang", "g_source", "mean", "inverse", "n"])
+def salted(rows: DataFrame) -> DataFrame:
+    """`rows` with the columns g_lang and g_source, which are never null, and a salt."""
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(f"g_{c}")
+    salt = F.pmod(F.xxhash64("doc_id", *[F.col("x")[i] for i in range(_D)]), F.lit(SALTS)).cast("int")
+    return rows.select("*", name("lang"), name("source"), salt.alias("salt"))
 
 
-def _each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        yield _solve(frame)
+def _scatter(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The covariance with mean `first` and the upper half of the mean products `second`."""
+    upper = np.zeros((_D, _D))
+    upper[np.triu_indices(_D)] = second
+    return upper + np.triu(upper, 1).T - np.outer(first, first)
 
 
-def _members(rows: DataFrame) -> DataFrame:
-    """Rows that count in the estimates: in their group, and in the wider groups that any row uses."""
-    by_lang, by_none = rows.agg(
-        F.bool_or((F.col("g_source") == "") & (F.col("g_lang") != "")), F.bool_or(F.col("g_lang") == "")
-    ).first()
-    levels = [F.struct("g_lang", "g_source")]
-    if by_lang:
-        levels.append(F.struct(F.col("g_lang"), F.lit("").alias("g_source")))
-    if by_none:
-        levels.append(F.struct(F.lit("").alias("g_lang"), F.lit("").alias("g_source")))
-    good = rows.filter("not base_failed")
-    if len(levels) == 1:
-        return good.select("g_lang", "g_source", "salt", "x")
-    good = good.select("x", "salt", F.explode(F.array_distinct(F.array(*levels))).alias("g"))
-    return good.select("g.g_lang", "g.g_source", "salt", "x")
+_FLOOR = np.diag(np.square(list(FEATURES.values())))
+_SOLVED = (
+    "g_lang string, g_source string, start int, n long, mean array<double>, second array<double>, "
+    "inverse array<double>, log_det double"
+)
 
 
-def _salted(model: DataFrame) -> DataFrame:
-    return model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def _solved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each estimate's inverse scatter, and the logarithm of its determinant, out of its moments."""
+    for f in frames:
+        rows = []
+        for r in f.itertuples(index=False):
+            scatter = r.factor * _scatter(np.array(r.mean), np.array(r.second)) + _FLOOR
+            det = float(np.linalg.slogdet(scatter)[1])
+            rows.append((r.g_lang, r.g_source, r.start, r.n, r.mean, r.second, np.linalg.inv(scatter).ravel().tolist(), det))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SOLVED.split(", ")])
 
 
-def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """`rows` with d2, the squared Mahalanobis distance to the estimate of their group."""
-    d = len(FEATURES)
-    away = [F.col("x")[i] - F.col("mean")[i] for i in range(d)]
+def _distance(rows: DataFrame, model: DataFrame, how: str = "inner") -> DataFrame:
+    """`rows` once per estimate of their group (columns start, n, mean, inverse of `model`) with d2, the squared distance to it."""
+    held = model.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "n", "mean", "inverse")).alias("models"))
+    spread = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = F.explode if how == "inner" else F.explode_outer
+    joined = rows.join(spread, [*_KEY, "salt"], how).withColumn("m", each("models")).drop("models").select(*rows.columns, "m.*")
+    away = [F.col("x")[i] - F.col("mean")[i] for i in range(_D)]
     d2 = sum(
-        away[i] * sum((away[j] * F.col("inverse")[i * d + j] * (1 if i == j else 2) for j in range(i, d)), F.lit(0.0))
-        for i in range(d)
+        away[i] * sum((away[j] * F.col("inverse")[i * _D + j] * (1 if i == j else 2) for j in range(i, _D)), F.lit(0.0))
+        for i in range(_D)
     )
-    return rows.join(_salted(model), ["g_lang", "g_source", "salt"], "left").withColumn("d2", d2)
+    return joined.withColumn("d2", d2)
 
 
-def _start(members: DataFrame) -> DataFrame:
-    """A first estimate: medians, and spreads as the middle half of each feature."""
-    d, key = len(FEATURES), ["g_lang", "g_source"]
-    quartiles = members.groupBy(*key).agg(
-        F.count("*").alias("n"),
-        *[F.percentile_approx(F.col("x")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(d)],
+def _starts(members: DataFrame) -> DataFrame:
+    """Four first estimates of each group: start, n, mean and inverse."""
+    quartiles = stored(
+        members.groupBy(*_KEY).agg(
+            F.count("*").alias("n"),
+            *[F.percentile_approx(F.col("x")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(_D)],
+        ),
+        "quartiles",
     )
-    zero = F.lit(0.0)
-    spread = [
-        F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(least))
-        for i, least in enumerate(FEATURES.values())
-    ]
-    inverse = [1 / (spread[i] * spread[i]) if i == j else zero for i in range(d) for j in range(d)]
-    return quartiles.select(
-        *key, F.array(*[F.col(f"q{i}")[1] for i in range(d)]).alias("mean"), F.array(*inverse).alias("inverse"), "n"
+    spread = quartiles.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    deviations = members.join(spread, [*_KEY, "salt"]).groupBy(*_KEY).agg(
+        *[F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"q{i}")[1]), 0.5, 1000).alias(f"m{i}") for i in range(_D)]
     )
+    both = quartiles.join(deviations, _KEY)
 
+    def start(number: int, quartile: int, width: list[Column]) -> Column:
+        wide = [F.greatest(w, F.lit(least)) for w, least in zip(width, FEATURES.values())]
+        inverse = [1 / (wide[i] * wide[i]) if i == j else F.lit(0.0) for i in range(_D) for j in range(_D)]
+        mean = F.array(*[F.col(f"q{i}")[quartile] for i in range(_D)])
+        return F.struct(F.lit(number).alias("start"), mean.alias("mean"), F.array(*inverse).alias("inverse"))
+
+    by_median = [1.4826 * F.col(f"m{i}") for i in range(_D)]
+    by_quartile = [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in range(_D)]
+    four = [start(0, 1, by_median), start(1, 1, by_quartile), start(2, 0, by_quartile), start(3, 2, by_quartile)]
+    return both.select(*_KEY, "n", F.explode(F.array(*four)).alias("s")).select(*_KEY, "n", "s.*")
 
-def _half_start(members: DataFrame, start: DataFrame) -> DataFrame:
-    """A first estimate that up to half of the rows cannot move far: medians, and median distances from them."""
-    d, key = len(FEATURES), ["g_lang", "g_source"]
-    away = [F.abs(F.col("x")[i] - F.col("mean")[i]) for i in range(d)]
-    middle = members.join(_salted(start), [*key, "salt"]).groupBy(*key).agg(
-        F.max("mean").alias("mean"),
-        F.max("n").alias("n"),
-        *[F.percentile_approx(away[i], 0.5, 1000).alias(f"m{i}") for i in range(d)],
-    )
-    spread = [F.greatest(1.4826 * F.col(f"m{i}"), F.lit(least)) for i, least in enumerate(FEATURES.values())]
-    inverse = [1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(d) for j in range(d)]
-    return middle.select(*key, "mean", F.array(*inverse).alias("inverse"), "n")
 
+def _sums() -> list[Column]:
+    sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(_D)]
+    return sums + [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i, j in _PAIRS]
 
-def _concentrated(members: DataFrame, model: DataFrame, half: bool = False) -> DataFrame:
-    """One step: the estimate of the SHARE of each group, or of its half, that is nearest to the last estimate.
 
-    For the half, the last class counts only by the fraction that is needed of it.
-    """
-    d, key = len(FEATURES), ["g_lang", "g_source"]
-    # Classes of squared distance are 10 % wide, and the nearest share is taken to within a class.
+def _moments(weight: Column, size: Column, factor: float) -> list[Column]:
+    """mean, second and factor out of weighted sums of rows with s0.., p0_0.. over `size` documents."""
+    of = lambda c: F.sum(weight * F.col(c)) / size
+    return [
+        F.array(*[of(f"s{i}") for i in range(_D)]).alias("mean"),
+        F.array(*[of(f"p{i}_{j}") for i, j in _PAIRS]).alias("second"),
+        F.lit(factor).alias("factor"),
+    ]
+
+
+def _concentrated(members: DataFrame, model: DataFrame) -> DataFrame:
+    """One step: for each start the estimate of the half of the group that is nearest to the last estimate."""
     near = _distance(members, model).withColumn("class", F.floor(F.log(F.col("d2") + 1e-3) * CLASSES).cast("int"))
-    sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)]
-    products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    classes = near.groupBy(*key, "class").agg(F.count("*").alias("m"), F.max("n").alias("total"), *sums, *products)
+    key = [*_KEY, "start"]
+    classes = near.groupBy(*key, "class").agg(F.count("*").alias("m"), F.max("n").alias("n"), *_sums())
     before = Window.partitionBy(*key).orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = F.floor((F.col("total") + d + 1) / 2) if half else F.lit(SHARE) * F.col("total")
-    inside = classes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).filter(F.col("before") < wanted)
-    weight = F.least((wanted - F.col("before")) / F.col("m"), F.lit(1.0)) if half else F.lit(1.0)
-    merged = inside.withColumn("w", weight).groupBy(*key).agg(
-        F.sum(F.col("w") * F.col("m")).alias("n"),
-        F.max("total").alias("total"),
-        F.array(*[F.sum(F.col("w") * F.col(f"s{i}")) for i in range(d)]).alias("s"),
-        F.array(*[F.sum(F.col("w") * F.col(f"p{i}_{j}")) for i in range(d) for j in range(i, d)]).alias("p"),
-        F.lit(CONSISTENCY if half else 1.0).alias("factor"),
+    half = F.least(F.floor((F.col("n") + _D + 1) / 2), F.col("n"))
+    inside = classes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).filter(F.col("before") < half)
+    weighted = inside.withColumn("w", F.least((half - F.col("before")) / F.col("m"), F.lit(1.0)))
+    size = F.sum(F.col("w") * F.col("m"))
+    merged = weighted.groupBy(*key).agg(F.max("n").alias("n"), *_moments(F.col("w"), size, HALF_FACTOR))
+    return merged.mapInPandas(_solved, _SOLVED)
+
+
+def least_determinants(members: DataFrame) -> DataFrame:
+    """The estimate with the least determinant of each group: start, n, mean, second, inverse, log_det."""
+    model, last = stored(_starts(members), "starts"), None
+    for _ in range(STEPS):
+        model = stored(_concentrated(members, model), "concentrated")
+        if last is not None:
+            was = last.select(*_KEY, "start", F.col("log_det").alias("was"))
+            fall = model.join(was, [*_KEY, "start"]).agg(F.max(F.col("was") - F.col("log_det"))).first()[0]
+            if fall is None or fall <= LEAST_FALL:
+                break
+        last = model
+    order = F.struct("log_det", "start")
+    columns = [c for c in model.columns if c not in _KEY]
+    return model.groupBy(*_KEY).agg(F.min_by(F.struct(*columns), order).alias("b")).select(*_KEY, "b.*")
+
+
+def _blended(own: str, wide: str | Column, size: Column) -> Column:
+    """Moments of an estimate of `size` documents and PRIOR more of a wider one."""
+    return F.zip_with(own, wide, lambda a, b: (size * a + PRIOR * b) / (size + PRIOR))
+
+
+def _pooled(rows: DataFrame, key: list[str], prefix: str) -> DataFrame:
+    """Moments of the estimates of a key; large groups count alike, so that none of them decides alone."""
+    weight = F.col("n") / (F.col("n") + PRIOR)
+    of = lambda c, i: F.sum(weight * F.col(c)[i]) / F.sum(weight)
+    return rows.groupBy(*key).agg(
+        F.sum("n").alias(f"{prefix}_n"),
+        F.array(*[of("mean", i) for i in range(_D)]).alias(f"{prefix}_mean"),
+        F.array(*[of("second", i) for i in range(len(_PAIRS))]).alias(f"{prefix}_second"),
     )
-    return merged.mapInPandas(_each, _MODEL)
 
 
-def _chosen(members: DataFrame, wide: DataFrame, half: DataFrame) -> DataFrame:
-    """The wider estimate of each group, or that of its half where the wider one keeps what the half rejects."""
-    key = ["g_lang", "g_source"]
-    near = _distance(members, wide).select(*members.columns, (F.col("d2") <= CUTOFF).alias("near"))
-    hidden = (F.col("near") & (F.col("d2") > CUTOFF)).cast("double")
-    masked = stored(_distance(near, half).groupBy(*key).agg(F.avg(hidden).alias("masked")), "masked").filter(
-        F.col("masked") > MASKED
+def shrunken(groups: DataFrame) -> DataFrame:
+    """Group estimates with the moments of their language and of all languages blended in."""
+    langs = _pooled(groups, ["g_lang"], "lang")
+    parts = langs.select("g_lang", F.col("lang_n").alias("n"), F.col("lang_mean").alias("mean"), F.col("lang_second").alias("second"))
+    everything = _pooled(parts, [], "all").first()
+    wide = langs.select(
+        "g_lang",
+        _blended("lang_mean", F.array(*map(F.lit, everything["all_mean"])), F.col("lang_n")).alias("lang_mean"),
+        _blended("lang_second", F.array(*map(F.lit, everything["all_second"])), F.col("lang_n")).alias("lang_second"),
     )
-    return wide.join(masked, key, "left_anti").unionByName(half.join(masked, key, "left_semi"))
-
-
-def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """mean and inverse scatter of each group of `rows` (grouped and stored)."""
-    members = _members(rows)
-    start = stored(_start(members), "start")
-    wide, half = start, stored(_half_start(members, start), "half-start")
-    for _ in range(steps):
-        wide = stored(_concentrated(members, wide), "concentrated")
-        half = stored(_concentrated(members, half, half=True), "half")
-    return stored(_chosen(members, wide, half), "estimates")
+    blended = groups.join(wide, "g_lang").select(
+        *_KEY,
+        "start",
+        "n",
+        _blended("mean", "lang_mean", F.col("n")).alias("mean"),
+        _blended("second", "lang_second", F.col("n")).alias("second"),
+        F.lit(1.0).alias("factor"),
+    )
+    return blended.mapInPandas(_solved, _SOLVED)
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """mean and inverse scatter of each group of `rows` (salted and stored)."""
+    members = rows.filter("not base_failed").select(*_KEY, "salt", "x")
+    core = stored(least_determinants(members), "least-determinants")
+    near = _distance(members, core).filter(F.col("d2") <= NEAR)
+    sums = near.groupBy(*_KEY).agg(F.max("start").alias("start"), F.max("n").alias("n"), F.count("*").alias("m"), *_sums())
+    # The scatter is widened about the mean, so that plain moments can be blended.
+    one = F.lit(1.0)
+    found = sums.groupBy(*_KEY, "start", "n").agg(*_moments(one, F.sum("m"), NEAR_FACTOR))
+    widened = F.transform(
+        "second",
+        lambda v, k: F.col("factor") * v + (1 - F.col("factor")) * F.element_at(F.array(*[F.col("mean")[i] * F.col("mean")[j] for i, j in _PAIRS]), k + 1),
+    )
+    return stored(shrunken(stored(found.withColumn("second", widened), "near")), "estimates")
 
 
 def quality_rules(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The counts, base_failed, distance and kept for every row, with the carried columns."""
-    rows = stored(grouped(stored(with_counts(docs, carry), "counts")), "grouped")
+    rows = stored(salted(with_counts(docs, carry)), "counts")
+    judged = _distance(rows.select("doc_id", *_COUNTS[:-1], "base_failed", "x", *_KEY, "salt", *carry), estimates(rows), "left")
     kept = ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= CUTOFF)
-    return _distance(rows, estimates(rows)).select(
+    return judged.select(
         "doc_id", *_COUNTS[:-1], "base_failed", kept.alias("kept"), F.col("d2").alias("distance2"), *carry
     )
