@@ -54,7 +54,7 @@ def test_audit_finds_each_difference(spark, tmp_path):
         "record_sha256", F.when((F.col("warc_file") == "1") & F.col("record_no").isin(7, 300), "bad").otherwise(F.col("record_sha256"))
     ).filter("NOT (warc_file = '2' AND record_no = 100)")
     extra = ours.limit(1).select(
-        F.lit("9").alias("warc_file"), F.lit(0).cast("long").alias("record_no"), "offset", "length", "target", "record_sha256"
+        F.lit("9").alias("warc_file"), F.lit(0).cast("long").alias("record_no"), "offset", "length", "record_id", "target", "record_sha256"
     )
     got = warc.audit(ours, stored(theirs.unionByName(extra), "theirs")).collect()
     assert {(r.warc_file, r.record_no, r.state) for r in got if r.state != "same"} == {
@@ -63,6 +63,55 @@ def test_audit_finds_each_difference(spark, tmp_path):
     assert len(got) == ours.count() + 1
 
 
+def _states(ours, theirs):
+    return sorted((r.target, r.state) for r in warc.audit(ours, theirs).collect() if r.state not in ("same", "shifted"))
+
+
+def test_lost_added_and_lengthened_records_are_located(spark, tmp_path):
+    pages = pages_of(spark, 1200)
+    layout = stored(warc.file_layout(pages), "layout")
+    harmed = pages.filter("page_id IS NULL OR page_id NOT IN (0, 40, 700, 1199)").withColumn(
+        "html", F.when(F.col("page_id").isin(5, 600), F.concat("html", F.lit("longer"))).otherwise(F.col("html"))
+    )
+    added = spark.createDataFrame([(41, "http://b/41", "new", "x", "y"), (900, "http://b/900", "", "x", "y")], SCHEMA)
+    warc.write_warc(pages, f"{tmp_path}/a", layout)
+    warc.write_warc(harmed.unionByName(added), f"{tmp_path}/b", layout)
+    ours, theirs = (stored(warc.read_warc(spark, f"{tmp_path}/{n}"), "records") for n in "ab")
+    expected = [(f"http://a/{i}", "missing") for i in (0, 40, 700, 1199)]
+    expected += [("http://a/5", "changed"), ("http://a/600", "changed"), ("http://b/41", "extra"), ("http://b/900", "extra")]
+    assert _states(ours, theirs) == sorted(expected)
+    back = {"missing": "extra", "extra": "missing", "changed": "changed"}
+    assert _states(theirs, ours) == sorted((t, back[s]) for t, s in expected)
+    rows = warc.audit(ours, theirs).collect()
+    assert len(rows) == ours.count() + 2
+    # Records before the first harm of a file are where they were; the loss of page 0 moves all of its file.
+    by_file = {s: {r.state for r in rows if r.warc_file == s} for s in ("0", "1", "-1")}
+    assert "same" not in by_file["0"] and "same" in by_file["1"] and by_file["-1"] == {"same"}
+
+
+def test_repeated_ids_meet_in_order(spark, tmp_path):
+    rows = [(7, "u", f"copy {i % 3}") for i in range(9)] + [(8, "v", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    ours = records(spark, pages, f"{tmp_path}/a")
+    one_less = spark.createDataFrame(rows[1:], pages.schema)
+    assert _states(ours, records(spark, one_less, f"{tmp_path}/b")) == [("u", "missing")]
+    other = spark.createDataFrame([(7, "u", "changed"), *rows[1:]], pages.schema)
+    assert _states(ours, records(spark, other, f"{tmp_path}/c")) == [("u", "changed")]
+
+
+def test_large_ranges_become_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 30_000)
+    rows = [(3, f"http://hot/{i}", "z" * 500) for i in range(400)] + [(600 + i, f"http://b/{i}", "y") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    ours = records(spark, pages, f"{tmp_path}/a")
+    sizes = {r.warc_file: r.n for r in ours.groupBy("warc_file").agg(F.sum("length").alias("n")).collect()}
+    assert sizes.pop("1") < 30_000 and len(sizes) >= 8 and max(sizes.values()) < 2 * 30_000
+    layout = stored(warc.file_layout(pages), "layout")
+    warc.write_warc(pages.filter("url != 'http://hot/77'"), f"{tmp_path}/b", layout)
+    theirs = stored(warc.read_warc(spark, f"{tmp_path}/b"), "records")
+    assert _states(ours, theirs) == [("http://hot/77", "missing")]
+
+
 def test_only_differing_branches_are_looked_at(spark, tmp_path):
     ours = records(spark, pages_of(spark, 1200), f"{tmp_path}/a")
     assert warc.damaged(ours, ours).count() == 0

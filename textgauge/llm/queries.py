@@ -83,14 +83,18 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes two replicas of all pages, one with damaged records, and audits them."""
-    pages = _table(spark, sf_dir, "pages")
-    hit = (F.col("page_id") % 97 == 5) & (F.substring("html", 2, 1) == "!")
-    harmed = pages.withColumn("html", F.when(hit, F.overlay("html", F.lit("?"), 2, 1)).otherwise(F.col("html")))
+    """Writes two replicas of all pages, one with changed, lengthened, lost and added records, and audits them."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    page = F.col("page_id")
+    hit = (page % 97 == 5) & (F.substring("html", 2, 1) == "!")
+    html = F.when(hit, F.overlay("html", F.lit("?"), 2, 1)).when(page % 151 == 3, F.concat("html", F.lit("<!-- more -->")))
+    harmed = pages.filter(F.coalesce(page % 193 != 7, F.lit(True))).withColumn("html", F.coalesce(html, "html"))
+    added = pages.filter(page % 211 == 9).withColumn("url", F.concat("url", F.lit("#added")))
+    layout = stored(warc.file_layout(pages), "layout")
     replicas = []
-    for name, rows in (("warc", pages), ("warc-replica", harmed)):
+    for name, rows in (("warc", pages), ("warc-replica", harmed.unionByName(added))):
         path = scratch_path(spark, name)
-        warc.write_warc(rows, path)
+        warc.write_warc(rows, path, layout)
         replicas.append(stored(warc.read_warc(spark, path), "warc-records"))
     return warc.audit(*replicas)
 
@@ -162,23 +166,47 @@ ORACLE_SQL = {
         WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)
     """,
     "op8_warc_audit": r"""
-        WITH records AS (
-            SELECT (page_id // 2048)::VARCHAR AS warc_file, page_id, coalesce(url, '') AS target, html,
+        WITH harmed AS (
+            SELECT page_id, url,
+                   CASE WHEN page_id % 97 = 5 AND substring(html, 2, 1) = '!' THEN html[1:1] || '?' || html[3:]
+                        WHEN page_id % 151 = 3 THEN html || '<!-- more -->' ELSE html END AS html
+            FROM pages WHERE page_id % 193 <> 7
+            UNION ALL
+            SELECT page_id, url || '#added', html FROM pages WHERE page_id % 211 = 9
+        ),
+        records AS (
+            SELECT side, page_id, url, coalesce(url, '') AS target, html, page_id // 2048 AS id_range,
                    concat(E'WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:', page_id,
                           E'>\r\nWARC-Target-URI: ', coalesce(url, ''),
                           E'\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ',
                           strlen(coalesce(html, '')), E'\r\n\r\n', coalesce(html, ''), E'\r\n\r\n') AS record
-            FROM pages
-        )
-        SELECT warc_file,
-               row_number() OVER w - 1 AS record_no,
-               (sum(strlen(record)) OVER w - strlen(record))::BIGINT AS "offset",
-               strlen(record) AS length,
-               target,
-               sha256(record) AS record_sha256,
-               CASE WHEN page_id % 97 = 5 AND substring(html, 2, 1) = '!' THEN 'changed' ELSE 'same' END AS state
-        FROM records
-        WINDOW w AS (PARTITION BY warc_file ORDER BY page_id, target, html)
+            FROM (SELECT 'o' AS side, page_id, url, html FROM pages UNION ALL SELECT 't', * FROM harmed)
+        ),
+        layout AS (
+            SELECT id_range, ceil(sum(strlen(record)) / 67108864)::BIGINT AS parts FROM records WHERE side = 'o' GROUP BY id_range
+        ),
+        dealt AS (
+            SELECT *, CASE WHEN parts <= 1 THEN id_range::VARCHAR
+                           ELSE concat(id_range, '_', ('0x' || substr(md5(concat_ws('|', page_id, url)), 1, 8))::BIGINT % parts)
+                      END AS warc_file
+            FROM records JOIN layout USING (id_range)
+        ),
+        placed AS (
+            SELECT side, warc_file, page_id, target, row_number() OVER w - 1 AS record_no,
+                   (sum(strlen(record)) OVER w - strlen(record))::BIGINT AS "offset",
+                   strlen(record) AS length, sha256(record) AS record_sha256
+            FROM dealt
+            WINDOW w AS (PARTITION BY side, warc_file ORDER BY page_id, target, html)
+        ),
+        o AS (SELECT * FROM placed WHERE side = 'o'),
+        t AS (SELECT * FROM placed WHERE side = 't')
+        SELECT coalesce(o.warc_file, t.warc_file) AS warc_file, coalesce(o.record_no, t.record_no) AS record_no,
+               coalesce(o."offset", t."offset") AS "offset", coalesce(o.length, t.length) AS length,
+               coalesce(o.target, t.target) AS target, coalesce(o.record_sha256, t.record_sha256) AS record_sha256,
+               CASE WHEN t.page_id IS NULL THEN 'missing' WHEN o.page_id IS NULL THEN 'extra'
+                    WHEN o.record_sha256 <> t.record_sha256 THEN 'changed'
+                    WHEN o."offset" <> t."offset" THEN 'shifted' ELSE 'same' END AS state
+        FROM o FULL JOIN t ON o.page_id = t.page_id AND o.target = t.target
     """,
     "op11_secret_scan": rf"""
         WITH texts AS (

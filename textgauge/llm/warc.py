@@ -1,16 +1,20 @@
 """WARC files of pages, and an audit of replicas by Merkle trees.
 
-Pages are written as WARC response records, one file for each range of page ids, in page order. A reader
-gives every record of a set of files with its file, number, offset, length and SHA-256. The audit builds a tree
+Pages are written as WARC records, in page order, one file for each range of page ids, or several where a
+range has more than FILE_BYTES: then pages are dealt by id and url. A reader
+gives every record of a set of files with its file, number, offset, length, id, target and SHA-256. The audit builds a tree
 over the records of each file in offset order: a leaf hashes a record's offset, length and digest, an inner
 node hashes the range of offsets it covers and its children's hashes, FAN_OUT at a time; over the roots of the files, in order, the
 same kind of tree makes one root for a replica. Two replicas are compared from the roots down, and only children of
-nodes that differ are looked at. What is left at the leaves are the records that are damaged, lost
-or extra.
+nodes that differ are looked at.
 
-A file holds a fixed range of ids, so a node's children and a file's records have a bound, but for repeated ids,
-which keep one record each, ordered by url and html. Set IDS_PER_FILE by the size of your pages: a file is
-read whole by one task. Null html is an empty body, a null url an
+A lost, added or lengthened record moves all later ones of its file, so their leaves differ too. The records of the differing
+leaves alone are aligned: by record id, target and digest, then by record id (target, if it has none); of equal ones
+the first meets the first. So each record is `same`, `shifted` (the same bytes at another offset), `changed`, `missing` in
+the other replica or `extra` there.
+
+Files are bounded by FILE_BYTES and by the pages with one id and url, which stay together. Repeated ids keep one
+record each, ordered by url and html. Null html is an empty body, a null url an
 empty target; pages with a null page_id are spread over LOOSE_FILES files by a hash. An empty table gives no files and equal roots. Other
 columns are ignored.
 """
@@ -23,16 +27,20 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textgauge.llm.common import stored
 
 IDS_PER_FILE, LOOSE_FILES, FAN_OUT = 2048, 4096, 16
+FILE_BYTES = 64 << 20
 
-_RECORDS = "warc_file string, record_no long, offset long, length long, target string, record_sha256 string"
+_RECORDS = (
+    "warc_file string, record_no long, offset long, length long, record_id string, target string, record_sha256 string"
+)
 _LENGTH = re.compile(rb"^content-length:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
 _TARGET = re.compile(rb"^warc-target-uri:[ \t]*(.*?)[ \t]*\r?$", re.I | re.M)
+_ID = re.compile(rb"^warc-record-id:[ \t]*(.*?)[ \t]*\r?$", re.I | re.M)
 _END = b"\r\n\r\n"
 
 
@@ -52,15 +60,34 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     return F.concat(*head, body)
 
 
-def file_of() -> Column:
-    """The file of a page: its range of ids, or one of LOOSE_FILES for pages without an id."""
+def range_of() -> Column:
+    """The range of a page: of ids, or one of LOOSE_FILES for pages without an id."""
     loose = F.concat(F.lit("none-"), F.pmod(F.xxhash64("url", "html"), F.lit(LOOSE_FILES)).cast("string"))
     return F.coalesce(F.floor(F.col("page_id") / IDS_PER_FILE).cast("string"), loose)
 
 
-def write_warc(pages: DataFrame, path: str) -> None:
-    """Pages (page_id, url, html) as compressed WARC files, one in each folder warc_file=<range>."""
-    rows = pages.select(
+def file_layout(pages: DataFrame) -> DataFrame:
+    """id_range and parts: into how many files each range of pages goes."""
+    size = F.octet_length(record(F.col("page_id"), F.col("url"), F.col("html"))) + len(_END)
+    sizes = pages.groupBy(range_of().alias("id_range")).agg(F.sum(size.cast("long")).alias("bytes"))
+    return sizes.select("id_range", F.ceil(F.col("bytes") / FILE_BYTES).cast("int").alias("parts"))
+
+
+def file_of() -> Column:
+    """The file of a page, out of id_range and parts: the range alone, or the range and a part."""
+    digest = F.md5(F.concat_ws("|", F.col("page_id").cast("string"), "url").cast("binary"))
+    part = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.col("parts"))
+    return F.when(F.col("parts") <= 1, F.col("id_range")).otherwise(F.concat_ws("_", "id_range", part.cast("string")))
+
+
+def write_warc(pages: DataFrame, path: str, layout: DataFrame | None = None) -> None:
+    """Pages (page_id, url, html) as compressed WARC files, one in each folder warc_file=<name>.
+
+    `layout` is a stored `file_layout`, of these pages if not given; ranges that it lacks are one file.
+    """
+    known = stored(file_layout(pages), "layout") if layout is None else layout
+    placed = pages.select("page_id", "url", "html", range_of().alias("id_range")).join(known, "id_range", "left")
+    rows = placed.withColumn("parts", F.coalesce("parts", F.lit(1))).select(
         file_of().alias("warc_file"),
         F.col("page_id").alias("at"),
         F.coalesce("url", F.lit("")).alias("to"),
@@ -71,8 +98,12 @@ def write_warc(pages: DataFrame, path: str) -> None:
     writer.options(lineSep=_END.decode(), compression="gzip").text(path)
 
 
-def parsed(content: bytes) -> Iterator[tuple[int, int, str, str]]:
-    """offset, length, target and SHA-256 of each record of a file; a cut-off record counts as it is."""
+def _field(found: re.Match | None) -> str:
+    return found[1].decode("utf-8", "replace") if found else ""
+
+
+def parsed(content: bytes) -> Iterator[tuple[int, int, str, str, str]]:
+    """offset, length, id, target and SHA-256 of each record of a file; a cut-off record counts as it is."""
     at = 0
     while at < len(content):
         head = content.find(_END, at)
@@ -80,9 +111,8 @@ def parsed(content: bytes) -> Iterator[tuple[int, int, str, str]]:
         found = _LENGTH.search(header)
         stop = head + 4 + int(found[1]) + len(_END) if head >= 0 and found else len(content)
         stop = min(stop, len(content))
-        target = _TARGET.search(header)
-        name = target[1].decode("utf-8", "replace") if target else ""
-        yield at, stop - at, name, hashlib.sha256(content[at:stop]).hexdigest()
+        names = _field(_ID.search(header)), _field(_TARGET.search(header))
+        yield at, stop - at, *names, hashlib.sha256(content[at:stop]).hexdigest()
         at = stop
 
 
@@ -91,7 +121,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [field.split()[0] for field in _RECORDS.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
         for batch in batches:
             for folder, content in zip(batch.column("warc_file"), batch.column("content")):
                 rows = [
@@ -117,10 +147,16 @@ def leaves(records: DataFrame) -> DataFrame:
     )
 
 
+# Room for so many parts of a range in the order of files.
+_PARTS = 1 << 20
+
+
 def file_nodes(roots: DataFrame) -> DataFrame:
     """The files' roots as leaves of one tree; a file's place depends on its name alone."""
-    number, loose = F.col("warc_file").try_cast("long"), F.substring_index("warc_file", "-", -1).cast("long")
-    place = F.when(number.isNull(), 3 * loose).when(number >= 0, 3 * number + 1).otherwise(2 - 3 * number)
+    range_name, part = F.substring_index("warc_file", "_", 1), F.get(F.split("warc_file", "_"), F.lit(1)).try_cast("long")
+    number, loose = range_name.try_cast("long"), F.substring_index(range_name, "-", -1).try_cast("long")
+    range_place = F.when(number.isNull(), 3 * F.coalesce(loose, F.lit(0))).when(number >= 0, 3 * number + 1).otherwise(2 - 3 * number)
+    place = range_place * _PARTS + F.coalesce(part, F.lit(0))
     text = F.concat_ws("|", F.lit("file"), "warc_file", "hash")
     return roots.select(
         F.lit("").alias("tree"), "warc_file", place.alias("node"), place.alias("start"), place.alias("stop"),
@@ -181,18 +217,45 @@ def damaged(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     return descend(inside, "warc_file", names).withColumnRenamed("node", "record_no")
 
 
+_ROW = ["record_no", "offset", "length", "target", "record_sha256"]
+
+
+def _numbered(rows: DataFrame, key: list[Column]) -> DataFrame:
+    """`rows` with the key's columns k0, k1, ... and `nth`, the number of a row among those with its key in its file."""
+    keyed = rows.select("*", *[c.alias(f"k{i}") for i, c in enumerate(key)])
+    names = ["warc_file", *[f"k{i}" for i in range(len(key))]]
+    return keyed.withColumn("nth", F.row_number().over(Window.partitionBy(*names).orderBy("record_no")))
+
+
+def _met(ours: DataFrame, theirs: DataFrame, key: list[Column]) -> DataFrame:
+    """Both sides joined by file, key and place among equals: warc_file, o (ours) and t (theirs), either may be null."""
+    names = ["warc_file", *[f"k{i}" for i in range(len(key))], "nth"]
+    o, t = (
+        _numbered(rows, key).select(*names, F.struct("record_id", *_ROW).alias(side)) for rows, side in ((ours, "o"), (theirs, "t"))
+    )
+    return stored(o.join(t, names, "full").select("warc_file", "o", "t"), "aligned")
+
+
+def aligned(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """The records of differing leaves of both replicas with their states."""
+    name = F.when(F.col("record_id") != "", F.concat(F.lit("id:"), "record_id")).otherwise(F.concat(F.lit("to:"), "target"))
+    first = _met(ours, theirs, [F.col("record_id"), F.col("target"), F.col("record_sha256")])
+    whole = first.filter("o IS NOT NULL AND t IS NOT NULL")
+    left = first.filter("o IS NOT NULL AND t IS NULL").select("warc_file", "o.*")
+    right = first.filter("o IS NULL AND t IS NOT NULL").select("warc_file", "t.*")
+    second = _met(left, right, [name])
+    place = F.when(F.col("o.offset") == F.col("t.offset"), "same").otherwise("shifted")
+    kind = F.when(F.col("t").isNull(), "missing").when(F.col("o").isNull(), "extra").otherwise("changed")
+    return (
+        whole.select("warc_file", "o.*", place.alias("state"))
+        .unionByName(second.select("warc_file", F.coalesce("o", "t").alias("r"), kind.alias("state")).select("warc_file", "r.*", "state"))
+        .select("warc_file", *_ROW, "state")
+    )
+
+
 def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
-    """Every record of either replica with its state: same, changed, missing (there) or extra."""
+    """Every record of either replica (stored record tables) with its state; an extra record is shown as it is there."""
     key = ["warc_file", "record_no"]
-    sides = ours.select("*", F.lit(True).alias("here")).join(theirs.select(*key, *[
-        F.col(c).alias(f"their_{c}") for c in ("offset", "length", "target", "record_sha256")
-    ]), key, "full")
-    wrong = damaged(ours, theirs).withColumn("wrong", F.lit(True))
-    state = (
-        F.when(F.col("wrong").isNull(), "same")
-        .when(F.col("here").isNull(), "extra")
-        .when(F.col("their_offset").isNull(), "missing")
-        .otherwise("changed")
-    )
-    columns = [F.coalesce(c, f"their_{c}").alias(c) for c in ("offset", "length", "target", "record_sha256")]
-    return sides.join(wrong, key, "left").select(*key, *columns, state.alias("state"))
+    wrong = damaged(ours, theirs)
+    sound = ours.join(wrong, key, "left_anti").select("warc_file", *_ROW, F.lit("same").alias("state"))
+    return sound.unionByName(aligned(ours.join(wrong, key, "left_semi"), theirs.join(wrong, key, "left_semi")))
