@@ -64,3 +64,42 @@ TEXT = "Title here\n\n" + "word " * 39 + "word"
 )
 def test_wrappers_named_like_furniture(page, text):
     assert H.main_text(page) == text
+
+
+WORDS = "word " * 39 + "word"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("just text", "just text"),
+        ("<p>Short one.</p>", "Short one."),
+        ("<html><head><title>t</title></head><body><h1>Alone</h1></body></html>", "Alone"),
+        *[
+            (f"<article><p>{WORDS}</p><{e}><p>{WORDS}</p><p>End here.</p></article>", f"{WORDS}\n\n{WORDS}\n\nEnd here.")
+            for e in ("svg", "select", "object", "noscript", "canvas", "button", "audio", "video", "math", "datalist")
+        ],
+        (f"<article><p>{WORDS} <select><option>x</article><p>", WORDS + " "),
+        (f"<article><select><p>{WORDS}</p><select><option>a</option></select><p>Then more.</p></article>", f"{WORDS}\n\nThen more."),
+        (f"<article><p>{WORDS}</p><p><a href=x>this paragraph is one link</a></p><p>{WORDS}</p></article>", f"{WORDS}\n\nthis paragraph is one link\n\n{WORDS}"),
+        (f"<article><p>{WORDS}</p><p>See <a href=x>a long link of seven words here</a> now.</p><p>{WORDS}</p></article>",
+         f"{WORDS}\n\nSee a long link of seven words here now.\n\n{WORDS}"),
+        (f"<article><p>{WORDS}</p><ul><li><a href=1>one more</a></li><li><a href=2>two more</a></li><li><a href=3>three</a></li></ul></article>", WORDS),
+        (f"<div class='comment-policy-article'><p>{WORDS}</p></div>", WORDS),
+        (f"<article><p>{WORDS}</p></article><div class='comment-body'><p>{WORDS} I say</p></div>", WORDS),
+        (f"<script>var a = 1; <p>{WORDS}</p>", ""),
+    ],
+)
+def test_nothing_else_is_dropped(page, text):
+    assert H.main_text(page) == text.strip()
+
+
+def test_neighbours_decide():
+    """The tree asks for the link density of a neighbour, and its answer depends on it."""
+
+    def asked(tree):
+        return set() if isinstance(tree, int) else {tree[0]} | asked(tree[2]) | asked(tree[3])
+
+    assert asked(H.TREE) & {3, 5}
+    among_text, among_links = (8, 1.0, 40, 0.0, 40, 0.0, 0, 1, 0, 0), (8, 1.0, 4, 1.0, 4, 1.0, 0, 1, 0, 0)
+    assert H.says(H.TREE, among_text) == 1 and H.says(H.TREE, among_links) == 0
