@@ -3,9 +3,10 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from llm_cases import AWKWARD, documents  # noqa: F401
 
-from textgauge.llm.exact_dedup import exact_dedup
+from textgauge.llm.exact_dedup import digest_runs, exact_dedup, merge_level
 
 
 def brute(rows):
@@ -37,6 +38,13 @@ def test_empty(spark, documents):
     assert exact_dedup(documents([])).count() == 0
 
 
+def test_runs_are_merged_in_order_of_digests(spark, documents):
+    """Both sides of a round's exchange sort digests and merge equal neighbours; there is no hash table of all digests."""
+    runs = digest_runs(documents(AWKWARD)).withColumn("best", F.struct("doc_id", "row_no")).withColumn("size", F.lit(1))
+    plan = merge_level(runs, F.col("run"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate") == 2 and "HashAggregate" not in plan and plan.count("Exchange") == 1
+
+
 def test_no_python_in_the_plan(spark, documents):
     plan = exact_dedup(documents(AWKWARD))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

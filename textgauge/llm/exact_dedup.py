@@ -1,8 +1,10 @@
 """Exact duplicates by a tree of merges over digest runs, in DataFrame functions only.
 
-Every task writes the digests of its documents as one run, sorted by digest. In each round up to
-FAN_IN runs exchange their rows by digest and are merged, sorted, into one; equal digests become one
-row with the best document so far and the size of the group. The last round knows every group; the
+Every task writes the digests of its documents as one run. In each round up to FAN_IN runs, five binomial rounds
+in one, exchange their rows by digest and become one run. Spark merges them as it does any sorted aggregate: each task
+sorts the digests it holds and hands on one row for each, the other side sorts what it gets, and equal neighbours
+become one row with the best document so far and the size of the group. (An exchange keeps no order, so runs are sorted again
+on the other side; rounds of two runs would only add exchanges.) The last round knows every group; the
 answer goes back down the same tree, run by run, so no key in any round or join stands for more rows
 than one task has read or FAN_IN runs have handed up.
 
@@ -31,7 +33,7 @@ def normalised(text: Column) -> Column:
 
 
 def digest_runs(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One sorted run per task: digest, place in the run and what decides who stays."""
+    """One run per task: digest, place in the run and what decides who stays."""
     text = F.coalesce(F.col("text"), F.lit(""))
     norm = docs.select(
         F.col("doc_id").cast("long"), *carry, F.length(text).alias("n_chars"), normalised(F.col("text")).alias("norm")
@@ -46,7 +48,7 @@ def digest_runs(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         F.xxhash64("norm").alias("second"),
         *carry,
     )
-    return stored(rows.sortWithinPartitions("sha"), "digest-runs")
+    return stored(rows, "digest-runs")
 
 
 def merge_level(rows: DataFrame, group: Column) -> DataFrame:
