@@ -745,6 +745,7 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM docu
         "w4_rank": self_nearest(10, "query_id, vec_id, round(round(distance, 9), 6) AS distance, rank"),
         "o1_sorted_pages": "SELECT url, page_id, row_number() OVER (ORDER BY url, page_id) - 1 AS row_id FROM pages",
         "o2_top_k": self_nearest(4, "query_id, vec_id, round(round(distance, 9), 6) AS distance"),
+        "o2_bounded_top_k": self_nearest(4, "query_id, vec_id, round(round(distance, 9), 6) AS distance"),
         "o3_reference_order": with_([REFS], "SELECT item_id, ref_no, slot FROM refs"),
         "u1_both_modes": with_([*RETRIEVED, CONTEXT], f"{GROUNDED} UNION ALL {UNGROUNDED}"),
         "u2_runs": """SELECT CASE role WHEN 'assistant' THEN 'assistant' ELSE 'user' END AS model,

@@ -15,7 +15,7 @@ from ..functions import text as tx
 from ..functions import vectors as ve
 from ..functions.multiset import align_last
 from ..functions.stem import porter, rouge_stems
-from ..operators import bootstrap, chunks, nearest, numbering, pairing, runs, scores
+from ..operators import bootstrap, chunks, indexed, nearest, numbering, pairing, runs, scores
 from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
 from ..session import scratch_path, spread
@@ -716,6 +716,16 @@ def o2_top_k(spark, sf_dir):
     return rounded(found, "distance").select("query_id", "vec_id", "distance")
 
 
+@query
+def o2_bounded_top_k(spark, sf_dir):
+    """The same rows, found with bounds from trained cells."""
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    trained = indexed.train(vectors, "vec_id", "embedding")
+    found = indexed.nearest_bounded(asked, vectors, trained, "query_id", "embedding", "vec_id", "embedding")
+    return rounded(found, "distance").select("query_id", "vec_id", "distance")
+
+
 @query
 def o3_reference_order(spark, sf_dir):
     slots = pairing.number_slots(references_of(table(spark, sf_dir, "conversations")))
@@ -874,6 +884,44 @@ def m5_approximate_nearest(spark, sf_dir):
     return rounded(found, "distance")
 
 
+def _chunk_questions(store: DataFrame) -> DataFrame:
+    """One stored chunk in twenty as a question of its own."""
+    asked = store.filter(F.pmod(F.crc32("chunk_id"), F.lit(20)) == 0)
+    return asked.select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("question"))
+
+
+def _chunk_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, indexed.Trained]:
+    """The chunk store as a table, its quantised index as another one, in the order of cells, and what was trained."""
+    store = _written_store(spark, sf_dir).select("chunk_id", "embedding")
+    trained = indexed.train(store, "chunk_id", "embedding")
+    path = scratch_path(spark, "chunk-index")
+    made = indexed.build(store, "chunk_id", "embedding", trained)
+    made.repartitionByRange("cell", "chunk_id").sortWithinPartitions("cell").write.parquet(path)
+    return store, spark.read.parquet(path), trained
+
+
+_CHUNK_NAMES = ("query_id", "question", "chunk_id", "embedding")
+
+
+@query
+def m5_quantised_chunks(spark, sf_dir):
+    """Nearest chunks through the quantised index, measured again with their vectors."""
+    store, index, trained = _chunk_index(spark, sf_dir)
+    found = indexed.nearest_by_codes(_chunk_questions(store), store, index, trained, *_CHUNK_NAMES)
+    return rounded(found, "distance")
+
+
+@query
+def m5_quantised_recall(spark, sf_dir):
+    """Recall of the quantised index against the exact search, and the share of pairs it looks at."""
+    store, index, trained = _chunk_index(spark, sf_dir)
+    asked = _chunk_questions(store)
+    found = indexed.nearest_by_codes(asked, store, index, trained, *_CHUNK_NAMES)
+    measured = nearest.recall(found, nearest.nearest(asked, store, *_CHUNK_NAMES), "query_id", "chunk_id")
+    share = indexed.probed_share(asked, index, trained, "query_id", "question")
+    return rounded(measured.withColumn("share", F.lit(share)), "recall", "share")
+
+
 @query
 def m5_recall(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
