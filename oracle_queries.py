@@ -52,6 +52,26 @@ def cut_words(text: str) -> str:
     return words(text)
 
 
+def words_13a(text: str) -> str:
+    """The published 13a rules, one replacement after the other."""
+    for old, new in (("<skipped>", "''"), ("-' || chr(10) || '", "''"), ("' || chr(10) || '", "' '"), ("&quot;", "'\"'"), ("&amp;", "'&'"), ("&lt;", "'<'"), ("&gt;", "'>'")):
+        text = f"replace({text}, '{old}', {new})"
+    text = f"concat(' ', {text}, ' ')"
+    for pattern, spaced in (
+        (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "), (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 "),
+    ):
+        text = f"regexp_replace({text}, '{pattern}', '{spaced}', 'g')"
+    return words(text)
+
+
+def class_ends() -> list[int]:
+    """Longest texts of the length classes: a tenth more than the last, or one."""
+    ends = [1]
+    while ends[-1] < 1 << 20:
+        ends.append(max(ends[-1] + 1, ends[-1] * 11 // 10))
+    return ends
+
+
 def alnum(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '[a-z0-9]+')"
 
@@ -331,6 +351,14 @@ def r6(*columns: str) -> str:
 
 
 METRICS = r6("rouge1", "rouge2", "meteor")
+PADDED = f"""WITH ends AS (SELECT {class_ends()} AS ends),
+classed AS (
+  SELECT doc_id, len({words('text')})::BIGINT AS n_tokens,
+         len(list_filter(ends[:-2], lambda e: e < n_tokens))::BIGINT AS length_class FROM documents, ends),
+batches AS (
+  SELECT doc_id, n_tokens, length_class, ends[length_class + 1]::BIGINT AS padded_to,
+         (row_number() OVER (PARTITION BY length_class ORDER BY doc_id) - 1) // greatest(1, 16384 // ends[length_class + 1]) AS batch
+  FROM classed, ends)"""
 PATH = "regexp_replace(url, '[?#].*$', '')"
 NAME = f"string_split({PATH}, '/')[-1]"
 STEM = f"regexp_replace({NAME}, '\\.[^.]*$', '')"
@@ -598,6 +626,18 @@ FROM conversations""",
         ),
         "f2_by_extension": f"SELECT page_id, path FROM (SELECT page_id, {PATH} AS path FROM pages) WHERE path LIKE '%.html'",
         "f3_split": "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en'",
+        "f3_pruned_split": "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en'",
+        "f3_pruned_by_table": """SELECT doc_id, lang, n_chars FROM documents
+WHERE lang IN (SELECT lang FROM documents GROUP BY lang HAVING max(n_chars) > 20000)""",
+        "w2_padded_batches": f"{PADDED} SELECT doc_id, n_tokens, length_class, batch, padded_to FROM batches",
+        "w2_padding_share": f"""{PADDED}
+SELECT sum(n)::BIGINT AS "rows", count(*) AS batches, {six("1 - sum(used) / sum(n * longest)")} AS padding
+FROM (SELECT count(*) AS n, max(n_tokens) AS longest, sum(n_tokens) AS used FROM batches GROUP BY length_class, batch)""",
+        "m1_padded_batches": f"""{PADDED} SELECT doc_id, n_tokens, max(n_tokens) OVER w AS longest, count(*) OVER w AS "rows"
+FROM batches WINDOW w AS (PARTITION BY length_class, batch)""",
+        "a2_bleu_13a": with_([*many, *bleu(words_13a)], f"SELECT model, dataset, {six(BLEU_AGAIN)} AS bleu FROM b_all"),
+        "a2_tokens_13a": f"""SELECT doc_id, len(t)::BIGINT AS n_tokens, array_to_string(t, '|') AS tokens
+FROM (SELECT doc_id, {words_13a('text')} AS t FROM documents)""",
         "f4_no_empty_tokens": f"""SELECT doc_id, len(list_filter(p, lambda w: w <> ''))::BIGINT AS kept,
   len(list_filter(p, lambda w: w = ''))::BIGINT AS dropped
 FROM (SELECT doc_id, string_split_regex(text, '[{SPACE}]') AS p FROM documents)""",

@@ -56,6 +56,30 @@ def word_tokens(text: Column) -> Column:
     return whitespace_tokens(F.regexp_replace(apart, rf"(?i)\b({heads})", "$1 "))
 
 
+# The 13a rules. What is taken out or put in place first, in this order, and then where spaces go: around
+# all punctuation but . , - and ', around . and , unless a digit is beside, and around a hyphen after a digit.
+TOKENS_13A_TEXT = (
+    ("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"),
+)
+TOKENS_13A_SPACES = (
+    (r"([{-~\[-` -&(-+:-@/])", " $1 "),
+    (r"([^0-9])([.,])", "$1 $2 "),
+    (r"([.,])([^0-9])", " $1 $2"),
+    (r"([0-9])(-)", "$1 $2 "),
+)
+
+
+def tokens_13a(text: Column) -> Column:
+    """Words and punctuation marks under the 13a rules of machine translation scoring."""
+    for old, new in TOKENS_13A_TEXT:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    # Both ends count as spaces.
+    text = F.concat(F.lit(" "), text, F.lit(" "))
+    for pattern, spaced in TOKENS_13A_SPACES:
+        text = F.regexp_replace(text, pattern, spaced)
+    return whitespace_tokens(text)
+
+
 def alnum_tokens(text: Column) -> Column:
     """Runs of [a-z0-9] in the lowercased text: the tokens of ROUGE."""
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))

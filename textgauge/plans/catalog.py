@@ -15,7 +15,7 @@ from ..functions import text as tx
 from ..functions import vectors as ve
 from ..functions.multiset import align_last
 from ..functions.stem import porter, rouge_stems
-from ..operators import bootstrap, chunks, indexed, nearest, numbering, pairing, runs, scores
+from ..operators import bootstrap, chunks, indexed, nearest, numbering, padded, pairing, runs, scores
 from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
 from ..session import scratch_path, spread
@@ -374,6 +374,31 @@ def f3_split(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", "lang", "n_chars")
 
 
+def _split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, with their language as the split, laid out by split."""
+    path = scratch_path(spark, "splits")
+    sinks.write_by_split(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), path, "lang", "doc_id")
+    return spark.read.parquet(path)
+
+
+@query
+def f3_pruned_split(spark, sf_dir):
+    """One split of a table laid out by split: no file of another one is opened."""
+    return _split_table(spark, sf_dir).filter("lang = 'en'").select("doc_id", "lang", "n_chars")
+
+
+@query
+def f3_pruned_by_table(spark, sf_dir):
+    """The splits that a table names, here languages with a document of over 20,000 characters; pruned at run time."""
+    splits = _split_table(spark, sf_dir)
+    path = scratch_path(spark, "wanted-splits")
+    sizes = table(spark, sf_dir, "documents").groupBy("lang").agg(F.max("n_chars").alias("longest"))
+    sizes.write.parquet(path)
+    # One row per split.
+    wanted = spark.read.parquet(path).filter("longest > 20000").select("lang")
+    return splits.join(F.broadcast(wanted), "lang").select("doc_id", "lang", "n_chars")
+
+
 @query
 def f4_no_empty_tokens(spark, sf_dir):
     pieces = F.split(F.col("text"), f"[{tx.WHITESPACE_CLASS}]")
@@ -513,6 +538,19 @@ def a2_corpus_bleu_recomputed(spark, sf_dir):
     return rounded(bleu, "bleu")
 
 
+@query
+def a2_bleu_13a(spark, sf_dir):
+    """The recomputed BLEU with 13a tokens on texts that keep their punctuation."""
+    how = replace(PLAIN_AGAIN, normalised=False)
+    return rounded(evaluation.corpus_bleu(run_pairs(spark, sf_dir), how, RUN), "bleu")
+
+
+@query
+def a2_tokens_13a(spark, sf_dir):
+    """13a tokens of whole documents."""
+    return spread_table(spark, sf_dir, "documents").select("doc_id", *_token_row(tx.tokens_13a(F.col("text"))))
+
+
 @query
 def a1_a2_bleu_counts(spark, sf_dir):
     return scores.bleu_counts(with_words(eval_pairs(spark, sf_dir)), [])
@@ -850,6 +888,40 @@ def m1_model_batches(spark, sf_dir):
     )
 
 
+def _with_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.size(tx.whitespace_tokens(F.col("text"))).cast("long")
+    return spread_table(spark, sf_dir, "documents").select("doc_id", "text", words.alias("n_tokens"))
+
+
+@query
+def w2_padded_batches(spark, sf_dir):
+    """Batches of documents of like length under a token budget."""
+    batched = padded.padded_batches(_with_length(spark, sf_dir).drop("text"), "doc_id", "n_tokens")
+    return batched.select("doc_id", "n_tokens", "length_class", "batch", "padded_to")
+
+
+@query
+def w2_padding_share(spark, sf_dir):
+    """How much of all batches is padding."""
+    batched = padded.padded_batches(_with_length(spark, sf_dir).drop("text"), "doc_id", "n_tokens")
+    return rounded(padded.padding_share(batched, "n_tokens"), "padding")
+
+
+@query
+def m1_padded_batches(spark, sf_dir):
+    """A stand-in model that says to how many tokens its batch was padded, keys beside it."""
+    batched = padded.padded_batches(_with_length(spark, sf_dir), "doc_id", "n_tokens")
+    return padded.apply_padded(batched, _stand_in_padder, ["doc_id", "n_tokens"], ["text"], "longest BIGINT, rows BIGINT")
+
+
+def _stand_in_padder():
+    def predict(batch: pd.DataFrame) -> pd.DataFrame:
+        sizes = batch["text"].fillna("").str.split().str.len()
+        return pd.DataFrame({"longest": [int(sizes.max())] * len(batch), "rows": [len(batch)] * len(batch)})
+
+    return predict
+
+
 @query
 def m2_hashed_embedding(spark, sf_dir):
     made = retrieval.embed(spread_table(spark, sf_dir, "documents"), "text")

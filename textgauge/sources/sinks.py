@@ -12,6 +12,15 @@ def write_run_items(items: DataFrame, path: str) -> None:
     items.write.mode("errorifexists").partitionBy("model", "dataset").json(path)
 
 
+def write_by_split(rows: DataFrame, path: str, split: str, *order: str) -> None:
+    """A table with a folder per value of `split`, sorted inside its files, so that a reader opens only what it wants.
+
+    Rows are dealt by split and order, so a split with a third of all rows becomes many files.
+    """
+    dealt = rows.repartitionByRange(split, *order).sortWithinPartitions(split, *order)
+    dealt.write.mode("errorifexists").partitionBy(split).parquet(path)
+
+
 def write_captions(captions: DataFrame, path: str) -> None:
     """Captions with the prompt that made them as a column instead of a header element."""
     captions.select("image_name", "generated_caption", "prompt").write.mode("errorifexists").json(path)
