@@ -543,6 +543,13 @@ FROM benchmark""",
             [*first_items, *bleu(words), MACRO],
             f"SELECT model, dataset, {six(BLEU_FIRST)} AS bleu, {METRICS} FROM macro JOIN b_all USING (model, dataset)",
         ),
+        "k3_merged_statistics": f"""SELECT * FROM ({with_(
+            [*first_items, *bleu(words), MACRO],
+            f"SELECT model, dataset, {six(BLEU_FIRST)} AS bleu, {METRICS}, 'first_run' AS metric_def FROM macro JOIN b_all USING (model, dataset)",
+        )}) UNION ALL SELECT * FROM ({with_(
+            [*again_slots, *bleu(words, stripped)],
+            f"SELECT model, dataset, {six(BLEU_AGAIN)} AS bleu, {METRICS}, 'recomputed' AS metric_def FROM slotted JOIN b_all USING (model, dataset)",
+        )})""",
         "k3_recomputed_from_store": with_(
             [*again_slots, *bleu(words, stripped)],
             f"""SELECT model, dataset, {six(BLEU_AGAIN)} AS bleu, {METRICS},
