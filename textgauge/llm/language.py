@@ -138,11 +138,12 @@ def _learn_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sampled(rows: DataFrame) -> DataFrame:
     """lang, text and sampled of the rows (with row ids): true for the SAMPLE smallest hashes of a language."""
     order = F.struct(F.xxhash64("doc_id", "text").alias("hash"), F.col(ROW).alias("row"))
-    # Each task hands on the smallest of its own rows only, without texts.
-    smallest = rows.select("lang", order.alias("o")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("o"))
-    )
-    last = smallest.filter(F.col("rank") <= SAMPLE).groupBy("lang").agg(F.max("o").alias("last"))
+    # Each task hands on the smallest of its own rows only, without texts; a few hundred tasks meet before all do.
+    smallest = rows.select("lang", order.alias("o"), (F.spark_partition_id() % F.lit(256)).alias("part"))
+    for key in (["lang", "part"], ["lang"]):
+        ranked = smallest.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy("o")))
+        smallest = ranked.filter(F.col("rank") <= SAMPLE).drop("rank")
+    last = smallest.groupBy("lang").agg(F.max("o").alias("last"))
     # One row per language, which the driver holds anyway.
     return rows.join(F.broadcast(last), "lang").select("lang", "text", (order <= F.col("last")).alias("sampled"))
 
