@@ -155,7 +155,13 @@ def stems_of_pairs(*columns) -> list[str]:
 SYNONYMS = [("the", "a", "an"), ("of", "in", "on", "at"), ("is", "are", "was", "be"), ("that", "this", "it"), ("and", "or")]
 
 
-def meteor_of_stems(clean=same, tokenise=low_words, synonyms: bool = False) -> list[str]:
+# Stems that are words of the conversations, in classes by their letters.
+LETTER_CLASSES = f"""classes AS (
+  SELECT DISTINCT stem, array_to_string(list_sort(list_distinct(string_split(stem, ''))), '') AS c FROM stems
+  WHERE stem IN (SELECT unnest({low_words('text')}) FROM conversations) AND regexp_full_match(stem, '[a-z]+'))"""
+
+
+def meteor_of_stems(clean=same, tokenise=low_words, synonyms: bool = False, classes: str = "") -> list[str]:
     """METEOR with its second stage: words still free meet by their stems, the k-th last of each.
 
     The third stage does the same by class: words of one class are synonyms of all its others, and equal
@@ -182,7 +188,7 @@ def meteor_of_stems(clean=same, tokenise=low_words, synonyms: bool = False) -> l
     if synonyms:
         listed = ", ".join(f"('{w}', {i})" for i, group in enumerate(SYNONYMS) for w in group)
         more += [
-            f"classes AS (SELECT DISTINCT stem, c FROM (VALUES {listed}) v(w, c) JOIN stems USING (w))",
+            classes or f"classes AS (SELECT DISTINCT stem, c FROM (VALUES {listed}) v(w, c) JOIN stems USING (w))",
             free("met_h", "hyp_at", "c", "both_links", "left"),
             free("met_r", "ref_at", "c", "both_links", "left"),
             f"""all_links AS (
@@ -589,6 +595,10 @@ FROM (SELECT doc_id, {alnum('text')} AS t FROM documents)""",
             [*one, *stems_of_pairs(("m", low_words, same)), *meteor_of_stems(synonyms=True)],
             f"SELECT item_id, ref_no, matches AS meteor_matches, chunks AS meteor_chunks, {r6('meteor')} FROM met",
         ),
+        "a5_meteor_senses": with_(
+            [*one, *stems_of_pairs(("m", low_words, same)), *meteor_of_stems(synonyms=True, classes=LETTER_CLASSES)],
+            f"SELECT item_id, ref_no, matches AS meteor_matches, chunks AS meteor_chunks, {r6('meteor')} FROM met",
+        ),
         "evaluation_first_run": with_(
             [
                 *many,

@@ -10,6 +10,7 @@ from textgauge.functions.stem import porter
 from textgauge.operators import scores
 from textgauge.operators.pairing import pair_references
 from textgauge.plans.catalog import with_alnum
+from textgauge.sources.synsets import DETACHMENTS, base_forms, read_synsets
 from textgauge.sources.turns import hypotheses_of, references_of, stand_in_runs, unmatched_turns
 
 EDGE_CASES = [
@@ -67,6 +68,45 @@ def test_meteor_stems_and_synonyms_match_greedy(spark):
     assert sum(r.meteor_matches for r in full) > sum(r.meteor_matches for r in stemmed)
 
 
+def test_meteor_by_synonym_sets_matches_greedy(spark):
+    """Words in several sets, sets of many words, and look-up under base forms."""
+    sets = {"1": ["big", "larg", "on"], "2": ["big", "cat", "mat"], "3": ["sat", "on", "the"], "4": [f"w{i}" for i in range(3000)] + ["dog"], "5": ["run", "the"]}
+    table = spark.createDataFrame([(w, s) for s, words in sets.items() for w in words], "word string, sense string")
+    cases = [*CASES, ("runs w7 w8 big", "the dog w9 mat w10"), ("running", "the"), ("", "the")]
+    pairs = pair_frame(spark, cases)
+    for forms, expand in ((None, lambda w: [w]), (base_forms, lambda w: [w, *(w[: -len(e)] + b for e, b in DETACHMENTS if w.endswith(e) and len(w) > len(e))])):
+        of = {}
+        for word in {porter(w) for hyp, ref in cases for w in (*hyp.split(), *ref.split())}:
+            senses = {s for s, words in sets.items() if set(expand(word)) & set(words)}
+            of[word] = {w for s in senses for w in sets[s]}
+        for row in scores.meteor(pairs, keys=["item_id"], senses=table, forms=forms).collect():
+            m, chunks, score = meteor(row.hyp_tokens, row.ref_tokens, porter, of)
+            assert (row.meteor_matches, row.meteor_chunks) == (m, chunks), row
+            assert row.meteor == pytest.approx(score)
+
+
+def test_synset_file(spark, tmp_path):
+    (tmp_path / "data.noun").write_text(
+        "  1 licence text of the file\n"
+        "00001740 03 n 02 entity 0 Living_thing 0 003 ~ 00001930 n 0000 | that which is\n"
+        "00002137 03 n 0b abstraction 0 abstract 1 c 0 d 0 e 0 f 0 g 0 h 0 i 0 j 0 k 0 001 @ 00001740 n 0000 | x\n"
+        "00002137 03 n 01 late 0 000 | the same set goes on\n"
+    )
+    (tmp_path / "data.adj").write_text("00001740 00 a 01 Able(p) 0 005 = 05207437 n 0000 | able\n")
+    got = sorted(map(tuple, read_synsets(spark, str(tmp_path)).collect()))
+    assert got == sorted(
+        [("entity", "n-00001740"), ("able", "a-00001740"), ("late", "n-00002137")]
+        + [(w, "n-00002137") for w in ("abstraction", "abstract", *"cdefghijk")]
+    )
+
+
+def test_base_forms(spark):
+    words = spark.createDataFrame([("dogs",), ("churches",), ("ed",), ("men",), ("flies",), ("",)], "w string")
+    got = {r[0]: set(r[1]) for r in words.select("w", base_forms(F.col("w"))).collect()}
+    assert got["dogs"] == {"dogs", "dog"} and got["ed"] == {"ed"} and got[""] == {""}
+    assert {"church", "churche"} <= got["churches"] and "fly" in got["flies"] and got["men"] == {"men"}
+
+
 def bleu_items(cases, sizes):
     """Group cases into items with 1, 2 or 3 references."""
     items, at = [], 0

@@ -94,6 +94,44 @@ def _add_synonym_links(pairs: DataFrame, synonyms: DataFrame, keys: list[str]) -
     )
 
 
+def _add_sense_links(pairs: DataFrame, senses: DataFrame, keys: list[str], forms) -> DataFrame:
+    """Third stage by synonym sets: free hypothesis words, last first, take the last free reference word that
+    shares a sense. `senses` has word and sense.
+
+    Hypothesis words are looked up under `forms` of their stem, reference words as they are. Only (pair, place, word)
+    leaves the row; sets stay rows, so their size does not matter.
+    """
+    def looked_up(words: str, link: str, name: str, spread) -> DataFrame:
+        free = free_places(f"size({words})", "_links", link)
+        places = f"transform({free}, at -> struct(at as place, get({words}, at) as word))"
+        rows = pairs.select(*keys, F.expr(f"inline({places})"))
+        rows = rows.select(*keys, "place", F.explode(spread(F.col("word"))).alias("word"))
+        known = rows.join(senses, "word").groupBy(*keys, "place").agg(F.collect_set("sense").alias("senses"))
+        return known.groupBy(*keys).agg(
+            F.sort_array(F.collect_list(F.struct("place", "senses")), asc=False).alias(name)
+        )
+
+    hyps = looked_up("_hyp_stems", "l", "_options", forms or F.array)
+    refs = looked_up("_ref_stems", "r", "_senses", F.array)
+    fitting = (
+        "filter(_senses, x -> arrays_overlap(x.senses, option.senses) and not exists(links, link -> link.r = x.place))"
+    )
+    # The reference words go from last to first too.
+    taken = let(
+        "fits",
+        fitting,
+        "case when size(fits) > 0 "
+        "then array_append(links, struct(option.place as l, get(fits, 0).place as r)) else links end",
+    )
+    return pairs.join(hyps, keys, "left").join(refs, keys, "left").withColumn(
+        "_links",
+        F.expr(
+            "case when _options is null or _senses is null then _links "
+            f"else aggregate(_options, _links, (links, option) -> {taken}) end"
+        ),
+    )
+
+
 def meteor(
     pairs: DataFrame,
     hyp: str = "hyp_tokens",
@@ -101,20 +139,26 @@ def meteor(
     stems: bool = True,
     synonyms: DataFrame | None = None,
     keys: list[str] | None = None,
+    senses: DataFrame | None = None,
+    forms=None,
 ) -> DataFrame:
     """Adds meteor_matches, meteor_chunks and meteor.
 
-    Stages: exact words, then stems, then synonyms if a table (word, synonym) is given. The
-    synonym stage needs `keys`, the columns that tell pairs apart.
+    Stages: exact words, then stems, then synonyms if a table (word, synonym) or a table of synonym sets
+    (word, sense) is given; `forms` is a function of a word column to an array of words to look up, such as
+    `base_forms`. The synonym stage needs `keys`, the columns that tell pairs apart.
     """
     kept = pairs.columns
     out = pairs.withColumn("_links", F.expr(align_last(hyp, ref)))
     if stems:
         out = _add_stem_links(out, hyp, ref)
-    if synonyms is not None:
+    if synonyms is not None or senses is not None:
         if not (stems and keys):
             raise ValueError("the synonym stage follows the stem stage and needs the pair keys")
-        out = _add_synonym_links(out, synonyms, keys)
+        if synonyms is not None:
+            out = _add_synonym_links(out, synonyms, keys)
+        else:
+            out = _add_sense_links(out, senses, keys, forms)
     out = out.withColumns(
         {
             "meteor_matches": F.size("_links").cast("bigint"),

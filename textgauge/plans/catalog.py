@@ -19,7 +19,7 @@ from ..operators import bootstrap, chunks, indexed, nearest, numbering, padded,
 from ..operators.apply_model import apply_model
 from ..operators.contexts import grounded, ungrounded
 from ..session import scratch_path, spread
-from ..sources import captions, sinks
+from ..sources import captions, sinks, synsets
 from ..sources.turns import TURNS, hypotheses_of, references_of, stand_in_runs, unmatched_turns
 from . import captioning, evaluation, retrieval, statistics
 
@@ -635,6 +635,25 @@ def a5_meteor_synonyms(spark, sf_dir):
     return rounded(scored.select(*keys, "meteor_matches", "meteor_chunks", "meteor"), "meteor")
 
 
+def _letter_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synonym sets for lack of a real table: words of the conversations with the same letters, as a data file and read again."""
+    words = table(spark, sf_dir, "conversations").select(F.explode(tx.whitespace_tokens(F.lower("text"))).alias("word"))
+    words = words.distinct().filter(F.col("word").rlike("^[a-z]+$"))
+    letters = F.array_join(F.array_sort(F.array_distinct(F.split("word", ""))), "")
+    offset = F.conv(F.substring(F.md5(letters.cast("binary")), 1, 8), 16, 10)
+    path = scratch_path(spark, "synsets")
+    words.select(F.concat_ws(" ", offset, F.lit("00 n 01"), "word", F.lit("0 000 | by letters")).alias("value")).write.text(path)
+    return synsets.read_synsets(spark, path)
+
+
+@query
+def a5_meteor_senses(spark, sf_dir):
+    """All three stages, with synonym sets out of a data file."""
+    keys = ["item_id", "ref_no"]
+    scored = scores.meteor(with_words(eval_pairs(spark, sf_dir)), keys=keys, senses=_letter_sets(spark, sf_dir))
+    return rounded(scored.select(*keys, "meteor_matches", "meteor_chunks", "meteor"), "meteor")
+
+
 @query
 def a6_macro_means(spark, sf_dir):
     means = scores.run_means(run_items(spark, sf_dir), RUN, evaluation.METRICS)
