@@ -26,7 +26,15 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
+def row_name(df: DataFrame) -> str:
+    """A name for row ids that no column of `df` has."""
+    name = ROW
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def with_row_id(df: DataFrame, name: str = ROW) -> DataFrame:
     """`df` with a column naming the file and the place each row is read from.
 
     The id is the same whenever the row is read again. A frame that is no plain file scan is
@@ -34,14 +42,14 @@ def with_row_id(df: DataFrame) -> DataFrame:
     """
     try:
         place = df.metadataColumn("_metadata")
-        return df.select("*", F.struct(place["file_path"], place["row_index"]).alias(ROW))
+        return df.select("*", F.struct(place["file_path"], place["row_index"]).alias(name))
     except AnalysisException:
-        return with_row_id(stored(df, "rows"))
+        return with_row_id(stored(df, "rows"), name)
 
 
-def without_rows(df: DataFrame, gone: DataFrame) -> DataFrame:
+def without_rows(df: DataFrame, gone: DataFrame, name: str = ROW) -> DataFrame:
     """The rows of `df` (with row ids) whose id is not in `gone`, ids removed."""
-    return df.join(gone.select(ROW), ROW, "left_anti").drop(ROW)
+    return df.join(gone.select(name), name, "left_anti").drop(name)
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[list[str]]:

@@ -163,7 +163,8 @@ def _fitter(idf: np.ndarray):
 
 def learn(docs: DataFrame, held_out: Column) -> dict:
     """Languages, centroids, reach of each centroid and idf, from the labelled documents."""
-    rows = with_row_id(docs).filter(learnable(held_out))
+    needed = docs.filter(learnable(held_out)).select("doc_id", "text", "lang")
+    rows = with_row_id(needed)
     found = stored(
         _sampled(rows).select(F.col("lang").alias("label"), "text", "sampled").mapInArrow(
             _learn_rows, "label string, place array<int>, n array<long>, total long"
