@@ -1,7 +1,8 @@
 """A corpus pipeline: each stage reads what the one before kept, as Parquet, and applies one operator.
 
 All stages but the last return the columns of documents. A stage tells rows apart by their place in
-the files it reads, so rows with equal or null ids are judged one by one. Null texts count as empty.
+the files it reads, so rows with equal or null ids are judged one by one. Null texts count as empty. Further columns of
+any name are kept, but for those that an operator gives back itself.
 """
 
 from __future__ import annotations
@@ -11,36 +12,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgauge.llm import exact_dedup, language, packing, rules, simhash
-from textgauge.llm.common import ROW, stored, with_row_id, without_rows
+from textgauge.llm.common import row_name, stored, with_row_id, without_rows
 
 SEQUENCE_TOKENS = 2048
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents near a centroid of a language stay; centroids are learned from those with a lang."""
-    rows = with_row_id(docs)
+    row = row_name(docs)
+    rows = with_row_id(docs, row)
     model = language.learn(docs, held_out=F.lit(False))
-    return without_rows(rows, language.identify(rows, model, carry=(ROW,)).filter("rejected"))
+    return without_rows(rows, language.identify(rows, model, carry=(row,)).filter("rejected"), row)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and are no outliers of their language and source stay."""
-    rows = with_row_id(docs)
-    return without_rows(rows, rules.quality_rules(rows, carry=(ROW,)).filter("not kept"))
+    row = row_name(docs)
+    rows = with_row_id(docs, row)
+    return without_rows(rows, rules.quality_rules(rows, carry=(row,)).filter("not kept"), row)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    rows = with_row_id(docs)
-    groups = exact_dedup.exact_dedup(rows, carry=(ROW,))
-    return without_rows(rows, groups.filter("not kept"))
+    row = row_name(docs)
+    rows = with_row_id(docs, row)
+    groups = exact_dedup.exact_dedup(rows, carry=(row,))
+    return without_rows(rows, groups.filter("not kept"), row)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
-    rows = with_row_id(docs)
-    groups = simhash.simhash_groups(rows, shingle=3, radius=3, carry=(ROW,))
-    return without_rows(rows, simhash.redundant(groups, ROW))
+    row = row_name(docs)
+    rows = with_row_id(docs, row)
+    groups = simhash.simhash_groups(rows, shingle=3, radius=3, carry=(row,))
+    return without_rows(rows, simhash.redundant(groups, row), row)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
