@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .multiset import let, run_starts
-
 BUCKETS = 64
+# Rows whose tokens are counted at once.
+SLICE_ROWS = 1024
 
 
 def _sum_of(values: Column) -> Column:
@@ -35,27 +40,32 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
+def _frequencies(lists: pa.Array) -> pa.Array:
+    """Bucket counts of token lists, scaled to length 1, some rows at a time; every token of them is hashed once."""
+    made = [np.zeros((0, BUCKETS))]
+    for at in range(0, len(lists), SLICE_ROWS):
+        some = lists.slice(at, SLICE_ROWS)
+        words = some.flatten().dictionary_encode()
+        hashed = [int(md5(w.encode()).hexdigest()[:4], 16) % BUCKETS for w in words.dictionary.to_pylist()]
+        buckets = np.array(hashed, np.int64)[words.indices.to_numpy()]
+        row = np.repeat(np.arange(len(some)), pc.list_value_length(some).fill_null(0).to_numpy())
+        counts = np.bincount(row * BUCKETS + buckets, minlength=len(some) * BUCKETS).reshape(-1, BUCKETS).astype(np.float64)
+        # Sums of squared counts are whole numbers, so their order does not matter.
+        total = np.sqrt((counts * counts).sum(axis=1))[:, None]
+        made.append(np.divide(counts, total, out=counts, where=total > 0))
+    ends = np.arange(len(lists) + 1, dtype=np.int32) * BUCKETS
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made).ravel()))
+
+
 def hashed_frequencies(tokens: str) -> Column:
     """Token counts hashed to 64 buckets and scaled to length 1; all zero without tokens.
 
-    A token's bucket comes from the first four hex digits of its MD5. Every bucket is put in once
-    more and the lot is sorted: that makes exactly 64 runs, each one longer than its count.
+    A token's bucket comes from the first four hex digits of its MD5. The column is never null, and says so: a test for
+    null would have Spark work it out once more.
     """
-    bucket = f"cast(conv(substring(md5(token), 1, 4), 16, 10) as int) % {BUCKETS}"
-    last = BUCKETS - 1
-    counts = let(
-        "starts",
-        run_starts("buckets"),
-        f"transform(sequence(0, {last}), b -> double(get(starts, b + 1) - get(starts, b) - 1))",
-    )
-    scaled = let(
-        "total",
-        "sqrt(aggregate(counted, 0d, (t, x) -> t + x * x))",
-        "transform(counted, x -> case when total > 0 then x / total else 0d end)",
-    )
-    vector = let(
-        "buckets",
-        f"sort_array(concat(sequence(0, {last}), transform(tokens, token -> {bucket})))",
-        let("counted", counts, scaled),
-    )
-    return F.expr(let("tokens", tokens, vector))
+
+    @F.arrow_udf("array<double>")
+    def scaled(lists: pa.Array) -> pa.Array:
+        return _frequencies(lists)
+
+    return F.coalesce(scaled(F.col(tokens)), F.array(*[F.lit(0.0)] * BUCKETS))
