@@ -2,6 +2,7 @@ import json
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from textgauge.sources import captions, json_arrays
@@ -98,3 +99,20 @@ def test_texts_are_not_shuffled(spark, tmp_path):
     # Exchanges of one row per split, and of the parts of elements that cross splits.
     assert all("file" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
     assert "SortMergeJoin" not in plan and "Generate" not in plan
+
+
+def test_a_batch_is_looked_at_in_slices(monkeypatch):
+    """However much text a batch holds, only a slice of it becomes Python objects at once, with the same elements."""
+    texts = json.dumps([{"a": "x}\\" + "é" * 90, "n": i} for i in range(400)], ensure_ascii=False).split("}")[:-1]
+    n = len(texts)
+    columns = {"split": [7] * n, "file": ["f"] * n, "block": [0] * n, "inside": [False] * n, "depth": [0] * n, "tag": [""] * n, "value": texts}
+    batch = pa.RecordBatch.from_pydict(columns)
+
+    def cut():
+        return [r for part in json_arrays._cut("}", 0, "[")(iter([batch])) for r in part.to_pylist()]
+
+    whole, states = cut(), [r.to_pylist() for r in json_arrays._summaries("}")(iter([batch]))]
+    monkeypatch.setattr(json_arrays, "_SLICE_BYTES", 2000)
+    assert max(len(data) for *_, data in json_arrays._runs(iter([batch]), "}")) < 2000 + 400
+    assert cut() == whole and sum(r["kind"] == "element" for r in whole) == 399
+    assert [r.to_pylist() for r in json_arrays._summaries("}")(iter([batch]))] == states

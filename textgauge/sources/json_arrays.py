@@ -7,7 +7,7 @@ its quotes, and for both answers to "inside a string?" its change of depth, its
 functions of a file's splits, one row each, are composed in order and give each split its start; then each split cuts
 its own elements. Elements that cross splits are put together from their parts by a window over two rows per split.
 
-Nothing larger than an Arrow batch and one element is held by a task. The text is read three times, by states, by
+Nothing larger than an Arrow batch and one element is held by a task, and of a batch only a slice as Python objects and masks. The text is read three times, by states, by
 elements and by parts of elements, and never shuffled.
 
 Elements are the values of the outermost array, or of the array in the member `field` of the outermost object. Escapes,
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ _DEPTH = np.zeros(256, dtype=np.int64)
 _DEPTH[[0x5B, 0x7B]], _DEPTH[[0x5D, 0x7D]] = 1, -1
 _STRUCTURE = _DEPTH != 0
 _STRUCTURE[_COMMA] = True
+# Bytes of text that a task looks at once, or one piece.
+_SLICE_BYTES = 1 << 20
 _KEY = re.compile(rb'("(?:[^"\\]|\\.)*")\s*:\s*$', re.S)
 
 _SUMMARY = "split long, file string, block long, odd boolean, change array<long>, least array<long>, opened array<string>"
@@ -47,10 +50,11 @@ def pieces(spark: SparkSession, path: str, end: str = "}") -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], end: str) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
-    """Batch, first row and bytes of each stretch of rows of one split."""
+    """Batch, first row and bytes of each stretch of rows of one split, some at a time."""
     for batch in batches:
         split = batch.column("split").to_numpy()
-        cuts = np.flatnonzero(np.append(True, split[1:] != split[:-1])) if len(split) else []
+        part = np.cumsum(pc.binary_length(batch.column("value")).to_numpy(), dtype=np.int64) // _SLICE_BYTES
+        cuts = np.flatnonzero(np.append(True, (split[1:] != split[:-1]) | (part[1:] != part[:-1]))) if len(split) else []
         for a, b in zip(cuts, np.append(cuts[1:], len(split)).astype(int)):
             values = batch.column("value").slice(a, b - a).to_pylist()
             yield batch, int(a), np.frombuffer((end.join(values) + end).encode(), np.uint8)
