@@ -171,6 +171,19 @@ def meteor(
     return out.select(*kept, "meteor_matches", "meteor_chunks", score.alias("meteor"))
 
 
+def matched_scores(pairs: DataFrame, matched: str) -> DataFrame:
+    """Adds rouge1, rouge2 and meteor to pairs with a column as `overlap.pair_matches` makes it."""
+
+    def rouge_of(n: int) -> Column:
+        grams = " + ".join(f"greatest({matched}.{side}_grams - {n - 1}, 1)" for side in ("hyp", "ref"))
+        # As in `rouge_f`, a pair without a text has no words, which is null, and no longer grams, which is 0.
+        shared = f"coalesce({matched}.shared{n}, 0)" if n > 1 else f"{matched}.shared{n}"
+        return F.expr(f"2d * {shared} / ({grams})")
+
+    found = [F.col(f"{matched}.{c}") for c in ("matches", "chunks", "hyp_words", "ref_words")]
+    return pairs.withColumns({"rouge1": rouge_of(1), "rouge2": rouge_of(2), "meteor": meteor_score(*found)})
+
+
 # -- corpus BLEU ------------------------------------------------------------------------------
 
 
@@ -202,10 +215,16 @@ def bleu_items(
     Each pair also sends one row with n = 0 for the lengths, so one aggregate serves both. The
     reference closest in length is kept as one number, 2 * |difference| + (1 if longer).
     """
-    grams = f"concat(array(struct(0 as n, '' as gram, 0 as shared)), {matched_grams(hyp, ref)})"
     lengths = pairs.selectExpr(
-        *runs, "item_id", hyp, ref, f"bigint(size({hyp})) as hyp_len", f"bigint(size({ref})) as ref_len"
+        *runs, "item_id", f"bigint(size({hyp})) as hyp_len", f"bigint(size({ref})) as ref_len",
+        f"{matched_grams(hyp, ref)} as grams",
     )
+    return _clipped(lengths, runs)
+
+
+def _clipped(lengths: DataFrame, runs: list[str]) -> DataFrame:
+    """`bleu_items` out of pairs with hyp_len, ref_len and grams; a pair without a text has no row."""
+    grams = "case when hyp_len + ref_len >= 0 then concat(array(struct(0 as n, '' as gram, 0 as shared)), grams) end"
     return (
         lengths.selectExpr(
             *runs,
@@ -229,7 +248,15 @@ def bleu_counts(
     pairs: DataFrame, runs: list[str], hyp: str = "hyp_tokens", ref: str = "ref_tokens"
 ) -> DataFrame:
     """One row per run with every sum the two BLEU definitions need."""
-    items = bleu_items(pairs, runs, hyp, ref)
+    return _sums_of_items(bleu_items(pairs, runs, hyp, ref), runs)
+
+
+def matched_bleu_counts(pairs: DataFrame, runs: list[str], matched: str) -> DataFrame:
+    """The same out of pairs with a column as `overlap.gram_matches` makes it."""
+    return _sums_of_items(_clipped(pairs.select(*runs, "item_id", f"{matched}.*"), runs), runs)
+
+
+def _sums_of_items(items: DataFrame, runs: list[str]) -> DataFrame:
     step = "closeness div 2"
     sums = {
         "hyp_len": "hyp_len",

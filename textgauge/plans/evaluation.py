@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import overlap
 from ..functions.stem import rouge_stems
-from ..functions.text import alnum_tokens, normalise, tokens_13a, whitespace_tokens, word_tokens
+from ..functions.text import alnum_tokens, normalise, whitespace_tokens, word_tokens
 from ..operators import scores
 from ..operators.pairing import explode_references
 
@@ -19,8 +20,8 @@ METRICS = ["rouge1", "rouge2", "meteor"]
 class Definition:
     """How text becomes tokens and how pair scores are averaged.
 
-    `stem_rouge` and `stem_meteor` cost a pass through Python; switched off, every step is
-    a built-in expression. `bleu_13a` cuts the words of BLEU by the 13a rules, which matters where punctuation is kept.
+    Without `stem_meteor` all matches of a pair come from one pass through `functions/overlap.py`; its stem and synonym stages
+    are expressions over token arrays. `bleu_13a` cuts the words of BLEU by the 13a rules, which matters where punctuation is kept.
     """
 
     name: str
@@ -36,6 +37,13 @@ class Definition:
             return pairs
         return pairs.withColumns({c: normalise(F.col(c)) for c in ("hypothesis", "reference")})
 
+    def texts(self) -> tuple[Column, Column]:
+        """Both texts as `overlap` takes them: it cuts punctuation, Spark lowers."""
+        return tuple(F.lower(c) if self.normalised else F.col(c) for c in ("hypothesis", "reference"))
+
+    def cut(self):
+        return overlap.without_punctuation if self.normalised else None
+
     def bleu_score(self) -> Column:
         return scores.bleu_recomputed() if self.by_slot else scores.bleu_first_run()
 
@@ -47,6 +55,11 @@ RECOMPUTED = Definition("recomputed", normalised=True, stem_rouge=False, stem_me
 def score_pairs(pairs: DataFrame, how: Definition, synonyms: DataFrame | None = None) -> DataFrame:
     """rouge1, rouge2 and meteor for each pair; `pairs` has slot if means are taken by slot."""
     kept = [c for c in pairs.columns if c not in ("hypothesis", "reference")]
+    if synonyms is None and not how.stem_meteor:
+        grams = overlap.alnum_stems_of if how.stem_rouge else overlap.alnum_of
+        words = overlap.words_of if how.normalised else str.split
+        matched = overlap.pair_matches(F.lower("hypothesis"), F.lower("reference"), grams, words, how.cut())
+        return scores.matched_scores(pairs.select(*kept, matched.alias("_m")), "_m").select(*kept, *METRICS)
 
     def rouge_tokens(column: str) -> Column:
         tokens = alnum_tokens(F.col(column))
@@ -70,12 +83,15 @@ def score_pairs(pairs: DataFrame, how: Definition, synonyms: DataFrame | None =
     return scored.select(*kept, *METRICS)
 
 
+def bleu_counts(pairs: DataFrame, how: Definition, runs: list[str]) -> DataFrame:
+    """One row per run with every sum that BLEU needs."""
+    words = overlap.words_13a_of if how.bleu_13a else str.split
+    matched = overlap.gram_matches(*how.texts(), words, how.cut())
+    return scores.matched_bleu_counts(pairs.select(*runs, "item_id", matched.alias("_m")), runs, "_m")
+
+
 def corpus_bleu(pairs: DataFrame, how: Definition, runs: list[str]) -> DataFrame:
-    words = tokens_13a if how.bleu_13a else whitespace_tokens
-    tokens = how.clean(pairs).withColumns(
-        {"hyp_tokens": words(F.col("hypothesis")), "ref_tokens": words(F.col("reference"))}
-    )
-    return scores.bleu_counts(tokens, runs).select(*runs, how.bleu_score().alias("bleu"))
+    return bleu_counts(pairs, how, runs).select(*runs, how.bleu_score().alias("bleu"))
 
 
 def summarise(scored: DataFrame, how: Definition, runs: list[str]) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens_13a, whitespace_tokens
 from ..operators import scores
 from . import evaluation
 
@@ -33,11 +32,8 @@ def changed_blocks(items: DataFrame, width: int = BLOCK) -> DataFrame:
 
 def block_counts(pairs: DataFrame, how: evaluation.Definition, runs: list[str], width: int = BLOCK) -> DataFrame:
     """runs, item_block and the sums for BLEU."""
-    words = tokens_13a if how.bleu_13a else whitespace_tokens
-    tokens = with_block(how.clean(pairs), width).withColumns(
-        {"hyp_tokens": words(F.col("hypothesis")), "ref_tokens": words(F.col("reference"))}
-    )
-    return scores.bleu_counts(tokens, [*runs, "item_block"]).select(*runs, "item_block", *_COUNTS)
+    counts = evaluation.bleu_counts(with_block(pairs, width), how, [*runs, "item_block"])
+    return counts.select(*runs, "item_block", *_COUNTS)
 
 
 def block_sums(pairs: DataFrame, how: evaluation.Definition, runs: list[str], width: int = BLOCK) -> DataFrame:
