@@ -3,9 +3,11 @@ import random
 
 import numpy as np
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from textgauge.operators import bootstrap
+from textgauge.plans import catalog
 
 
 def weights(unit, replicates):
@@ -93,3 +95,18 @@ def test_one_aggregate_with_a_combine(scores):
 def test_empty(spark):
     df = spark.createDataFrame([], "run string, item_id long, x double")
     assert bootstrap.bootstrap_means(df, ["run"], F.col("item_id"), ["x"]).count() == 0
+
+
+def test_weights_are_read_off_the_digest_as_numbers(spark):
+    """Digits compared as text give the weights of the numbers, at the ends of every step too."""
+    edges = sorted({max(0, step + d) for step in bootstrap.poisson_steps() for d in (-1, 0)} | {0, (1 << 16) - 1})
+    rows = spark.createDataFrame([(f"{u:04x}" * 8, u) for u in edges], "digest string, u int")
+    weights = bootstrap._weight(F.col("digest"), 7)
+    assert "conv" not in str(weights)
+    for r in rows.select("u", weights.alias("w")).collect():
+        assert r.w == sum(r.u >= step for step in bootstrap.poisson_steps())
+
+
+def test_pairs_are_scored_once_for_draws_and_means(spark):
+    plan = catalog.a7_bootstrap_slots(spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "conversations" not in plan and plan.count("pair-scores") > 0

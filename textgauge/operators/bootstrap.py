@@ -33,8 +33,9 @@ def poisson_steps(bits: int = 16) -> list[int]:
 
 
 def _weight(digest: Column, at: int) -> Column:
-    uniform = F.conv(F.substring(digest, 1 + 4 * at, 4), 16, 10).cast("int")
-    return sum(((uniform >= step).cast("int") for step in poisson_steps()), F.lit(0))
+    # Four digits in lower case are in the order of the numbers that they write.
+    digits = F.substring(digest, 1 + 4 * at, 4)
+    return sum(((digits >= f"{step:04x}").cast("int") for step in poisson_steps()), F.lit(0))
 
 
 def draws(rows: DataFrame, unit: Column, replicates: int = REPLICATES) -> DataFrame:
