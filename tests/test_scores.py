@@ -5,7 +5,7 @@ from conftest import DATA
 from formulas import bleu, meteor, rouge
 from pyspark.sql import functions as F
 
-from textgauge.functions import multiset
+from textgauge.functions import multiset, overlap
 from textgauge.functions.stem import porter
 from textgauge.operators import scores
 from textgauge.operators.pairing import pair_references
@@ -85,6 +85,32 @@ def test_meteor_by_synonym_sets_matches_greedy(spark):
             assert row.meteor == pytest.approx(score)
 
 
+def test_pairs_with_one_key_are_scored_each_on_its_own(spark):
+    """Senses are looked up by word, so pairs that share a key, or whose key or text is null, do not mix."""
+    table = spark.createDataFrame([("big", "1"), ("larg", "1"), ("on", "2"), ("the", "2")], "word string, sense string")
+    cases = [(1, "on big", "the larg"), (1, "x y", "the larg"), (1, "big", "cat"), (None, "big", "larg"), (2, None, "a"), (3, "big big on", "larg z larg")]
+    rows = [(key, h and h.split(), r.split()) for key, h, r in cases]
+    pairs = spark.createDataFrame(rows, "item_id int, hyp_tokens array<string>, ref_tokens array<string>")
+    got = scores.meteor(pairs, keys=["item_id"], senses=table)
+    found = [(r.item_id, r.hyp_tokens and " ".join(r.hyp_tokens), r.meteor_matches, r.meteor_chunks) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(
+        [(1, "on big", 2, 1), (1, "x y", 0, 0), (1, "big", 0, 0), (None, "big", 0, 0), (2, None, None, None), (3, "big big on", 2, 2)], key=str
+    )
+    assert got.columns == [*pairs.columns, "meteor_matches", "meteor_chunks", "meteor"]
+
+
+def test_meteor_by_synonym_sets_does_not_depend_on_pieces(spark, monkeypatch):
+    table = spark.createDataFrame([("big", "1"), ("larg", "1"), ("cat", "1"), ("on", "2"), ("the", "2")], "word string, sense string")
+    pairs = pair_frame(spark, CASES)
+    whole = sorted(map(str, scores.meteor(pairs, keys=["item_id"], senses=table).collect()))
+    monkeypatch.setattr(scores, "WORDS_PER_PIECE", 2)
+    monkeypatch.setattr(overlap, "SLICE_WORDS", 5)
+    assert sorted(map(str, scores.meteor(pairs, keys=["item_id"], senses=table).collect())) == whole
+    empty = scores.meteor(pairs, keys=["item_id"], senses=table.limit(0)).collect()
+    stemmed = {r.item_id: (r.meteor_matches, r.meteor_chunks) for r in scores.meteor(pairs).collect()}
+    assert {r.item_id: (r.meteor_matches, r.meteor_chunks) for r in empty} == stemmed
+
+
 def test_synset_file(spark, tmp_path):
     (tmp_path / "data.noun").write_text(
         "  1 licence text of the file\n"

@@ -249,3 +249,128 @@ def gram_matches(hyp: Column, ref: Column, words: Cut, clean: Callable[[str], st
         return _by_slices(lambda a, b: _gram_matches(a, b, clean, words), h, r, empty)
 
     return matched(hyp, ref)
+
+
+# -- METEOR by synonym sets ------------------------------------------------------------------------
+
+# Words of pairs that are matched at once, or one pair.
+SLICE_WORDS = 1 << 18
+
+Entries = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _words(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the lists in order, and how many each list has; null has none."""
+    return lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy().astype(np.int64)
+
+
+def _meet(left: Entries, right: Entries) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries meet. Entries are (pair, place, code) by pair and place; the k-th last of a code in its pair
+    meets the k-th last of the other side."""
+    codes = 1 + max(int(side[2].max(initial=0)) for side in (left, right))
+
+    def from_last(side: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key = side[0] * codes + side[2]
+        order = len(key) - 1 - np.argsort(key[::-1], kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        later = np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key))))
+        return order, key, later
+
+    a, b = from_last(left), from_last(right)
+    if not len(a[0]) or not len(b[0]):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    most = 1 + max(int(a[2].max()), int(b[2].max()))
+    wanted, held = a[1] * most + a[2], b[1] * most + b[2]
+    found = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+    hit = held[found] == wanted
+    return a[0][hit], b[0][found[hit]]
+
+
+def _without(side: Entries, gone: np.ndarray) -> Entries:
+    kept = np.ones(len(side[0]), dtype=bool)
+    kept[gone] = False
+    return tuple(column[kept] for column in side)
+
+
+class Senses:
+    """The senses of numbered words, as numbers."""
+
+    def __init__(self, lists: pa.Array, names: pa.Array):
+        """The list of each word, and all senses that there are."""
+        listed, self.sizes = _words(lists)
+        self.senses = pc.index_in(listed, value_set=names).to_numpy().astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def of(self, side: Entries) -> tuple[np.ndarray, np.ndarray]:
+        """The entry and the sense, for every sense of every entry."""
+        n = self.sizes[side[2]]
+        entry = np.repeat(np.arange(len(n)), n)
+        return entry, self.senses[np.repeat(self.starts[side[2]] - (np.cumsum(n) - n), n) + np.arange(len(entry))]
+
+
+def _meet_by_sense(left: Entries, right: Entries, of_left: Senses, of_right: Senses) -> tuple[np.ndarray, np.ndarray]:
+    """Left entries, last first, take the last free right entry of their pair that shares a sense."""
+    known = 1 + max(int(s.senses.max(initial=0)) for s in (of_left, of_right))
+    (a, a_sense), (b, b_sense) = of_left.of(left), of_right.of(right)
+    a_code, b_code = left[0][a] * known + a_sense, right[0][b] * known + b_sense
+    # Hardly any sense is on both sides of a pair, so the walk below is over few.
+    a_both, b_both = np.isin(a_code, b_code), np.isin(b_code, a_code)
+    takers: dict[int, list[int]] = {}
+    for entry, code in zip(a[a_both][::-1].tolist(), a_code[a_both][::-1].tolist()):
+        takers.setdefault(entry, []).append(code)
+    free: dict[int, list[int]] = {}
+    for entry, code in zip(b[b_both].tolist(), b_code[b_both].tolist()):
+        free.setdefault(code, []).append(entry)
+    used, links = set(), []
+    for entry, codes in takers.items():
+        best = -1
+        for code in codes:
+            held = free[code]
+            while held and held[-1] in used:
+                held.pop()
+            if held and held[-1] > best:
+                best = held[-1]
+        if best >= 0:
+            used.add(best)
+            links.append((entry, best))
+    linked = np.array(links, np.int64).reshape(-1, 2)
+    return linked[:, 0], linked[:, 1]
+
+
+def sense_matches(hyps: pa.Array, refs: pa.Array, looked_up: np.ndarray, known: pa.Table) -> tuple[pa.Array, pa.Array]:
+    """Matches and chunks of pairs of token lists: words, then stems, then stems that share a sense. Null where a list is.
+
+    `known` has each word once, with its stem, hyp_senses and ref_senses; only pairs that are `looked_up` have the last stage.
+    """
+    there = pc.and_(hyps.is_valid(), refs.is_valid()).to_numpy(zero_copy_only=False)
+    (left, left_sizes), (right, right_sizes) = _words(hyps), _words(refs)
+    words, stems, *senses = (known[c].combine_chunks() for c in ("word", "stem", "hyp_senses", "ref_senses"))
+    ids = pc.index_in(pa.concat_arrays([left, right]), value_set=words).to_numpy().astype(np.int64)
+    stem = stems.dictionary_encode().indices.to_numpy().astype(np.int64)
+    names = pc.unique(pa.concat_arrays([lists.flatten() for lists in senses]))
+    by_side = [Senses(lists, names) for lists in senses]
+    ends = [np.append(0, np.cumsum(sizes)) for sizes in (left_sizes, right_sizes)]
+    part = (ends[0] + ends[1])[1:] // SLICE_WORDS
+    cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)]), len(part))
+    matches, chunks = np.zeros(len(there), np.int64), np.zeros(len(there), np.int64)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        sides = []
+        for sizes, end, skipped in ((left_sizes, ends[0], 0), (right_sizes, ends[1], len(left))):
+            n = sizes[a:b]
+            pair = np.repeat(np.arange(b - a), n)
+            place = np.arange(len(pair)) - np.repeat(end[a:b] - end[a], n)
+            sides.append((pair, place, ids[skipped + end[a] : skipped + end[b]]))
+        links = []
+
+        def link(met: tuple[np.ndarray, np.ndarray]) -> None:
+            links.append((sides[0][0][met[0]], sides[0][1][met[0]], sides[1][1][met[1]]))
+            sides[:] = [_without(side, gone) for side, gone in zip(sides, met)]
+
+        link(_meet(*sides))
+        link(_meet(*[(pair, place, stem[word]) for pair, place, word in sides]))
+        sides = [_without(side, np.flatnonzero(~looked_up[a:b][side[0]])) for side in sides]
+        link(_meet_by_sense(*sides, *by_side))
+        pair, l, r = (np.concatenate(column) for column in zip(*links))  # noqa: E741
+        matches[a:b], chunks[a:b] = np.bincount(pair, minlength=b - a), _chunks(pair, l, r, b - a)
+    return tuple(pa.array(column, pa.int64(), mask=~there) for column in (matches, chunks))

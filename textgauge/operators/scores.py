@@ -7,12 +7,19 @@ scores are shuffled.
 
 from __future__ import annotations
 
+import functools
+import math
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.multiset import align_last, chunk_count, free_places, let, shared_counts
+from ..functions.overlap import sense_matches
 from ..functions.stem import stem_tokens
 from ..functions.text import ngrams
+from ..session import scratch_path
 
 ORDERS = (1, 2, 3, 4)
 # Smoothing of a zero BLEU numerator, and the METEOR parameters.
@@ -94,43 +101,64 @@ def _add_synonym_links(pairs: DataFrame, synonyms: DataFrame, keys: list[str]) -
     )
 
 
-def _add_sense_links(pairs: DataFrame, senses: DataFrame, keys: list[str], forms) -> DataFrame:
-    """Third stage by synonym sets: free hypothesis words, last first, take the last free reference word that
-    shares a sense. `senses` has word and sense.
+# Words of the pairs that are matched together, and pieces of that size for a task.
+WORDS_PER_PIECE, PIECES_PER_TASK = 1 << 20, 4
 
-    Hypothesis words are looked up under `forms` of their stem, reference words as they are. Only (pair, place, word)
-    leaves the row; sets stay rows, so their size does not matter.
-    """
-    def looked_up(words: str, link: str, name: str, spread) -> DataFrame:
-        free = free_places(f"size({words})", "_links", link)
-        places = f"transform({free}, at -> struct(at as place, get({words}, at) as word))"
-        rows = pairs.select(*keys, F.expr(f"inline({places})"))
-        rows = rows.select(*keys, "place", F.explode(spread(F.col("word"))).alias("word"))
-        known = rows.join(senses, "word").groupBy(*keys, "place").agg(F.collect_set("sense").alias("senses"))
-        return known.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct("place", "senses")), asc=False).alias(name)
-        )
 
-    hyps = looked_up("_hyp_stems", "l", "_options", forms or F.array)
-    refs = looked_up("_ref_stems", "r", "_senses", F.array)
-    fitting = (
-        "filter(_senses, x -> arrays_overlap(x.senses, option.senses) and not exists(links, link -> link.r = x.place))"
+def _senses_of(words: DataFrame, senses: DataFrame, forms) -> DataFrame:
+    """word, stem, and the senses of the stem as a word of a hypothesis, under its forms, and of a reference, as it is."""
+    stemmed = words.select("word", F.get(stem_tokens(F.array("word")), F.lit(0)).alias("stem"))
+    as_hyp = F.transform((forms or F.array)(F.col("stem")), lambda form: F.struct(F.lit(True).alias("of_hyp"), form.alias("form")))
+    as_ref = F.array(F.struct(F.lit(False).alias("of_hyp"), F.col("stem").alias("form")))
+    names = senses.select(F.col("word").alias("form"), F.col("sense").cast("string").alias("sense"))
+    found = stemmed.select("word", "stem", F.inline(F.concat(as_hyp, as_ref))).join(names, "form", "left")
+    return found.groupBy("word", "stem").agg(
+        F.collect_set(F.when(F.col("of_hyp"), F.col("sense"))).alias("hyp_senses"),
+        F.collect_set(F.when(~F.col("of_hyp"), F.col("sense"))).alias("ref_senses"),
     )
-    # The reference words go from last to first too.
-    taken = let(
-        "fits",
-        fitting,
-        "case when size(fits) > 0 "
-        "then array_append(links, struct(option.place as l, get(fits, 0).place as r)) else links end",
+
+
+def _matched_by_senses(pairs: DataFrame, hyp: str, ref: str, senses: DataFrame, keys: list[str], forms) -> DataFrame:
+    """All three stages by synonym sets: free hypothesis words, last first, take the last free reference word that
+    shares a sense. `senses` has word and sense.
+
+    Hypothesis words are looked up under `forms` of their stem, reference words as they are. Pairs are dealt into
+    pieces of a bounded number of words, and each distinct word goes once to the pieces it is in, with its stem and senses; both are
+    found once per distinct word of all pairs. Sets stay rows, so their size does not matter. A pair with a null key has
+    the first two stages only.
+    """
+    spark = pairs.sparkSession
+    none = F.array().cast("array<string>")
+    # The size of the pieces need not be exact: every 64th pair says it.
+    some = pairs.filter(F.pmod(F.xxhash64(*keys), F.lit(64)) == 0).agg(
+        64 * F.sum(F.size(F.coalesce(hyp, none)) + F.size(F.coalesce(ref, none)))
     )
-    return pairs.join(hyps, keys, "left").join(refs, keys, "left").withColumn(
-        "_links",
-        F.expr(
-            "case when _options is null or _senses is null then _links "
-            f"else aggregate(_options, _links, (links, option) -> {taken}) end"
-        ),
+    pieces = max(spark.sparkContext.defaultParallelism * PIECES_PER_TASK, math.ceil((some.first()[0] or 0) / WORDS_PER_PIECE))
+    tasks = math.ceil(pieces / PIECES_PER_TASK)
+    looked_up = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    dealt = pairs.withColumns(
+        {"_looked_up": looked_up, "_piece": F.pmod(F.xxhash64(*keys, hyp, ref), F.lit(pieces))}
     )
 
+    words = F.array_distinct(F.concat(F.coalesce(hyp, none), F.coalesce(ref, none)))
+    found = dealt.select("_piece", F.explode(words).alias("word")).distinct()
+    # Read twice, so written once in place of cut out of the pairs again.
+    path = scratch_path(spark, "words")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    known = found.join(_senses_of(found.select("word").distinct(), senses, forms), "word")
+
+    def match(rows: pa.Table, known: pa.Table) -> pa.Table:
+        lists = [rows[side].combine_chunks() for side in (hyp, ref)]
+        counts = sense_matches(*lists, rows["_looked_up"].to_numpy().astype(bool), known)
+        for name, column in zip(("meteor_matches", "meteor_chunks"), counts):
+            rows = rows.append_column(name, column)
+        return rows.drop_columns(["_looked_up", "_piece"])
+
+    schema = StructType([*pairs.schema, *(StructField(c, LongType()) for c in ("meteor_matches", "meteor_chunks"))])
+    pieces_of = [side.repartition(tasks, "_piece").groupBy("_piece") for side in (dealt, known)]
+    return pieces_of[0].cogroup(pieces_of[1]).applyInArrow(match, schema)
+
 
 def meteor(
     pairs: DataFrame,
@@ -149,22 +177,22 @@ def meteor(
     `base_forms`. The synonym stage needs `keys`, the columns that tell pairs apart.
     """
     kept = pairs.columns
-    out = pairs.withColumn("_links", F.expr(align_last(hyp, ref)))
-    if stems:
-        out = _add_stem_links(out, hyp, ref)
-    if synonyms is not None or senses is not None:
-        if not (stems and keys):
-            raise ValueError("the synonym stage follows the stem stage and needs the pair keys")
+    if (synonyms is not None or senses is not None) and not (stems and keys):
+        raise ValueError("the synonym stage follows the stem stage and needs the pair keys")
+    if synonyms is None and senses is not None:
+        out = _matched_by_senses(pairs, hyp, ref, senses, keys, forms)
+    else:
+        out = pairs.withColumn("_links", F.expr(align_last(hyp, ref)))
+        if stems:
+            out = _add_stem_links(out, hyp, ref)
         if synonyms is not None:
             out = _add_synonym_links(out, synonyms, keys)
-        else:
-            out = _add_sense_links(out, senses, keys, forms)
-    out = out.withColumns(
-        {
-            "meteor_matches": F.size("_links").cast("bigint"),
-            "meteor_chunks": F.expr(chunk_count("_links")).cast("bigint"),
-        }
-    )
+        out = out.withColumns(
+            {
+                "meteor_matches": F.size("_links").cast("bigint"),
+                "meteor_chunks": F.expr(chunk_count("_links")).cast("bigint"),
+            }
+        )
     score = meteor_score(
         F.col("meteor_matches"), F.col("meteor_chunks"), F.size(hyp), F.size(ref)
     )

@@ -650,7 +650,16 @@ def _letter_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a5_meteor_senses(spark, sf_dir):
     """All three stages, with synonym sets out of a data file."""
     keys = ["item_id", "ref_no"]
-    scored = scores.meteor(with_words(eval_pairs(spark, sf_dir)), keys=keys, senses=_letter_sets(spark, sf_dir))
+    turns = table(spark, sf_dir, "conversations")
+    # Each text is cut into words before it meets others, and pairs, handed to Python whole, go without it.
+    hyps, refs = (
+        side.withColumn(words, tx.whitespace_tokens(F.lower(text)))
+        for side, words, text in (
+            (hypotheses_of(turns), "hyp_tokens", "hypothesis"), (references_of(turns), "ref_tokens", "reference")
+        )
+    )
+    pairs = pairing.pair_references(hyps, refs, group="conv_id").select(*keys, "hyp_tokens", "ref_tokens")
+    scored = scores.meteor(pairs, keys=keys, senses=_letter_sets(spark, sf_dir))
     return rounded(scored.select(*keys, "meteor_matches", "meteor_chunks", "meteor"), "meteor")
 
 
