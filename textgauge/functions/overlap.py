@@ -339,11 +339,11 @@ def _meet_by_sense(left: Entries, right: Entries, of_left: Senses, of_right: Sen
 
 
 def sense_matches(hyps: pa.Array, refs: pa.Array, looked_up: np.ndarray, known: pa.Table) -> tuple[pa.Array, pa.Array]:
-    """Matches and chunks of pairs of token lists: words, then stems, then stems that share a sense. Null where a list is.
+    """Matches and chunks of pairs of token lists: words, then stems, then stems that share a sense; a null
+    list has no words.
 
     `known` has each word once, with its stem, hyp_senses and ref_senses; only pairs that are `looked_up` have the last stage.
     """
-    there = pc.and_(hyps.is_valid(), refs.is_valid()).to_numpy(zero_copy_only=False)
     (left, left_sizes), (right, right_sizes) = _words(hyps), _words(refs)
     words, stems, *senses = (known[c].combine_chunks() for c in ("word", "stem", "hyp_senses", "ref_senses"))
     ids = pc.index_in(pa.concat_arrays([left, right]), value_set=words).to_numpy().astype(np.int64)
@@ -353,7 +353,7 @@ def sense_matches(hyps: pa.Array, refs: pa.Array, looked_up: np.ndarray, known:
     ends = [np.append(0, np.cumsum(sizes)) for sizes in (left_sizes, right_sizes)]
     part = (ends[0] + ends[1])[1:] // SLICE_WORDS
     cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)]), len(part))
-    matches, chunks = np.zeros(len(there), np.int64), np.zeros(len(there), np.int64)
+    matches, chunks = np.zeros(len(hyps), np.int64), np.zeros(len(hyps), np.int64)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         sides = []
         for sizes, end, skipped in ((left_sizes, ends[0], 0), (right_sizes, ends[1], len(left))):
@@ -373,4 +373,4 @@ def sense_matches(hyps: pa.Array, refs: pa.Array, looked_up: np.ndarray, known:
         link(_meet_by_sense(*sides, *by_side))
         pair, l, r = (np.concatenate(column) for column in zip(*links))  # noqa: E741
         matches[a:b], chunks[a:b] = np.bincount(pair, minlength=b - a), _chunks(pair, l, r, b - a)
-    return tuple(pa.array(column, pa.int64(), mask=~there) for column in (matches, chunks))
+    return pa.array(matches, pa.int64()), pa.array(chunks, pa.int64())
