@@ -155,3 +155,16 @@ def test_few_sequences(spark, vocabulary):
     pieces = packing.pack(docs, vocabulary, 2048).toPandas()
     least = -(-pieces.length.sum() // 2048)
     assert pieces.sequence_id.nunique() <= least + 2
+
+
+def test_new_words_reach_the_library_in_few_strings(library, words, monkeypatch):
+    """A word is no Python string of its own unless white space at an end makes it a text."""
+    texts = ["", "a " + " ".join(f"w{i}'s été{i}.\n\nNext{i}" for i in range(3000)), " x\x1c y   z 1", "a\tb c\n d"]
+    seen, joined, whole, after = [], [], words._whole, words._after_spaces
+    monkeypatch.setattr(words, "_whole", lambda some: seen.extend(some) or whole(some))
+    monkeypatch.setattr(words, "_after_spaces", lambda some: joined.append(some) or after(some))
+    got = per_text(words, texts)
+    assert all(isinstance(some, pa.Array) for some in joined)
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    # 6,001 words in texts of 1,000, a few with white space at an end, and the heads of four texts.
+    assert len(seen) < 30
