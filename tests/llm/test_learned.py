@@ -122,6 +122,25 @@ def test_nothing_to_learn_from(spark, documents):  # noqa: F811
     assert [r.lang_pred for r in language.identify(docs, language.learn(docs, F.lit(False))).collect()] == ["und"]
 
 
+def test_each_distance_is_worked_out_once(spark, documents, monkeypatch):  # noqa: F811
+    """A second call of the same function would need one more Python worker for each task."""
+    plans, store = {}, language.stored
+
+    def noted(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name, **options)
+
+    monkeypatch.setattr(language, "stored", noted)
+    rows = [(i, f"some words of a text {'abc' * (i % 7)}", "en", "s") for i in range(40)]
+    rows += [(90 + i, f"{i} 12 !", lang, "s") for i in range(3) for lang in ("en", "xx")]
+    model = language.learn(documents(rows), F.lit(False))
+    assert plans["own-distances"].count("ArrowEvalPython") == 1
+    # Texts without letters have no distance, and a language of nothing else is none.
+    far = language.own_distances(model, ["en"] * 40, [r[1] for r in rows[:40]])
+    reach = np.median(far) + language.DEVIATIONS * max(1.4826 * np.median(np.abs(far - np.median(far))), language.LEAST_DEVIATION)
+    assert set(model["labels"]) == {"en"} and model["reach"] == pytest.approx(min(reach, language.FARTHEST), abs=0.05)
+
+
 def test_quality_held_out(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = queries.op4_quality_classifier(spark, SF).join(labels, "doc_id").toPandas()

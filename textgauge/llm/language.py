@@ -217,7 +217,8 @@ def _reach(rows: DataFrame, model: dict) -> dict[str, float]:
         give_back()
         return pa.array(found, pa.float64())
 
-    far = stored(rows.select("lang", own_distance("lang", "text").alias("far")).filter("far IS NOT NULL"), "own-distances")
+    # Filtered as it is read: before, the filter would call for every distance again, in one more Python worker per task.
+    far = stored(rows.select("lang", own_distance("lang", "text").alias("far")), "own-distances").filter("far IS NOT NULL")
     medians = far.groupBy("lang").agg(F.percentile_approx("far", 0.5, 1000).alias("middle"))
     spread = (
         far.join(F.broadcast(medians), "lang")
