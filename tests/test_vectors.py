@@ -26,6 +26,20 @@ def test_frequencies_of_slices(monkeypatch, rows):
     assert len(vectors._frequencies(pa.array([], pa.list_(pa.string())))) == 0
 
 
+def test_words_are_hashed_once_while_they_are_remembered(monkeypatch):
+    """Slices of the same words: each is hashed in the first only, and again once too many are held."""
+    hashed = []
+    monkeypatch.setattr(vectors, "SLICE_ROWS", 1)
+    monkeypatch.setattr(vectors, "_bucket_of", vectors._Buckets())
+    monkeypatch.setattr(vectors, "md5", lambda word: hashed.append(word) or md5(word))
+    lists = [["a", "b"], ["b", "a"], ["c"], ["a"]]
+    assert vectors._frequencies(pa.array(lists)).to_pylist() == [brute(t) for t in lists]
+    assert hashed == [b"a", b"b", b"c"]
+    monkeypatch.setattr(vectors, "REMEMBERED", 2)
+    assert vectors._frequencies(pa.array(lists)).to_pylist() == [brute(t) for t in lists]
+    assert hashed == [b"a", b"b", b"c", b"a", b"b", b"c", b"a"]
+
+
 def test_an_embedding_is_made_once(spark):
     """A search asks for rows with a vector; that must not have each vector worked out for the test, too."""
     made = embed(spark.createDataFrame([(0, "a a B"), (1, None)], "i int, t string"), "t").filter("embedding is not null")
